@@ -70,31 +70,28 @@ def new_rows(new: DataFrame, stored: DataFrame, ignore: Sequence[str] = ()) -> D
     """Rows of ``new`` not stored yet, compared on all shared columns.
 
     Null equals null and repeated new rows all stay.  Both sides are compared in
-    the stored column's type.  A 64-bit hash of the row leads the join keys, so
-    sorting a wide table compares one long; the columns themselves decide.
+    the stored column's type.  The join keys are a 64-bit hash of the row, so
+    sorting a wide table compares one long, and the row itself as a struct, in
+    which null equals null.  Making the stored side distinct on the same two
+    keys lets it keep one shuffle for both steps.
     """
     shared = [f for f in stored.schema.fields if f.name in new.columns and f.name not in ignore]
     if not shared:
         raise ValueError("the two frames share no column to compare")
-    own = [F.col(f"`{f.name}`").try_cast(f.dataType) for f in shared]
+    own = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in shared]
     # a value that does not fit the stored type cannot be stored: a new row
-    fits = [
-        F.col(f"`{f.name}`").isNull() | c.isNotNull() for f, c in zip(shared, own, strict=True)
+    misfits = [
+        F.col(f"`{f.name}`").isNotNull() & c.isNull() for f, c in zip(shared, own, strict=True)
     ]
     left = new.withColumns(
         {
-            "_row": F.when(reduce(lambda a, b: a & b, fits), F.xxhash64(*own)),
-            **{f"_n_{f.name}": c for f, c in zip(shared, own, strict=True)},
+            "_hash": F.when(~reduce(lambda a, b: a | b, misfits), F.xxhash64(*own)),
+            "_values": F.struct(*own),
         }
     )
-    right = (
-        stored.select(*[F.col(f"`{f.name}`").alias(f"_s_{f.name}") for f in shared])
-        .distinct()
-        .withColumn("_stored_row", F.xxhash64(*[F.col(f"`_s_{f.name}`") for f in shared]))
-    )
-    same = [F.col(f"`_n_{f.name}`").eqNullSafe(F.col(f"`_s_{f.name}`")) for f in shared]
-    condition = reduce(lambda a, b: a & b, same, F.col("_row") == F.col("_stored_row"))
-    return left.join(right, condition, "left_anti").select(*[F.col(f"`{c}`") for c in new.columns])
+    there = [F.col(f"`{f.name}`") for f in shared]
+    right = stored.select(F.xxhash64(*there).alias("_hash"), F.struct(*there).alias("_values")).distinct()
+    return left.join(right, ["_hash", "_values"], "left_anti").drop("_hash", "_values")
 
 
 def last_wins(table: DataFrame, key: str, value: str, order: str) -> DataFrame:

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from grantflow.operators.joins import null_safe_join
 from grantflow.operators.rows import first_per_key
 from grantflow.schemas import TABLES, TableSpec
 
@@ -21,7 +20,7 @@ def insert_if_absent(
 ) -> DataFrame:
     """Rows to append: the first new row of each key that is not stored."""
     unique = first_per_key(new, key, order)
-    return null_safe_join(unique, stored.select(*key).distinct(), key, "left_anti")
+    return unique.join(stored.select(*key).distinct(), list(key), "left_anti")
 
 
 def apply_defaults(df: DataFrame, spec: TableSpec) -> DataFrame:

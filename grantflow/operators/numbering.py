@@ -89,12 +89,12 @@ def _numbered(
     offsets = running_offset(counts, keys, "_before", "_rows").drop("_rows")
     if group:
         starts = offsets.groupBy(*group).agg(F.min("_before").alias("_group_start"))
-        offsets = null_safe_join(offsets, starts, group, "left")
+        offsets = offsets.join(starts, list(group))
     else:
         offsets = offsets.withColumn("_group_start", F.lit(0).cast("bigint"))
     inside = Window.partitionBy(*keys).orderBy(row_no)
     return (
-        null_safe_join(blocked, offsets, keys, "left")
+        blocked.join(offsets, keys)
         .withColumn("_place", F.col("_before") + F.row_number().over(inside) - 1)
         .drop("_block", "_before")
     )

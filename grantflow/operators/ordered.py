@@ -1,6 +1,7 @@
 """Operators that follow row order inside a document or file.
 
-Every one takes the group (document, file) and an explicit integer row number.
+Every one takes the group (document, file; never null) and an explicit integer
+row number.
 A group may hold any share of all rows, so windows run over blocks of ``block``
 row numbers and the little that crosses a block border travels as a small table
 (carry-down) or as copied border rows (neighbours).
@@ -16,7 +17,6 @@ from pyspark.sql import functions as F
 
 from grantflow.fixed_values import CONTINUATION_NAMES
 from grantflow.functions.cleaning import is_grant_id, trim_text
-from grantflow.operators.joins import null_safe_join
 from grantflow.operators.numbering import BLOCK, running_offset
 
 
@@ -45,7 +45,7 @@ def carry_down(
         Window.partitionBy(*group, "_block").orderBy(row_no).rowsBetween(Window.unboundedPreceding, 0)
     )
     return (
-        null_safe_join(blocked, carried, [*group, "_block"], "left")
+        blocked.join(carried, [*group, "_block"], "left")
         .withColumn(into, F.coalesce(F.last("_value", ignorenulls=True).over(inside), "_carried"))
         .drop("_value", "_block", "_carried")
     )
@@ -138,7 +138,7 @@ def fold_name_only(
     )
     kept = tied.where(F.col(row_no) == F.col("_anchor")).drop("_anchor")
     return (
-        null_safe_join(kept, folded, [*group, row_no], "left")
+        kept.join(folded, [*group, row_no], "left")
         .withColumn(
             name,
             F.when(F.col("_more").isNotNull(), F.concat_ws(" ", F.col(f"`{name}`"), "_more")).otherwise(
@@ -183,15 +183,13 @@ def split_header_detail(
     placed = running_offset(first, [*group, "_first"], "_before")
     if not chained:
         floor = placed.groupBy(*group).agg(F.min("_before").alias("_floor"))
-        placed = null_safe_join(placed, floor, group, "left").withColumn(
+        placed = placed.join(floor, list(group)).withColumn(
             "_before", F.col("_before") - F.col("_floor")
         )
     ids = placed.select(
         *group, "description", (F.col("_before") + start).cast("bigint").alias("description_id")
     )
-    known = null_safe_join(
-        tied.where(F.col("description").isNotNull()), ids, [*group, "description"], "left"
-    )
+    known = tied.where(F.col("description").isNotNull()).join(ids, [*group, "description"])
     return (
         known.where(~F.col("_detail")).drop("_detail"),
         known.where("_detail").drop("_detail"),
