@@ -25,11 +25,15 @@ from checks.shapes import (
 )
 from grantflow.operators.joins import new_rows
 from grantflow.operators.load import conform, insert_if_absent
+from grantflow.operators.numbering import file_ids
+from grantflow.operators.ordered import split_header_detail
 from grantflow.plans import awards as A
+from grantflow.plans import history as H
+from grantflow.plans import performance as P
 from grantflow.plans.financial import financial_tables
-from grantflow.plans.history import history_tables
-from grantflow.plans.performance import performance_tables
 from grantflow.schemas import TABLES
+from grantflow.session import settle
+from grantflow.sources.documents import question_answers
 
 WITH_AWARDS = "WITH " + AWARDS_SQL.strip()
 WITH_OTHER = "WITH " + OTHER_SQL.strip()
@@ -219,18 +223,21 @@ def tb10(t: Tables):
 # --- disaster history --------------------------------------------------------------
 
 
-def _history(t: Tables, name: str):
-    return history_tables(report_lines(t))[name]
+def _history(t: Tables):
+    """Laws and award rows, written once, from which a table is built."""
+    laws, found = H.extract(report_lines(t))
+    return settle(laws), settle(H.grantee_rows(found))
 
 
 @check("TB11_grantee", WITH_LINES + "SELECT grantee_name, state_code, grantee_id FROM grantee_t")
 def tb11(t: Tables):
-    return _history(t, "grantee")
+    return H.grantees(_history(t)[1])
 
 
 @check("TB12_disaster", WITH_LINES + "SELECT disaster_name, disaster_year, disaster_id FROM disaster_t")
 def tb12(t: Tables):
-    return _history(t, "disaster")
+    laws, rows = _history(t)
+    return H.disasters(rows, laws)
 
 
 @check(
@@ -239,7 +246,7 @@ def tb12(t: Tables):
     + "SELECT pl_number, arg_min_null(pl_date, (doc_id, line_no)) AS pl_date FROM laws GROUP BY pl_number",
 )
 def tb13(t: Tables):
-    return _history(t, "publiclaw")
+    return H.public_laws(_history(t)[0])
 
 
 @check(
@@ -248,7 +255,8 @@ def tb13(t: Tables):
     + "SELECT DISTINCT d.disaster_id, l.pl_number FROM laws l JOIN disaster_t d ON d.event = l.event",
 )
 def tb14(t: Tables):
-    return _history(t, "disasterpubliclaw")
+    laws, rows = _history(t)
+    return H.disaster_laws(laws, H.disasters(rows, laws))
 
 
 @check(
@@ -258,16 +266,13 @@ def tb14(t: Tables):
          FROM history_t""",
 )
 def tb15(t: Tables):
-    return _history(t, "granthistory")
+    laws, rows = _history(t)
+    return H.grant_history(rows, H.disasters(rows, laws), H.grantees(rows))
 
 
 # --- quarterly performance ------------------------------------------------------------
 
 
-def _performance(t: Tables, name: str):
-    return performance_tables(report_cells(t), question_blocks(t))[name]
-
-
 @check(
     "TB16_performancereports",
     WITH_BUDGET
@@ -278,7 +283,9 @@ def _performance(t: Tables, name: str):
               JOIN doc_ids d ON d.doc_id = b.doc_id WHERE NOT b.is_head""",
 )
 def tb16(t: Tables):
-    return _performance(t, "performancereports")
+    cells = report_cells(t)
+    _, details = split_header_detail(P.budget_rows(cells), ["doc_id"], "row_no", "c0")
+    return P.performance_reports(details, file_ids(cells, "doc_id", "activity_id"))
 
 
 DATED = ("Projected_Start_Date", "Projected_End_Date", "Completed_Activity_Actual_End_Date")
@@ -291,15 +298,14 @@ def _activity(alias: str, name: str) -> str:
 
 
 def _activities_sql() -> str:
-    from grantflow.plans.performance import ACTIVITY_COLUMNS
-
-    columns = ", ".join(_activity(a, n) for a, n in ACTIVITY_COLUMNS.items())
+    columns = ", ".join(_activity(a, n) for a, n in P.ACTIVITY_COLUMNS.items())
     return f"SELECT row_number() OVER (ORDER BY doc_id) AS activity_id, {columns} FROM answered"
 
 
 @check("TB17_activities", "WITH " + ANSWERS_SQL.strip() + _activities_sql())
 def tb17(t: Tables):
-    return _performance(t, "activities")
+    ids = file_ids(report_cells(t), "doc_id", "activity_id")
+    return P.activities(question_answers(question_blocks(t)), ids)
 
 
 @check(
@@ -310,7 +316,8 @@ def tb17(t: Tables):
          FROM budget b JOIN head_ids h ON h.doc_id = b.doc_id AND h.head = b.c0 WHERE b.is_head""",
 )
 def tb18(t: Tables):
-    return _performance(t, "amountdescriptions").drop("doc_id", "row_no")
+    headers, _ = split_header_detail(P.budget_rows(report_cells(t)), ["doc_id"], "row_no", "c0")
+    return P.amount_descriptions(headers).drop("doc_id", "row_no")
 
 
 # --- financial reports ------------------------------------------------------------------

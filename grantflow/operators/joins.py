@@ -1,9 +1,12 @@
 """Joins, lookups and differences.
 
 No join here carries a broadcast hint except the one against the fixed list of
-states: Spark and AQE pick a broadcast from the measured size of a side, and AQE
-splits skewed partitions of the others.  Every right side that can repeat a key
-is first reduced to one row per key with a map-side partial aggregate.
+states: Spark and AQE pick a broadcast from the measured size of a side.
+
+A key may hold a third of all rows.  On the right side repeats are removed first
+(partial aggregation in the map tasks).  On the left side AQE splits the hot
+partition, which it does only where both sides are shuffled for the join itself;
+:func:`hot_join` sees to that.
 """
 
 from __future__ import annotations
@@ -28,6 +31,21 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return joined if how in ("left_anti", "left_semi") else joined.drop(*[f"_r_{k}" for k in keys])
 
 
+def hot_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Equi join on shared names whose left side may have hot keys.
+
+    The right side often comes from an aggregate over the same keys.  Its
+    partitioning would then be reused, and AQE does not split a join fed that
+    way.  A hash among the keys makes the join shuffle both sides anew.
+    """
+    key_hash = F.xxhash64(*[F.col(f"`{k}`") for k in keys])
+    return (
+        left.withColumn("_key_hash", key_hash)
+        .join(right.withColumn("_key_hash", key_hash), ["_key_hash", *keys], how)
+        .drop("_key_hash")
+    )
+
+
 def enrich(
     left: DataFrame,
     right: DataFrame,
@@ -41,14 +59,10 @@ def enrich(
     """
     pairs = on if isinstance(on, dict) else {k: k for k in on}
     slim = right.select(
-        *[F.col(f"`{r}`").alias(f"_key_{r}") for r in pairs.values()],
-        *[F.col(f"`{c}`") for c in columns],
-    )
-    condition = reduce(
-        lambda a, b: a & b,
-        [F.col(f"`{l}`") == F.col(f"`_key_{r}`") for l, r in pairs.items()],
+        *[F.col(f"`{r}`").alias(l) for l, r in pairs.items()], *[F.col(f"`{c}`") for c in columns]
     )
-    return left.join(slim, condition, "left").drop(*[f"_key_{r}" for r in pairs.values()])
+    order = [F.col(f"`{c}`") for c in (*left.columns, *columns)]
+    return hot_join(left, slim, list(pairs), "left").select(*order)
 
 
 def full_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -58,12 +72,12 @@ def full_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame
 
 def keep_present(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key occurs in ``other`` (null matches nothing)."""
-    return df.join(other.select(*keys).distinct(), on=list(keys), how="left_semi")
+    return hot_join(df, other.select(*keys).distinct(), keys, "left_semi")
 
 
 def keep_absent(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key does not occur in ``other``."""
-    return df.join(other.select(*keys).distinct(), on=list(keys), how="left_anti")
+    return hot_join(df, other.select(*keys).distinct(), keys, "left_anti")
 
 
 def new_rows(new: DataFrame, stored: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:
@@ -72,8 +86,7 @@ def new_rows(new: DataFrame, stored: DataFrame, ignore: Sequence[str] = ()) -> D
     Null equals null and repeated new rows all stay.  Both sides are compared in
     the stored column's type.  The join keys are a 64-bit hash of the row, so
     sorting a wide table compares one long, and the row itself as a struct, in
-    which null equals null.  Making the stored side distinct on the same two
-    keys lets it keep one shuffle for both steps.
+    which null equals null.
     """
     shared = [f for f in stored.schema.fields if f.name in new.columns and f.name not in ignore]
     if not shared:
@@ -90,7 +103,11 @@ def new_rows(new: DataFrame, stored: DataFrame, ignore: Sequence[str] = ()) -> D
         }
     )
     there = [F.col(f"`{f.name}`") for f in shared]
-    right = stored.select(F.xxhash64(*there).alias("_hash"), F.struct(*there).alias("_values")).distinct()
+    right = (
+        stored.select(F.struct(*there).alias("_values"))
+        .distinct()
+        .withColumn("_hash", F.xxhash64(*[F.col(f"_values.`{f.name}`") for f in shared]))
+    )
     return left.join(right, ["_hash", "_values"], "left_anti").drop("_hash", "_values")
 
 
@@ -106,7 +123,7 @@ def lookup(
     slim = last_wins(table.select(key, value, order), key, value, order).select(
         F.col(f"`{key}`").alias("_lookup_key"), F.col(f"`{value}`").alias(into)
     )
-    return df.join(slim, F.col(f"`{column}`") == F.col("_lookup_key"), "left").drop("_lookup_key")
+    return enrich(df, slim, {column: "_lookup_key"}, [into])
 
 
 def state_table(df: DataFrame) -> DataFrame:

@@ -1,9 +1,9 @@
 """Dense ids in a stated order, without sorting a fact table in one task.
 
 The one primitive is :func:`running_offset`: range-partition by the order, sort
-inside the partitions, write that once to the checkpoint folder, and add up the
+inside the partitions, write that once to the shared folder, and add up the
 partition sizes.  Only one row per partition ever meets in a single task.  The
-checkpoint pins the range borders, so a lost executor cannot change an id.
+written table pins the range borders, so a lost executor cannot change an id.
 """
 
 from __future__ import annotations
@@ -116,7 +116,10 @@ def serial_ids(
     stored: DataFrame | None = None,
     block: int = BLOCK,
 ) -> DataFrame:
-    """Number every row by (``order``, ``row_no``), after the stored ids."""
+    """Number every row by (``order``, ``row_no``), after the stored ids.
+
+    The input is read twice: settle one that is costly to compute.
+    """
     placed = _numbered(df, [], order, row_no, block)
     return placed.withColumn(into, _base(stored, into, start) + F.col("_place")).drop(
         "_place", "_group_start"

@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 
 from grantflow.fixed_values import CONTINUATION_NAMES
 from grantflow.functions.cleaning import is_grant_id, trim_text
+from grantflow.operators.joins import hot_join
 from grantflow.operators.numbering import BLOCK, running_offset
+from grantflow.session import settle
 
 
 def carry_down(
@@ -28,7 +30,10 @@ def carry_down(
     into: str,
     block: int = BLOCK,
 ) -> DataFrame:
-    """Last non-null ``value`` at or above each row of the group."""
+    """Last non-null ``value`` at or above each row of the group.
+
+    The input is read twice: settle one that is costly to compute.
+    """
     blocked = df.withColumns(
         {"_value": value, "_block": F.floor(F.col(row_no) / block).cast("bigint")}
     )
@@ -129,7 +134,7 @@ def fold_name_only(
     """
     full = reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNotNull() for c in others])
     anchor = full | (F.col(row_no) == 0)
-    tied = carry_down(df, group, row_no, F.when(anchor, F.col(row_no)), "_anchor", block)
+    tied = settle(carry_down(df, group, row_no, F.when(anchor, F.col(row_no)), "_anchor", block))
     folded = (
         tied.where((F.col(row_no) != F.col("_anchor")) & F.col(f"`{name}`").isNotNull())
         .groupBy(*group, "_anchor")
@@ -172,8 +177,8 @@ def split_header_detail(
     """
     test = is_grant_id(F.coalesce(F.col(field), F.lit(""))) if detail is None else detail
     header = F.when(~test, trim_text(F.coalesce(F.col(field), F.lit(""))))
-    tied = carry_down(
-        df.withColumn("_detail", test), group, row_no, header, "description", block
+    tied = settle(
+        carry_down(df.withColumn("_detail", test), group, row_no, header, "description", block)
     )
     first = (
         tied.where(~F.col("_detail"))
@@ -189,7 +194,9 @@ def split_header_detail(
     ids = placed.select(
         *group, "description", (F.col("_before") + start).cast("bigint").alias("description_id")
     )
-    known = tied.where(F.col("description").isNotNull()).join(ids, [*group, "description"])
+    known = hot_join(
+        tied.where(F.col("description").isNotNull()), ids, [*group, "description"], "inner"
+    )
     return (
         known.where(~F.col("_detail")).drop("_detail"),
         known.where("_detail").drop("_detail"),

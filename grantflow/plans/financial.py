@@ -24,6 +24,7 @@ from grantflow.functions.dates import report_date
 from grantflow.operators.joins import enrich, state_code
 from grantflow.operators.numbering import BLOCK, positions, serial_ids
 from grantflow.operators.ordered import fold_name_only, forward_fill, repair_wrapped
+from grantflow.session import settle
 from grantflow.sources.documents import TABLE, report_tables
 
 VALUE_COLUMNS = [c for c in NEW_LAYOUT if c != "Grantee"]
@@ -67,11 +68,11 @@ def repair_rows(
     or they were blank) are dropped, so no name is added twice.
     """
     clean = rows.withColumns({n: missing_to_null(F.col(f"`{n}`"), [""]) for n in NEW_LAYOUT})
-    joined = repair_wrapped(clean, [file], row_no, "Grantee", fragments, block=block)
+    joined = settle(repair_wrapped(clean, [file], row_no, "Grantee", fragments, block=block))
     hollow = F.coalesce(*[F.col(f"`{c}`") for c in VALUE_COLUMNS]).isNull()
     kept = joined.where(~(hollow & (F.col("Grantee") == "")) | (F.col(row_no) == 0))
     blank = kept.withColumn("Grantee", missing_to_null("Grantee", [""]))
-    filled = forward_fill(blank, [file], row_no, "Grantee", block)
+    filled = settle(forward_fill(blank, [file], row_no, "Grantee", block))
     return fold_name_only(filled, [file], row_no, "Grantee", VALUE_COLUMNS, block)
 
 
@@ -116,7 +117,7 @@ def financial_tables(
     new_cells = dated.where(F.coalesce(~is_old_layout("report_date"), F.lit(True)))
     old, _ = report_tables(old_cells, len(OLD_LAYOUT))
     new, _ = report_tables(new_cells, len(NEW_LAYOUT))
-    rows = unify_layouts(old, new, [*TABLE, "row_no"])
+    rows = settle(unify_layouts(old, new, [*TABLE, "row_no"]))
     placed = positions(rows, ["doc_id"], ["page", "table_no"], "row_no", "place", block).drop(
         "page", "table_no", "row_no"
     )

@@ -30,10 +30,17 @@ from grantflow.functions.reports import (
     law_mentions,
     standalone_laws,
 )
-from grantflow.operators.joins import enrich, keep_absent, null_safe_join, state_code
+from grantflow.operators.joins import (
+    enrich,
+    keep_absent,
+    keep_present,
+    null_safe_join,
+    state_code,
+)
 from grantflow.operators.numbering import BLOCK, first_seen_ids
 from grantflow.operators.ordered import carry_down
 from grantflow.operators.rows import first_per_key
+from grantflow.session import settle
 
 
 def report_dates(lines: DataFrame) -> DataFrame:
@@ -111,14 +118,25 @@ def award_lines(tied: DataFrame) -> DataFrame:
     )
 
 
+def marked_lines(tied: DataFrame) -> DataFrame:
+    """The lines that hold a heading, a law or an award, written once.
+
+    All later steps read these few lines, not the whole text.
+    """
+    telling = (
+        has_award("line") | (F.size(standalone_laws("line")) > 0) | (F.size(law_mentions("line")) > 0)
+    )
+    heading = first_pattern("line").isNotNull()
+    return settle(tied.where(heading | telling))
+
+
 def extract(lines: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """(laws, awards) of all documents; only laws of events with an award stay."""
-    tied = sections(lines, block)
+    tied = marked_lines(sections(lines, block))
     awards = enrich(award_lines(tied), report_dates(lines), ["doc_id"], ["report_date"])
     direct = sectioned_laws(tied)
     laws = direct.unionByName(leftover_laws(tied, direct))
-    events = awards.select("doc_id", "disaster_event").distinct()
-    return laws.join(events, ["doc_id", "disaster_event"], "left_semi"), awards
+    return keep_present(laws, awards, ["doc_id", "disaster_event"]), awards
 
 
 def grantee_rows(awards: DataFrame) -> DataFrame:
@@ -217,7 +235,7 @@ def history_tables(
     """The five history tables: stored rows and the new ones of ``lines``."""
     stored = stored or {}
     laws, awards = extract(lines, block)
-    rows = grantee_rows(awards)
+    laws, rows = settle(laws), settle(grantee_rows(awards))
     names = grantees(rows, stored.get("grantee"))
     events = disasters(rows, laws, stored.get("disaster"))
     return {

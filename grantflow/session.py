@@ -18,6 +18,9 @@ RUNTIME_SETTINGS = {
 }
 
 
+_settled: list[str] = []
+
+
 def build_session(app: str = "grantflow", master: str | None = None, **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -59,6 +62,21 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and cut its lineage there."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once under the shared folder and go on from the written table.
+
+    Cuts lineage: a lost executor reads the table again instead of computing it
+    again, and steps that read their input several times read files.
+    """
+    path = scratch_dir(df.sparkSession, "settled")
+    df.write.parquet(path)
+    _settled.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_settled(spark: SparkSession) -> int:
+    """Delete the tables written by :func:`settle`; frames built on them end here."""
+    count = len(_settled)
+    while _settled:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_settled.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return count

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from grantflow.fixed_values import BATCH_PATTERN, HISTORY_BATCH_PATTERN
-from grantflow.functions.dates import date_key_of_file
 from grantflow.functions.cleaning import file_name, file_stem
+from grantflow.functions.dates import date_key_of_file
+from grantflow.operators.joins import keep_absent
 
 # Free text may hold line breaks, and quotes are doubled inside quoted cells.
 CSV_OPTIONS = {"header": "true", "escape": '"', "multiLine": "true"}
@@ -112,7 +113,7 @@ def last_files(files: DataFrame, count: int, path: str = "path") -> DataFrame:
 
 def unprocessed(files: DataFrame, done: DataFrame, path: str = "path") -> DataFrame:
     """Files not in the ledger of processed ones."""
-    return files.join(done.select(path).distinct(), path, "left_anti")
+    return keep_absent(files, done, [path])
 
 
 def name_parts(files: DataFrame, path: str = "path") -> DataFrame:

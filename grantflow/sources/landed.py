@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from grantflow.fixed_values import PAGE_LIMIT
+from grantflow.operators.joins import enrich
 from grantflow.schemas import AWARD_DETAIL_DDL
 
 
@@ -26,12 +27,8 @@ def merge_pages(
         "short": size < limit,
         "has_next": (size == 0) | ~F.coalesce("has_next", F.lit(False)),
     }[stop]
-    ends = (
-        pages.where(last)
-        .groupBy(F.col(source).alias("_source"))
-        .agg(F.min("page").alias("_end"))
-    )
-    kept = pages.join(ends, F.col(source) == F.col("_source"), "left").where(
+    ends = pages.where(last).groupBy(source).agg(F.min("page").alias("_end"))
+    kept = enrich(pages, ends, [source], ["_end"]).where(
         F.col("_end").isNull() | (F.col("page") <= F.col("_end"))
     )
     return kept.select(
@@ -80,8 +77,7 @@ def tag_award_id(children: DataFrame, awards: DataFrame, key: str = "generated_i
 
     Awards are made distinct first, so a repeated award cannot multiply children.
     """
-    ids = awards.select(F.col(key).alias("_award"), "`Award ID`").distinct()
-    return children.join(ids, F.col(key) == F.col("_award"), "left").drop("_award")
+    return enrich(children, awards.select(key, "`Award ID`").distinct(), [key], ["Award ID"])
 
 
 def explode_children(parents: DataFrame, key: str, array: str) -> DataFrame:

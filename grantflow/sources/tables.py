@@ -77,6 +77,16 @@ def read_table(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
     return stored.join(visible_runs(spark, root, spec.name), "run_id", "left_semi").select(*spec.columns)
 
 
+def _stored_keys(staged: DataFrame, stored: DataFrame, spec: TableSpec) -> DataFrame:
+    """Keys of a run that the table holds already."""
+    return staged.join(stored.select(*spec.key), list(spec.key), "left_semi").select(
+        F.lit(spec.name).alias("table_name"),
+        F.lit(",".join(spec.key)).alias("column_name"),
+        F.lit("primary key").alias("rule"),
+        row_key(spec).alias("row_key"),
+    )
+
+
 def publish(
     df: DataFrame,
     root: str,
@@ -108,7 +118,8 @@ def publish(
             F.lit("row rules").alias("rule"),
             row_key(spec).alias("row_key"),
         ),
-        key_violations(stored.unionByName(staged.select(*spec.columns)), spec),
+        key_violations(staged, spec),
+        _stored_keys(staged, stored, spec),
     ]
     if parents:
         problems.append(reference_violations(staged, spec, parents))
