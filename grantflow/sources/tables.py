@@ -12,7 +12,7 @@ from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -107,26 +107,25 @@ def publish(
     broken = F.to_json(broken_rules(filled, spec))
     # the broken rules of a row are written beside it: one pass over the input
     checked = filled.withColumn("_broken", F.nullif(broken, F.lit("[]")))
-    conform(checked, spec, keep=["_broken"]).write.mode("overwrite").parquet(target)
+    counts = Observation(f"{spec.name} {run_id}")
+    conform(checked, spec, keep=["_broken"]).observe(
+        counts,
+        F.count(F.lit(1)).alias("rows"),
+        F.count("_broken").alias("broken"),
+    ).write.mode("overwrite").parquet(target)
     staged_schema = T.StructType([*spec.schema.fields, T.StructField("_broken", T.StringType())])
     staged = spark.read.schema(staged_schema).parquet(target)
     stored = read_table(spark, root, spec)
-    problems = [
-        staged.where("_broken is not null").select(
-            F.lit(spec.name).alias("table_name"),
-            F.col("_broken").alias("column_name"),
-            F.lit("row rules").alias("rule"),
-            row_key(spec).alias("row_key"),
-        ),
-        key_violations(staged, spec),
-        _stored_keys(staged, stored, spec),
-    ]
+    if counts.get["broken"]:
+        examples = staged.where("_broken is not null").select(row_key(spec), "_broken").take(5)
+        raise LoadRejected(f"{spec.name}, run {run_id}: {counts.get['broken']} rows, {examples}")
+    problems = [key_violations(staged, spec), _stored_keys(staged, stored, spec)]
     if parents:
         problems.append(reference_violations(staged, spec, parents))
     found = reduce(lambda a, b: a.unionByName(b), problems).take(5)
     if found:
         raise LoadRejected(f"{spec.name}, run {run_id}: {found}")
-    _note(spark, root, spec.name, run_id, "load", staged.count())
+    _note(spark, root, spec.name, run_id, "load", counts.get["rows"])
     return True
 
 
