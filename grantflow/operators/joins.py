@@ -55,14 +55,15 @@ def enrich(
     """Left join that brings ``columns`` of the right side; null keys never match.
 
     ``on`` lists shared key names, or maps left names to right names.  The right
-    key column is not kept.
+    key column is not kept; a column brought replaces one of the same name.
     """
     pairs = on if isinstance(on, dict) else {k: k for k in on}
     slim = right.select(
         *[F.col(f"`{r}`").alias(l) for l, r in pairs.items()], *[F.col(f"`{c}`") for c in columns]
     )
-    order = [F.col(f"`{c}`") for c in (*left.columns, *columns)]
-    return hot_join(left, slim, list(pairs), "left").select(*order)
+    own = [c for c in left.columns if c not in columns]
+    order = [F.col(f"`{c}`") for c in (*own, *columns)]
+    return hot_join(left.select(*order[: len(own)]), slim, list(pairs), "left").select(*order)
 
 
 def full_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
