@@ -93,7 +93,7 @@ def tb3(t: Tables):
 
 def new_grants(t: Tables):
     """Grants against a stored table (every second grant): rows to insert, typed."""
-    built = conform(A.grants(awards(t), other(t), fund_codes(t)), TABLES["grants"])
+    built = settle(conform(A.grants(awards(t), other(t), fund_codes(t)), TABLES["grants"]))
     stored = built.where("cast(substr(grant_id, 2) as bigint) % 2 = 0")
     fresh = new_rows(built, stored)
     return insert_if_absent(fresh, stored, ["grant_id"], ["generated_internal_id"])

@@ -46,6 +46,7 @@ LAW_PATTERN = (
     r"|[A-Za-z]{3,9}\.?\s*\d{1,2}(?:[\.\-]?\s*\d{4})?"
     r"|(?:\w+\s*\d{1,2}(?:[\.\-]?\s*\d{4})?))?"
 )
+LAW_NUMBER_PATTERN = r"P\.?L\.?\s*\d{2,3}\s*-\s*\d{1,3}"
 STANDALONE_LAW_PATTERN = r"(P\.?L\.?\s*\d{2,3}\s*-\s*\d{1,3})(?=\s*[^\d]|$)"
 EVENT_YEAR_PATTERN = r"(\d{4}(?:-\d{4})?)"
 REPORT_TERRITORY = "PUERTO RICO"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -22,10 +23,28 @@ from grantflow.fixed_values import (
 from grantflow.functions.cleaning import as_column
 
 
+# Text a date format can read, per letter run of the format.
+SHAPES = {
+    "yyyy": "[0-9]{4}", "MMMM": "[A-Za-z]{3,9}", "MMM": "[A-Za-z]{3}", "MM": "[0-9]{2}",
+    "dd": "[0-9]{2}", "d": "[0-9]{1,2}",
+}
+
+
+def shape_of(fmt: str) -> str:
+    """Pattern of the texts that ``fmt`` may read."""
+    return "^" + re.sub(r"[A-Za-z]+", lambda run: SHAPES[run.group()], fmt) + "$"
+
+
 def lenient_date(value: Column | str, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """First format that parses wins; none -> null."""
+    """First format that parses wins; none -> null.
+
+    A format is tried only on text of its shape: a failed parse costs an
+    exception, a failed pattern next to nothing.
+    """
     column = as_column(value)
-    return F.coalesce(*[F.try_to_date(column, fmt) for fmt in formats])
+    return F.coalesce(
+        *[F.when(column.rlike(shape_of(fmt)), F.try_to_date(column, fmt)) for fmt in formats]
+    )
 
 
 def staging_date(value: Column | str, formats: Sequence[str] = DATE_FORMATS) -> Column:
@@ -40,7 +59,7 @@ def strict_date(value: Column | str, fmt: str = "yyyy-MM-dd") -> Column:
 
 def long_date(value: Column | str) -> Column:
     """``January 31, 2024`` -> date, else null."""
-    return F.try_to_date(as_column(value), LONG_DATE_FORMAT)
+    return lenient_date(value, [LONG_DATE_FORMAT])
 
 
 def law_date(value: Column | str) -> Column:
@@ -79,7 +98,7 @@ def report_date(text: Column | str, name: Column | str) -> Column:
     """First date of the text (long dates before ISO ones), else the file month."""
     first = F.get(dates_in_text(text), F.lit(0))
     return F.coalesce(
-        long_date(first), F.try_to_date(first, "yyyy-MM-dd"), month_from_file_name(name)
+        lenient_date(first, [LONG_DATE_FORMAT, "yyyy-MM-dd"]), month_from_file_name(name)
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from grantflow.fixed_values import (
     EVENT_PATTERNS,
     EVENT_YEAR_PATTERN,
+    LAW_NUMBER_PATTERN,
     LAW_PATTERN,
     REPORT_TERRITORY,
     STANDALONE_LAW_PATTERN,
@@ -24,12 +25,15 @@ def unicode_classes(pattern: str) -> str:
 
 def first_pattern(line: Column | str, patterns: Sequence[str] = tuple(EVENT_PATTERNS)) -> Column:
     """Match of the first pattern that fits at the start of the line, else null."""
-    column = as_column(line)
-    tries = [
-        F.nullif(F.regexp_extract(column, unicode_classes(f"^(?:{p})"), 0), F.lit(""))
-        for p in patterns
-    ]
-    return trim_text(F.coalesce(*tries))
+    # one ordered alternation: the first alternative that fits decides
+    tried = "|".join(f"(?:{p})" for p in patterns)
+    found = F.regexp_extract(as_column(line), unicode_classes(f"^(?:{tried})"), 0)
+    return F.nullif(trim_text(found), F.lit(""))
+
+
+def has_law(line: Column | str) -> Column:
+    """True for every line in which a law number can be found."""
+    return as_column(line).rlike(unicode_classes(LAW_NUMBER_PATTERN))
 
 
 def law_mentions(line: Column | str) -> Column:

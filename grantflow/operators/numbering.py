@@ -30,8 +30,7 @@ def running_offset(
     rows as they lie, without a shuffle.
     """
     if order:
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        df = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
     placed = settle(df.withColumn("_slot", F.monotonically_increasing_id()))
     placed = placed.withColumn("_part", F.shiftright("_slot", 33))
     if weight is None:
@@ -65,8 +64,10 @@ def first_seen_ids(
     Keys already in ``stored`` keep their ids and are left out; new ids continue
     after the largest stored one.  Returns ``keys`` and ``into`` for the new keys.
     """
+    # a single number can be minimised in a hash aggregate, a struct needs a sort
     ranks = F.struct(*[F.col(c) for c in order])
-    first = df.groupBy(*keys).agg(F.min(ranks).alias("_first"))
+    least = F.struct(F.min(order[0]).alias(order[0])) if len(order) == 1 else F.min(ranks)
+    first = df.groupBy(*keys).agg(least.alias("_first"))
     if stored is not None:
         first = null_safe_join(first, stored.select(*keys).distinct(), keys, "left_anti")
     flat = first.select(*keys, *[F.col(f"_first.{c}").alias(f"_o_{c}") for c in order])

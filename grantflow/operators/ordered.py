@@ -1,7 +1,7 @@
 """Operators that follow row order inside a document or file.
 
 Every one takes the group (document, file; never null) and an explicit integer
-row number.
+row number, which should be nearly dense: a line or row count, not a time stamp.
 A group may hold any share of all rows, so windows run over blocks of ``block``
 row numbers and the little that crosses a block border travels as a small table
 (carry-down) or as copied border rows (neighbours).
@@ -32,25 +32,26 @@ def carry_down(
 ) -> DataFrame:
     """Last non-null ``value`` at or above each row of the group.
 
-    The input is read twice: settle one that is costly to compute.
+    The input is read more than once: settle one that is costly to compute.
     """
     blocked = df.withColumns(
         {"_value": value, "_block": F.floor(F.col(row_no) / block).cast("bigint")}
     )
-    lasts = blocked.groupBy(*group, "_block").agg(
-        F.max_by("_value", F.when(F.col("_value").isNotNull(), F.col(row_no))).alias("_last")
+    keys = [*group, "_block"]
+    lasts = blocked.where(F.col("_value").isNotNull()).groupBy(*keys).agg(
+        F.max_by("_value", row_no).alias("_last")
     )
     above = (
         Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     )
-    carried = lasts.select(
+    carried = blocked.select(*keys).distinct().join(lasts, keys, "left").select(
         *group, "_block", F.last("_last", ignorenulls=True).over(above).alias("_carried")
     ).where(F.col("_carried").isNotNull())
     inside = (
         Window.partitionBy(*group, "_block").orderBy(row_no).rowsBetween(Window.unboundedPreceding, 0)
     )
     return (
-        blocked.join(carried, [*group, "_block"], "left")
+        blocked.join(carried, keys, "left")
         .withColumn(into, F.coalesce(F.last("_value", ignorenulls=True).over(inside), "_carried"))
         .drop("_value", "_block", "_carried")
     )

@@ -27,6 +27,7 @@ from grantflow.functions.reports import (
     event_year,
     first_pattern,
     has_award,
+    has_law,
     law_mentions,
     standalone_laws,
 )
@@ -67,11 +68,10 @@ def report_dates(lines: DataFrame) -> DataFrame:
 
 
 def sections(lines: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Lines with the disaster event they stand under (null above the first)."""
+    """Lines with their heading and the event they stand under (null above the first)."""
     stripped = lines.withColumn("line", trim_text("line"))
-    return carry_down(
-        stripped, ["doc_id"], "line_no", first_pattern("line"), "disaster_event", block
-    )
+    headed = stripped.withColumn("heading", first_pattern("line"))
+    return carry_down(headed, ["doc_id"], "line_no", F.col("heading"), "disaster_event", block)
 
 
 def sectioned_laws(tied: DataFrame) -> DataFrame:
@@ -123,11 +123,8 @@ def marked_lines(tied: DataFrame) -> DataFrame:
 
     All later steps read these few lines, not the whole text.
     """
-    telling = (
-        has_award("line") | (F.size(standalone_laws("line")) > 0) | (F.size(law_mentions("line")) > 0)
-    )
-    heading = first_pattern("line").isNotNull()
-    return settle(tied.where(heading | telling))
+    telling = F.col("line").contains(REPORT_TERRITORY) | has_law("line")
+    return settle(tied.where(F.col("heading").isNotNull() | telling))
 
 
 def extract(lines: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:

@@ -12,7 +12,7 @@ from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,34 +47,43 @@ def ledger(spark: SparkSession, root: str) -> DataFrame:
     return _read(spark, LEDGER_DDL, f"{root}/ledger")
 
 
+def _notes(spark: SparkSession, root: str) -> list[Row]:
+    """The ledger on the driver: one short row per load of a table."""
+    return sorted(ledger(spark, root).collect(), key=lambda note: note.seq)
+
+
 def _note(spark: SparkSession, root: str, table: str, run_id: str, action: str, n_rows: int) -> None:
-    last = ledger(spark, root).agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
+    last = max((note.seq for note in _notes(spark, root)), default=0)
     row = [(table, run_id, action, last + 1, n_rows)]
     spark.createDataFrame(row, LEDGER_DDL).coalesce(1).write.mode("append").parquet(f"{root}/ledger")
 
 
-def visible_runs(spark: SparkSession, root: str, table: str) -> DataFrame:
+def visible_runs(spark: SparkSession, root: str, table: str) -> list[str]:
     """Published runs since the last truncation."""
-    notes = ledger(spark, root).where(F.col("table_name") == table)
-    cleared = notes.where("action = 'truncate'").agg(F.coalesce(F.max("seq"), F.lit(0)))
-    return notes.where((F.col("action") == "load") & (F.col("seq") > cleared.scalar())).select("run_id")
+    runs: list[str] = []
+    for note in _notes(spark, root):
+        if note.table_name == table:
+            runs = [*runs, note.run_id] if note.action == "load" else []
+    return runs
 
 
 def is_published(spark: SparkSession, root: str, table: str, run_id: str) -> bool:
-    notes = ledger(spark, root)
-    return not notes.where(
-        (F.col("table_name") == table) & (F.col("run_id") == run_id) & (F.col("action") == "load")
-    ).isEmpty()
+    return any(
+        (note.table_name, note.run_id, note.action) == (table, run_id, "load")
+        for note in _notes(spark, root)
+    )
 
 
 def read_table(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
     """All visible rows of a table, in its declared columns.
 
+    The runs are a partition filter, so folders of other runs are not opened.
     Columns added to the spec later read as null from older runs.
     """
     with_run = T.StructType([*spec.schema.fields, T.StructField("run_id", T.StringType())])
     stored = _read(spark, with_run, f"{root}/{spec.name}")
-    return stored.join(visible_runs(spark, root, spec.name), "run_id", "left_semi").select(*spec.columns)
+    runs = visible_runs(spark, root, spec.name)
+    return stored.where(F.col("run_id").isin(runs)).select(*spec.columns)
 
 
 def _stored_keys(staged: DataFrame, stored: DataFrame, spec: TableSpec) -> DataFrame:
