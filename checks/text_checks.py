@@ -12,6 +12,7 @@ from grantflow.plans.history import (
     award_lines,
     extract,
     leftover_laws,
+    marked_lines,
     report_dates,
     sectioned_laws,
     sections,
@@ -90,7 +91,7 @@ def tx5(t: Tables):
     WITH_LINES + "SELECT doc_id, line_no, event AS disaster_event, pl_number, pl_text AS pl_date FROM direct",
 )
 def tx6(t: Tables):
-    return sectioned_laws(sections(report_lines(t))).drop("pos")
+    return sectioned_laws(sections(marked_lines(report_lines(t)))).drop("pos")
 
 
 @check(
@@ -98,7 +99,7 @@ def tx6(t: Tables):
     WITH_LINES + "SELECT doc_id, line_no, event AS disaster_event, pl_number FROM leftover",
 )
 def tx7(t: Tables):
-    tied = sections(report_lines(t))
+    tied = sections(marked_lines(report_lines(t)))
     return leftover_laws(tied, sectioned_laws(tied)).drop("pos", "pl_date")
 
 
@@ -109,7 +110,7 @@ def tx7(t: Tables):
          FROM award_lines""",
 )
 def tx8(t: Tables):
-    return award_lines(sections(report_lines(t))).drop("territory")
+    return award_lines(sections(marked_lines(report_lines(t)))).drop("territory")
 
 
 @check("TX9_headings", WITH_LINES + "SELECT doc_id, line_no, heading FROM headed")

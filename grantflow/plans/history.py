@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grantflow.fixed_values import REPORT_DATE_PATTERN, REPORT_TERRITORY
+from grantflow.fixed_values import HEADING_YEARS_PATTERN, REPORT_DATE_PATTERN, REPORT_TERRITORY
 from grantflow.functions.cleaning import trim_text
 from grantflow.functions.dates import (
     heading_end_year,
@@ -52,26 +52,37 @@ def report_dates(lines: DataFrame) -> DataFrame:
     that is no date after all falls back to the month in the file name.
     """
     found = F.nullif(F.regexp_extract("line", REPORT_DATE_PATTERN, 1), F.lit(""))
-    per_doc = lines.select(
-        "doc_id", "file_name", "line_no", found.alias("_found"), heading_end_year("line").alias("_year")
-    ).groupBy("doc_id").agg(
-        F.min("file_name").alias("_file"),
-        F.min_by("_found", F.when(F.col("_found").isNotNull(), F.col("line_no"))).alias("_found"),
-        F.min_by("_year", F.when(F.col("_year").isNotNull(), F.col("line_no"))).alias("_year"),
+    hits = (
+        lines.where(may_date("line"))
+        .select("doc_id", "line_no", found.alias("_found"), heading_end_year("line").alias("_year"))
+        .groupBy("doc_id")
+        .agg(
+            F.min_by("_found", F.when(F.col("_found").isNotNull(), F.col("line_no"))).alias("_found"),
+            F.min_by("_year", F.when(F.col("_year").isNotNull(), F.col("line_no"))).alias("_year"),
+        )
     )
-    return per_doc.select(
+    docs = lines.select("doc_id", "file_name").distinct()
+    return enrich(docs, hits, ["doc_id"], ["_found", "_year"]).select(
         "doc_id",
         F.coalesce(
-            long_date(repair_year("_found", "_year")), month_from_file_name("_file")
+            long_date(repair_year("_found", "_year")), month_from_file_name("file_name")
         ).alias("report_date"),
     )
 
 
-def sections(lines: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Lines with their heading and the event they stand under (null above the first)."""
+def may_date(line: str) -> Column:
+    return F.col(line).rlike(f"{REPORT_DATE_PATTERN}|{HEADING_YEARS_PATTERN}")
+
+
+def headed(lines: DataFrame) -> DataFrame:
+    """Trimmed lines with their heading, if they are one."""
     stripped = lines.withColumn("line", trim_text("line"))
-    headed = stripped.withColumn("heading", first_pattern("line"))
-    return carry_down(headed, ["doc_id"], "line_no", F.col("heading"), "disaster_event", block)
+    return stripped.withColumn("heading", first_pattern("line"))
+
+
+def sections(heads: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Lines with the event they stand under (null above the first)."""
+    return carry_down(heads, ["doc_id"], "line_no", F.col("heading"), "disaster_event", block)
 
 
 def sectioned_laws(tied: DataFrame) -> DataFrame:
@@ -118,19 +129,20 @@ def award_lines(tied: DataFrame) -> DataFrame:
     )
 
 
-def marked_lines(tied: DataFrame) -> DataFrame:
-    """The lines that hold a heading, a law or an award, written once.
+def marked_lines(lines: DataFrame) -> DataFrame:
+    """The lines that hold a heading, a law, an award or a date, written once.
 
-    All later steps read these few lines, not the whole text.
+    The one step that reads the whole text: it neither shuffles nor sorts.
     """
-    telling = F.col("line").contains(REPORT_TERRITORY) | has_law("line")
-    return settle(tied.where(F.col("heading").isNotNull() | telling))
+    telling = F.col("line").contains(REPORT_TERRITORY) | has_law("line") | may_date("line")
+    return settle(headed(lines).where(F.col("heading").isNotNull() | telling))
 
 
 def extract(lines: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """(laws, awards) of all documents; only laws of events with an award stay."""
-    tied = marked_lines(sections(lines, block))
-    awards = enrich(award_lines(tied), report_dates(lines), ["doc_id"], ["report_date"])
+    marked = marked_lines(lines)
+    tied = settle(sections(marked, block))
+    awards = enrich(award_lines(tied), report_dates(marked), ["doc_id"], ["report_date"])
     direct = sectioned_laws(tied)
     laws = direct.unionByName(leftover_laws(tied, direct))
     return keep_present(laws, awards, ["doc_id", "disaster_event"]), awards

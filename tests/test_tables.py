@@ -85,7 +85,7 @@ def lines(spark, *docs):
 
 def test_history_steps(spark):
     given = lines(spark, ("d1", REPORT))
-    tied = H.sections(given, block=2)
+    tied = H.sections(H.headed(given), block=2)
     sections = [r[0] for r in tied.orderBy("line_no").select("disaster_event").collect()]
     assert sections == [None] * 3 + ["Hurricanes Irma, Maria 2017"] * 5 + ["Floods 2016-2017"] * 2
     assert rows(H.report_dates(given)) == [("d1", date(2024, 1, 31))]
