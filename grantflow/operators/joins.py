@@ -109,7 +109,13 @@ def new_rows(new: DataFrame, stored: DataFrame, ignore: Sequence[str] = ()) -> D
         .distinct()
         .withColumn("_hash", F.xxhash64(*[F.col(f"_values.`{f.name}`") for f in shared]))
     )
-    return left.join(right, ["_hash", "_values"], "left_anti").drop("_hash", "_values")
+    # columns that need no cast come back out of the struct, so they are shuffled once
+    kinds = {f.name: f.dataType for f in shared}
+    back = [
+        F.col(f"_values.`{c}`").alias(c) if kinds.get(c) == new.schema[c].dataType else F.col(f"`{c}`")
+        for c in new.columns
+    ]
+    return left.join(right, ["_hash", "_values"], "left_anti").select(*back)
 
 
 def last_wins(table: DataFrame, key: str, value: str, order: str) -> DataFrame:

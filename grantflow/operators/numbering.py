@@ -21,6 +21,11 @@ from grantflow.session import settle
 BLOCK = 65_536
 
 
+def block_of(row_no: str, block: int) -> Column:
+    """Number of the block a row number lies in (integer division)."""
+    return F.expr(f"cast(`{row_no}` as bigint) div {block}")
+
+
 def running_offset(
     df: DataFrame, order: Sequence[str], into: str = "offset", weight: str | None = None
 ) -> DataFrame:
@@ -85,7 +90,7 @@ def _numbered(
     a far smaller table, get the running offset.
     """
     keys = [*group, *order, "_block"]
-    blocked = df.withColumn("_block", F.floor(F.col(row_no) / block).cast("bigint"))
+    blocked = df.withColumn("_block", block_of(row_no, block))
     counts = blocked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     offsets = running_offset(counts, keys, "_before", "_rows").drop("_rows")
     if group:

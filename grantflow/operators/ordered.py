@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from grantflow.fixed_values import CONTINUATION_NAMES
 from grantflow.functions.cleaning import is_grant_id, trim_text
 from grantflow.operators.joins import hot_join
-from grantflow.operators.numbering import BLOCK, running_offset
+from grantflow.operators.numbering import BLOCK, block_of, running_offset
 from grantflow.session import settle
 
 
@@ -35,7 +35,7 @@ def carry_down(
     The input is read more than once: settle one that is costly to compute.
     """
     blocked = df.withColumns(
-        {"_value": value, "_block": F.floor(F.col(row_no) / block).cast("bigint")}
+        {"_value": value, "_block": block_of(row_no, block)}
     )
     keys = [*group, "_block"]
     lasts = blocked.where(F.col("_value").isNotNull()).groupBy(*keys).agg(
@@ -82,7 +82,7 @@ def repair_wrapped(
     a gap fails the job.
     """
     number = F.col(row_no)
-    home = F.floor(number / block).cast("bigint")
+    home = block_of(row_no, block)
     to_before = (number % block < passes) & (number >= block)
     copies = F.when(
         to_before,

@@ -63,7 +63,7 @@ def blocks_of(
     """
     pair = F.struct(F.col(order).alias("o"), F.col(value).alias("v"))
     return (
-        df.groupBy(*keys, F.floor(F.col(order) / block).cast("bigint").alias("block_no"))
+        df.groupBy(*keys, F.expr(f"cast(`{order}` as bigint) div {block}").alias("block_no"))
         .agg(F.array_sort(F.collect_list(pair)).alias("_pairs"))
         .select(*keys, "block_no", F.transform("_pairs", lambda p: p["v"]).alias(into))
     )
