@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from grantflow.fixed_values import (
     DATE_FORMATS,
@@ -52,6 +53,15 @@ def staging_date(value: Column | str, formats: Sequence[str] = DATE_FORMATS) ->
     return F.date_format(lenient_date(value, formats), STAGING_DATE_FORMAT)
 
 
+def declared_cast(value: Column, to: T.DataType, given: T.DataType) -> Column:
+    """Lenient cast to a declared type; text dates may be ISO or staged."""
+    if given == to:
+        return value
+    if isinstance(to, T.DateType) and isinstance(given, T.StringType):
+        return lenient_date(value, ["yyyy-MM-dd", STAGING_DATE_FORMAT])
+    return value.try_cast(to)
+
+
 def strict_date(value: Column | str, fmt: str = "yyyy-MM-dd") -> Column:
     """Date that fails the job on bad text (ANSI)."""
     return F.to_date(as_column(value), fmt)

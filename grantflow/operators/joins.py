@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from grantflow.fixed_values import STATES
 from grantflow.functions.cleaning import trim_text
+from grantflow.functions.dates import declared_cast
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -92,7 +93,10 @@ def new_rows(new: DataFrame, stored: DataFrame, ignore: Sequence[str] = ()) -> D
     shared = [f for f in stored.schema.fields if f.name in new.columns and f.name not in ignore]
     if not shared:
         raise ValueError("the two frames share no column to compare")
-    own = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in shared]
+    own = [
+        declared_cast(F.col(f"`{f.name}`"), f.dataType, new.schema[f.name].dataType).alias(f.name)
+        for f in shared
+    ]
     # a value that does not fit the stored type cannot be stored: a new row
     misfits = [
         F.col(f"`{f.name}`").isNotNull() & c.isNull() for f, c in zip(shared, own, strict=True)

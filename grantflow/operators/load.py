@@ -9,8 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from grantflow.fixed_values import STAGING_DATE_FORMAT
-from grantflow.functions.dates import lenient_date
+from grantflow.functions.dates import declared_cast
 from grantflow.operators.rows import first_per_key
 from grantflow.schemas import TABLES, TableSpec
 
@@ -31,21 +30,11 @@ def apply_defaults(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in known.items()}) if known else df
 
 
-def _cast(column: Column, to: T.DataType, given: T.DataType) -> Column:
-    """Lenient cast; staging text dates are read as well."""
-    if given == to:
-        return column
-    if isinstance(to, T.DateType) and not isinstance(given, (T.TimestampType, T.TimestampNTZType)):
-        text = column.cast("string")
-        return lenient_date(text, ["yyyy-MM-dd", STAGING_DATE_FORMAT])
-    return column.try_cast(to)
-
-
 def conform(df: DataFrame, spec: TableSpec, keep: Sequence[str] = ()) -> DataFrame:
     """Cast to the declared columns, in order; absent columns become null."""
     return df.select(
         *[
-            (_cast(F.col(f"`{f.name}`"), f.dataType, df.schema[f.name].dataType) if f.name in df.columns else F.lit(None).cast(f.dataType))
+            (declared_cast(F.col(f"`{f.name}`"), f.dataType, df.schema[f.name].dataType) if f.name in df.columns else F.lit(None).cast(f.dataType))
             .alias(f.name)
             for f in spec.schema.fields
         ],
@@ -68,7 +57,7 @@ def broken_rules(df: DataFrame, spec: TableSpec) -> Column:
         column = F.col(f"`{f.name}`")
         given = df.schema[f.name].dataType
         if given != f.dataType and not isinstance(f.dataType, T.StringType):
-            tests.append((f.name, "type", column.isNotNull() & _cast(column, f.dataType, given).isNull()))
+            tests.append((f.name, "type", column.isNotNull() & declared_cast(column, f.dataType, given).isNull()))
         if f.name in spec.lengths:
             tests.append((f.name, "length", F.length(column.cast("string")) > spec.lengths[f.name]))
         if f.name in spec.required or (f.name in spec.key and f.name != spec.serial):

@@ -21,13 +21,13 @@ def rows_to_load(
 
     A table with an auto id that ``df`` does not bring is compared without the
     id and numbered after the stored rows.  ``order`` decides which of several
-    new rows with one key is kept; by default the smallest row.
+    new rows with one key is kept; by default the smallest row.  Rows without a
+    key cannot be stored and are left out; ``violations`` lists them.
     """
     auto = spec.serial is not None and spec.serial not in df.columns
-    ignore = [spec.serial] if auto else []
-    fresh = new_rows(df, stored, ignore)
     if auto:
-        return loaded_ids(fresh, spec.serial, stored=stored)
+        return loaded_ids(new_rows(df, stored, [spec.serial]), spec.serial, stored=stored)
+    fresh = new_rows(df.dropna(subset=list(spec.key)), stored)
     ranks = list(order) or [F.col(f"`{c}`") for c in df.columns]
     return insert_if_absent(fresh, stored, spec.key, ranks)
 

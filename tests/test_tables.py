@@ -4,6 +4,7 @@ from datetime import date
 from decimal import Decimal
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conftest import rows
 from grantflow.fixed_values import NEW_LAYOUT
@@ -11,6 +12,7 @@ from grantflow.plans import awards as A
 from grantflow.plans import financial as Fi
 from grantflow.plans import history as H
 from grantflow.plans import performance as P
+from grantflow.plans.loading import load_tables
 from grantflow.schemas import (
     AWARDS_DDL,
     BLOCKS_DDL,
@@ -19,9 +21,11 @@ from grantflow.schemas import (
     LINES_DDL,
     OTHER_DDL,
     SUBAWARDS_DDL,
+    TABLES,
     TRANSACTIONS_DDL,
 )
-from pyspark.sql import types as T
+from grantflow.session import scratch_dir
+from grantflow.sources.tables import read_table
 
 
 def frame(spark, ddl, *records):
@@ -29,7 +33,7 @@ def frame(spark, ddl, *records):
     return spark.createDataFrame([tuple(r.get(f.name) for f in schema.fields) for r in records], schema)
 
 
-def test_award_tables(spark):
+def award_inputs(spark):
     awards = frame(spark, AWARDS_DDL,
                    {"Award ID": "G1", "Recipient Name": " Acme ", "Award Amount": Decimal("5.00"), "Award Type": "BLOCK",
                     "def_codes": "['Q']", "Start Date": "2020-01-31", "End Date": "junk", "generated_internal_id": "A1"},
@@ -51,8 +55,11 @@ def test_award_tables(spark):
                  {"subaward_id": "2", "recipient_name": None, "generated_internal_id": "zz"})
     moves = frame(spark, TRANSACTIONS_DDL, {"id": "t", "action_date": "bad", "cfda_number": "14.210", "Award ID": "G1"})
     codes = spark.createDataFrame([("Q", "115-56", 0), ("Q", "115-123", 1)], "def_codes string, `PL Number 1` string, row_no int")
-    built = A.award_tables(awards, other, funding, subs, moves, codes)
+    return awards, other, funding, subs, moves, codes
+
 
+def test_award_tables(spark):
+    built = A.award_tables(*award_inputs(spark))
     assert rows(built["states"]) == [("Puerto Rico", "PR")]
     assert rows(built["cfdaprograms"]) == [("14.210", "t", None)]
     assert rows(built["agencies"]) == [("EPA", None, 3, 4, "epa"), ("HUD", 86, 1, 2, "hud")]
@@ -168,3 +175,32 @@ def test_old_layout_has_no_pace(spark):
     row = built.first()
     assert (row.report_id, row.grant_id, row.grant_award, row.amount_behind_pace, row.spending_status, row.report_date) == (
         1, "B-1", Decimal("5.00"), None, "slow", date(2020, 3, 5))
+
+
+def test_award_tables_load_once(spark):
+    """All ten tables against their parents; a second run with the same input adds nothing."""
+    root = scratch_dir(spark, "awards")
+    built = A.award_tables(*award_inputs(spark))
+    for run_id in ("r1", "r2"):
+        assert set(load_tables(built, root, run_id).values()) == {True}
+        stored = {name: read_table(spark, root, TABLES[name]) for name in built}
+        assert {name: df.count() for name, df in stored.items()} == {
+            "states": 1, "cfdaprograms": 1, "agencies": 1, "subagency": 1, "recipients": 2, "grants": 3,
+            "federalawards": 2, "funding": 1, "transactions": 1, "subawards": 2,
+        }
+    grant = stored["grants"].where("grant_id = 'G1'").first()
+    assert (grant.start_date, grant.awarding_sub_agency_code) == (date(2020, 1, 31), 8600)
+    assert rows(stored["federalawards"].select("award_id")) == [(1,), (2,)]
+    assert rows(stored["agencies"].select("agency_code", "agency_name")) == [("86", "HUD")]
+
+
+def test_repeated_headers_load_as_the_first(spark):
+    root = scratch_dir(spark, "headers")
+    headers = spark.createDataFrame(
+        [(1, "Total", "9.00", "p", "1.00", "d1", 1), (1, "Total", "2.00", "p", "1.00", "d1", 4)],
+        "amount_desc_id bigint, description string, time_period_amount string, time_period string, "
+        "to_date_amount string, doc_id string, row_no int",
+    )
+    load_tables({"amountdescriptions": headers}, root, "r1", {"amountdescriptions": ["doc_id", "row_no"]})
+    stored = read_table(spark, root, TABLES["amountdescriptions"])
+    assert rows(stored.select("amount_desc_id", "time_period_amount")) == [(1, Decimal("9.00"))]
