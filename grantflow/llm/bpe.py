@@ -253,8 +253,10 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFram
     return df.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(run, schema)
 
 
-def round_trip(df: DataFrame, path: str, pattern: str, text: str = "text", keep=None) -> DataFrame:
-    """Encode and decode in one pass; add ``n_tokens`` and the digests of ids and bytes."""
+def round_trip(
+    df: DataFrame, path: str, pattern: str, text: str = "text", keep=None, with_ids: bool = False
+) -> DataFrame:
+    """Encode and decode in one pass; add ``n_tokens``, the digests of ids and bytes, and ``ids`` if asked for."""
     sent = df.sparkSession.sparkContext.broadcast(read_ranks(path))
 
     def prepare():
@@ -262,13 +264,15 @@ def round_trip(df: DataFrame, path: str, pattern: str, text: str = "text", keep=
 
         def make(texts: list[str]):
             ids = own.encode(texts)
-            return (
+            made = [
                 [len(x) // 4 for x in ids],
                 [hashlib.sha256(x).hexdigest() for x in ids],
                 [hashlib.sha256(own.decode(x)).hexdigest() for x in ids],
-            )
+            ]
+            return [*made, ids] if with_ids else made
 
         return make
 
     fields = {"n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"}
+    fields |= {"ids": "binary"} if with_ids else {}
     return add_text_columns(df, text, fields, prepare, keep)

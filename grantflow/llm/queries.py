@@ -8,19 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantflow.llm import bpe, token_counts
-from grantflow.session import tune
+from grantflow.llm import bpe, exact_dedup, exact_search, fixity, line_dedup, minhash, mixing, quality, suffix_dedup, token_counts
+from grantflow.session import settle, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(table: str, sql: str | None = None):
-    """Register ``build(frame of the table)`` under the function's name."""
+def query(*tables: str, sql: str | None = None):
+    """Register ``build(frames of the tables)`` under the function's name."""
 
-    def register(build: Callable[[DataFrame], DataFrame]):
+    def register(build: Callable[..., DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return build(tune(spark).read.parquet(f"{folder}/{table}.parquet"))
+            return build(*[tune(spark).read.parquet(f"{folder}/{table}.parquet") for table in tables])
 
         run.__name__ = build.__name__
         QUERIES[build.__name__] = run
@@ -42,3 +42,132 @@ def op10_token_counts(documents: DataFrame) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     counted = token_counts.prefix_counts(documents, path, public_tokenizers.PATTERN, keep=["doc_id"])
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
+@query(
+    "documents",
+    sql="""
+    WITH t AS (
+        SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x
+        FROM documents
+    )
+    SELECT doc_id, max(doc_id) OVER (PARTITION BY x) AS keep_id, count(*) OVER (PARTITION BY x) AS group_size,
+           doc_id IS NOT DISTINCT FROM max(doc_id) OVER (PARTITION BY x) AS kept, sha256(x) AS text_sha256
+    FROM t
+    """,
+)
+def op8_exact_dedup(documents: DataFrame) -> DataFrame:
+    return exact_dedup.exact_duplicates(documents)
+
+
+@query("documents")
+def op3_source_mix(documents: DataFrame) -> DataFrame:
+    mixed = mixing.mix(documents)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+@query(
+    "documents",
+    sql=r"""
+    WITH line AS (
+        SELECT doc_id, u.raw, u.i, trim(u.raw, e' \t\r\f\v') AS x
+        FROM documents, unnest(string_split(text, chr(10))) WITH ORDINALITY AS u(raw, i)
+    ), placed AS (
+        SELECT doc_id, x, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS place,
+               lead(x) OVER (PARTITION BY doc_id ORDER BY i) AS y
+        FROM line WHERE x <> ''
+    ), run AS (
+        SELECT doc_id, place, 2 AS n, x, y FROM placed WHERE y IS NOT NULL
+        UNION ALL SELECT doc_id, place, 1, x, '' FROM placed WHERE length(x) >= 80
+    ), later AS (
+        SELECT doc_id, place, n, row_number() OVER (PARTITION BY n, x, y ORDER BY doc_id, place) AS nth FROM run
+    ), gone AS (
+        SELECT DISTINCT doc_id, place + k AS place FROM later, unnest(range(n)) AS r(k) WHERE nth > 1
+    ), numbered AS (
+        SELECT doc_id, raw, i, x,
+               CASE WHEN x <> '' THEN count(*) FILTER (WHERE x <> '') OVER (PARTITION BY doc_id ORDER BY i) END AS place
+        FROM line
+    ), joined AS (
+        SELECT n.*, g.place AS gone, before.place AS before
+        FROM numbered n LEFT JOIN gone g USING (doc_id, place)
+        LEFT JOIN gone before ON before.doc_id = n.doc_id AND before.place = n.place - 1
+    ), rebuilt AS (
+        SELECT doc_id, coalesce(string_agg(raw, chr(10) ORDER BY i) FILTER (WHERE gone IS NULL), '') AS text,
+               count(place) AS n_lines, count(gone) AS n_removed,
+               count(*) FILTER (WHERE gone IS NOT NULL AND before IS NULL) AS n_runs
+        FROM joined GROUP BY doc_id
+    )
+    SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(r.text, '') END AS text,
+           coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(n_runs, 0) AS n_runs
+    FROM documents d LEFT JOIN rebuilt r USING (doc_id)
+    """,
+)
+def op4_line_dedup(documents: DataFrame) -> DataFrame:
+    return line_dedup.dedup_lines(documents).select("doc_id", "text", "n_lines", "n_removed", "n_runs")
+
+
+@query("documents")
+def op1_minhash_near_dedup(documents: DataFrame) -> DataFrame:
+    return minhash.near_duplicates(documents).select("doc_id", "class_id", "class_size", "kept")
+
+
+@query("documents", "labels")
+def op2_quality(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    scored = quality.score(documents, quality.train(documents, labels), keep=["doc_id"])
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+@query(
+    "embeddings",
+    sql="""
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x::DOUBLE))) = len(embedding)
+    ), scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+        FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+    ), ranked AS (
+        SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+        FROM scored
+    )
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+)
+def op6_exact_top_k(embeddings: DataFrame) -> DataFrame:
+    return exact_search.top_inner_products(embeddings, F.col("vec_id") % 50 == 0)
+
+
+@query("documents")
+def op7_suffix_dedup(documents: DataFrame) -> DataFrame:
+    return suffix_dedup.repeated_strings(documents)
+
+
+WARC_RECORD = r"""
+    SELECT page_id, page_id // 256 AS file,
+           strlen(e'WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:' || page_id
+                  || e'>\r\nWARC-Target-URI: ' || coalesce(url, '') || e'\r\nContent-Type: text/html\r\nContent-Length: '
+                  || strlen(coalesce(html, '')) || e'\r\n\r\n' || coalesce(html, '') || e'\r\n\r\n') AS length
+    FROM pages
+"""
+
+
+@query(
+    "pages",
+    sql=f"""
+    WITH record AS ({WARC_RECORD}), placed AS (
+        SELECT *, coalesce(sum(length) OVER (
+            PARTITION BY file ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset"
+        FROM record
+    )
+    SELECT file, "offset", page_id AS key, length,
+           CASE WHEN file % 13 = 4 AND page_id % 256 >= 250 THEN 'lost' ELSE 'changed' END AS finding
+    FROM placed WHERE page_id % 97 = 5 OR file % 13 = 4 AND page_id % 256 >= 250
+    """,
+)
+def op5_warc_fixity(pages: DataFrame) -> DataFrame:
+    """Audit a replica in which every 97th page has another first byte and some files lack their end."""
+    rot, cut = F.expr("page_id % 97 = 5"), F.expr("page_id div 256 % 13 = 4 AND page_id % 256 >= 250")
+    turned = F.concat(F.lit("#"), F.expr("substring(html, 2)"))
+    replica = pages.where(~F.coalesce(cut, F.lit(False))).withColumn("html", F.when(rot, turned).otherwise(F.col("html")))
+    return fixity.audit(settle(fixity.archive(pages)), settle(fixity.archive(replica)))

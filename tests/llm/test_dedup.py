@@ -1,0 +1,277 @@
+"""Exact, near, line and substring dedup against brute force."""
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from grantflow.llm import exact_dedup, line_dedup, minhash, suffix_dedup
+from grantflow.llm.bytehash import PrefixHashes
+from grantflow.llm.quotient_filter import CountingQuotientFilter, merge
+from grantflow.llm.suffix_sort import common_prefix, sort_suffixes
+
+SCHEMA = "doc_id long, text string, hash int, size int, keep_id int, repeated int"
+
+
+def frame(spark, texts, parts=5):
+    """Texts with ids, and columns whose names clash with those of operators."""
+    rows = [(i, t, 1, 2, 3, 4) if not isinstance(t, tuple) else (t[0], t[1], 1, 2, 3, 4) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, SCHEMA).repartition(parts, "doc_id")
+
+
+def sentence(chance, n):
+    return " ".join("".join(chance.choice("aeioutrns") for _ in range(chance.randrange(2, 8))) for _ in range(n))
+
+
+# ---- counting quotient filter -------------------------------------------------
+
+
+@pytest.mark.parametrize("width", [12, 40, 63])
+def test_filters_keep_every_count(width):
+    chance = np.random.default_rng(1)
+    parts = [chance.integers(0, 1 << min(width, 62), n).astype(np.uint64) for n in (0, 1, 500, 3000)]
+    parts.append(np.repeat(parts[2][:3], [70_000, 300, 2]))
+    filters = [CountingQuotientFilter.from_bytes(CountingQuotientFilter.of(p, width).to_bytes()) for p in parts]
+    values, counts = merge(filters).entries()
+    want = Counter(np.concatenate(parts).tolist())
+    assert dict(zip(values.tolist(), counts.tolist())) == want and (np.diff(values.astype(object)) > 0).all()
+
+
+def lowered(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+
+
+def test_exact_duplicates(spark):
+    texts = ["Same Text", "same text", "SAME TEXT", "", None, "É", "é", "x" * 50_000, "X" * 50_000, "alone"]
+    texts += ["hot copy"] * 400 + [(3, "Same Text"), (None, "nowhere"), (None, "alone"), (8, "x" * 50_000)]
+    df = frame(spark, texts)
+    rows = [(r.doc_id, lowered(r.text)) for r in df.collect()]
+    got = exact_dedup.exact_duplicates(df)
+    assert got.columns == ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+    want = []
+    for i, t in rows:
+        same = [j for j, u in rows if u == t]
+        keep = max((j for j in same if j is not None), default=None)
+        want.append((i, keep, len(same), i == keep, hashlib.sha256(t.encode()).hexdigest()))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    assert exact_dedup.exact_duplicates(df.limit(0)).count() == 0
+
+
+def test_equal_fingerprints_are_compared(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "fingerprint", lambda raw: len(raw))
+    df = frame(spark, ["ab", "cd", "AB", "e"])
+    rows = {r.doc_id: (r.keep_id, r.group_size) for r in exact_dedup.exact_duplicates(df).collect()}
+    assert rows == {0: (2, 2), 1: (1, 1), 2: (2, 2), 3: (3, 1)}
+
+
+# ---- lines ----------------------------------------------------------------------
+
+
+def plain_lines(docs):
+    """Delete every equal run of two lines, or long line, but the first."""
+    runs, lines = {}, {}
+    for i, t in sorted(docs.items()):
+        lines[i] = [x for x in (line.strip(" \t\r\f\v") for line in (t or "").split("\n")) if x]
+        own = [((a, b), k, 2) for k, (a, b) in enumerate(zip(lines[i], lines[i][1:]))]
+        own += [((a,), k, 1) for k, a in enumerate(lines[i]) if len(a) >= 80]
+        for key, k, n in own:
+            runs.setdefault(key, []).append((i, k, n))
+    gone = {(i, k + j) for found in runs.values() for i, k, n in sorted(found)[1:] for j in range(n)}
+    out = {}
+    for i, t in docs.items():
+        kept, k = [], 0
+        for line in (t or "").split("\n"):
+            if not line.strip(" \t\r\f\v"):
+                kept.append(line)
+                continue
+            if (i, k) not in gone:
+                kept.append(line)
+            k += 1
+        removed = sorted(k for j, k in gone if j == i)
+        out[i] = (None if t is None else "\n".join(kept), len(lines[i]), len(removed), sum(k - 1 not in removed for k in removed))
+    return out
+
+
+def test_repeated_lines(spark):
+    chance = random.Random(3)
+    pool = [sentence(chance, n) for n in (1, 2, 3, 3, 4, 25, 30)] + ["common line", "x"]
+    texts = ["\n".join(chance.choice([*pool, "", " ", f"own {i} {k}"]) for k in range(chance.randrange(12))) for i in range(120)]
+    texts += [None, "", "\n\n", "a\na\na\na", " a \r\na", "z" * 90, f"{'z' * 90}\t", "é" * 80 + "\n1", "2\n" + "é" * 80]
+    texts += ["head\n" + "\n".join(f"line {k % 700}" for k in range(3000))]
+    df = frame(spark, texts)
+    want = plain_lines(dict(enumerate(texts)))
+    got = line_dedup.dedup_lines(df)
+    assert got.columns == [*df.columns, "n_lines", "n_removed", "n_runs"]
+    assert {r.doc_id: (r.text, r.n_lines, r.n_removed, r.n_runs) for r in got.collect()} == want
+    assert line_dedup.dedup_lines(df.limit(0)).count() == 0
+
+
+def test_lines_of_repeated_and_null_ids(spark):
+    text = "one line\nand another"
+    rows = [(1, text), (1, text), (1, "other\n" + text), (None, text), (2, text)]
+    got = sorted((r.doc_id or 0, r.text) for r in line_dedup.dedup_lines(frame(spark, rows)).collect())
+    assert got == [(0, text), (1, ""), (1, ""), (1, "other"), (2, "")]
+
+
+def test_longer_windows_miss_no_run(spark):
+    chance = random.Random(9)
+    texts = ["\n".join(chance.choice("abc") for _ in range(12)) for _ in range(30)]
+    got = {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(frame(spark, texts), window=4, long_line=10**6).collect()}
+    seen, want = set(), {}
+    for i, t in enumerate(texts):
+        lines = t.split("\n")
+        marked = set()
+        for k in range(len(lines) - 3):
+            run = tuple(lines[k : k + 4])
+            if run in seen:
+                marked |= set(range(k, k + 4))
+            seen.add(run)
+        want[i] = len(marked)
+    assert got == want
+
+
+# ---- MinHash -----------------------------------------------------------------------
+
+
+def weights(text):
+    w = text.lower().split()
+    return Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else Counter()
+
+
+def probability_jaccard(a, b):
+    return sum(1 / sum(max(a[e] / a[d], b[e] / b[d]) for e in a.keys() | b.keys()) for d in a.keys() & b.keys())
+
+
+def similarities(texts):
+    doc, value, weight = minhash.shingles([minhash.words(t) for t in texts])
+    cut = np.searchsorted(doc, np.arange(len(texts) + 1))
+    return [(value[a:b], weight[a:b]) for a, b in zip(cut, cut[1:])]
+
+
+def test_similarity_is_the_probability_jaccard():
+    chance = random.Random(4)
+    base = sentence(chance, 40).split()
+    texts = [" ".join(chance.choice(base[:6]) for _ in range(n)) for n in (1, 3, 4, 5, 6, 30, 60, 60)] + [" ".join(base), " ".join(base[3:] + base[:9]), ""]
+    own = similarities(texts)
+    for i, a in enumerate(texts):
+        assert sum(own[i][1]) == sum(weights(a).values())
+        for j, b in enumerate(texts):
+            assert minhash.similarity(own[i], own[j]) == pytest.approx(probability_jaccard(weights(a), weights(b)), abs=1e-9)
+
+
+def test_registers_agree_as_often_as_texts_are_similar():
+    chance = random.Random(6)
+    vocabulary = sentence(chance, 300).split()
+    a = [chance.choice(vocabulary) for _ in range(400)]
+    b = a[:300] + a[50:80] + [chance.choice(vocabulary) for _ in range(60)]
+    texts = [" ".join(a), " ".join(b)]
+    m = 4096
+    signed = minhash.signatures(*minhash.shingles(texts), 2, m)
+    want = probability_jaccard(weights(texts[0]), weights(texts[1]))
+    assert abs((signed[0] == signed[1]).mean() - want) < 4 * (want * (1 - want) / m) ** 0.5
+
+
+def edited(chance, text, share):
+    return " ".join(sentence(chance, 1) if chance.random() < share else w for w in text.split())
+
+
+def test_near_duplicates_against_all_pairs(spark):
+    chance = random.Random(8)
+    texts = []
+    for _ in range(25):
+        base = sentence(chance, chance.randrange(30, 200))
+        texts += [base] + [edited(chance, base, chance.choice([0.0, 0.005, 0.02, 0.05, 0.3])) for _ in range(4)]
+    passage = sentence(chance, 80)
+    texts += [f"{sentence(chance, 40)} {passage} {sentence(chance, 40)}" for _ in range(60)]
+    origin = sentence(chance, 150)
+    texts += [edited(chance, origin, 0.01) for _ in range(120)]
+    texts += ["", None, "  ", "One two", "one  TWO", "one two three", "w " * 2000, sentence(chance, 9000), (7, texts[3]), (7, texts[7])]
+    texts += [(None, "no id at all"), (None, "lost"), (5, "lost")]
+    df = frame(spark, texts)
+    rows = [(r.doc_id, r.text or "") for r in df.collect()]
+    got = minhash.near_duplicates(df).collect()
+    assert len(got) == len(rows)
+    own = similarities([t for _, t in rows])
+    label = list(range(len(rows)))
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if minhash.words(rows[i][1]) == minhash.words(rows[j][1]) or minhash.similarity(own[i], own[j]) >= 0.8:
+                label[root(i)] = root(j)
+    classes = {}
+    for i, row in enumerate(rows):
+        classes.setdefault(root(i), []).append(row)
+    named = Counter()
+    for found in classes.values():
+        first = min((i for i, _ in found if i is not None), default=None)
+        for i, _ in found:
+            named[(i, first, len(found))] += 1
+    assert Counter((r.doc_id, r.class_id, r.class_size) for r in got) == named
+    assert sum(r.kept for r in got) == len(classes)
+    assert minhash.near_duplicates(df.limit(0)).count() == 0
+
+
+# ---- suffixes -----------------------------------------------------------------------
+
+
+def test_suffix_sort():
+    chance = np.random.default_rng(2)
+    data = np.concatenate([chance.integers(97, 100, 4000), np.full(500, 97), chance.integers(0, 256, 500)]).astype(np.uint8)
+    start = chance.integers(0, len(data) - 20, 3000)
+    group = chance.integers(0, 7, 3000)
+    order, kind = sort_suffixes(data, group, start, 20)
+    keys = [(group[i], data[start[i] : start[i] + 20].tobytes()) for i in order]
+    assert keys == sorted(keys) and sorted(order) == list(range(3000))
+    assert [a == b for a, b in zip(keys, keys[1:])] == (kind[1:] == kind[:-1]).tolist()
+    common = common_prefix(PrefixHashes(data), start[:-1], start[1:], 20)
+    for a, b, n in zip(start, start[1:], common):
+        assert n == next((k for k in range(20) if data[a + k] != data[b + k]), 20)
+
+
+def plain_strings(docs):
+    least = {}
+    for i, raw in docs:
+        for p in range(len(raw) - 49):
+            s = raw[p : p + 50]
+            least[s] = min(least.get(s, i), i) if i is not None else least.get(s, 10**9)
+    out = []
+    for i, raw in docs:
+        gone = np.zeros(len(raw), bool)
+        for p in range(len(raw) - 49):
+            if i is not None and least[raw[p : p + 50]] < i:
+                gone[p : p + 50] = True
+        spans = int((gone & ~np.append(False, gone[:-1])[: len(gone)]).sum())
+        kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
+        out.append((i, len(raw), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("chunk_bytes, hot_chunks", [(1 << 14, 3), (2000, 5), (1 << 22, 256)])
+def test_repeated_strings(spark, monkeypatch, chunk_bytes, hot_chunks):
+    chance = random.Random(11)
+    monkeypatch.setattr(suffix_dedup, "SLAB_BYTES", 3000)
+    passage, origin = sentence(chance, 30), sentence(chance, 120)
+    texts = [sentence(chance, chance.randrange(60)) for _ in range(60)]
+    texts += [f"{sentence(chance, 10)} {passage} {sentence(chance, 10)}" for _ in range(50)]
+    texts += [edited(chance, origin, 0.03) for _ in range(20)] + [origin] * 20
+    texts += ["a" * 49, "a" * 50, "a" * 51, "a" * 3000, "ab" * 100, None, "", "日本語テキスト" * 9, "日本語テキスト" * 5 + "x", passage[:50], passage[1:51], passage[:49]]
+    texts += [(3, texts[61]), (3, texts[61]), (None, origin), (None, ""), (-4, origin[30:200]), "z" * 20 + origin[100:149] + "y" * 20]
+    df = frame(spark, texts)
+    docs = [(r.doc_id, (r.text or "").encode()) for r in df.collect()]
+    got = suffix_dedup.repeated_strings(df, chunk_bytes=chunk_bytes, hot_chunks=hot_chunks)
+    assert got.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert sorted(map(tuple, got.collect()), key=repr) == plain_strings(docs)
+
+
+def test_no_strings(spark):
+    df = frame(spark, ["x"])
+    assert suffix_dedup.repeated_strings(df.limit(0)).count() == 0
+    kept = suffix_dedup.repeated_strings(frame(spark, ["q" * 60, "q" * 55 + "r"]), with_bytes=True).collect()
+    assert {r.doc_id: bytes(r.kept) for r in kept} == {0: b"q" * 60, 1: b"r"}
