@@ -121,9 +121,9 @@ def op2_quality(documents: DataFrame, labels: DataFrame) -> DataFrame:
     "embeddings",
     sql="""
     WITH v AS (
-        SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v FROM embeddings
+        SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
         WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-          AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x::DOUBLE))) = len(embedding)
+          AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x::DOUBLE)]) = len(embedding)
     ), scored AS (
         SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
         FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
