@@ -271,12 +271,12 @@ def fl2(t: Tables):
     "FL4_grant_id_rows",
     """SELECT conv_id, turn, regexp_full_match(trim(code), 'B-[0-9]{2}-[A-Z]{2}-[0-9]{2}-[0-9]{4}') AS is_grant
        FROM (SELECT conv_id, turn, CASE turn % 3 WHEN 0 THEN ' B-17-DM-72-' || lpad(CAST(conv_id % 10000 AS VARCHAR), 4, '0')
-             WHEN 1 THEN 'B-17-DM-72-' || conv_id || 'x' ELSE left(text, 20) END AS code FROM conversations)""",
+             WHEN 1 THEN 'B-17-DM-72-' || conv_id || 'x' ELSE text END AS code FROM conversations)""",
 )
 def fl4(t: Tables):
     code = F.expr(
         """case turn % 3 when 0 then concat(' B-17-DM-72-', lpad(cast(conv_id % 10000 as string), 4, '0'))
-           when 1 then concat('B-17-DM-72-', conv_id, 'x') else left(text, 20) end"""
+           when 1 then concat('B-17-DM-72-', conv_id, 'x') else text end"""
     )
     return t.conversations.select("conv_id", "turn", C.is_grant_id(code).alias("is_grant"))
 

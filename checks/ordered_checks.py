@@ -172,7 +172,7 @@ def or7_serial(t: Tables):
 
 @check(
     "OR8_file_ids",
-    """SELECT 'r' || lpad(CAST(conv_id AS VARCHAR), 8, '0') AS doc_id,
+    """SELECT 'r' || lpad(CAST(conv_id AS VARCHAR), 20, '0') AS doc_id,
               row_number() OVER (ORDER BY conv_id) AS activity_id
        FROM (SELECT DISTINCT conv_id FROM conversations)""",
 )

@@ -175,7 +175,7 @@ def transaction_rows(t: Tables) -> DataFrame:
 def report_lines(t: Tables) -> DataFrame:
     """One document per customer: a title, a date, then lines per order."""
     front = t.customer.selectExpr(
-        "concat('c', lpad(cast(c_custkey as string), 8, '0')) as doc_id",
+        "concat('c', lpad(cast(c_custkey as string), 20, '0')) as doc_id",
         "concat('report-2023-', c_custkey % 14, '.pdf') as file_name",
         """posexplode(array(
              'CDBG-DR Grant History 2001-2023',
@@ -183,7 +183,7 @@ def report_lines(t: Tables) -> DataFrame:
                   when 2 then 'Feb 5, 2022' else 'no date' end)) as (line_no, line)""",
     )
     body = t.orders.selectExpr(
-        "concat('c', lpad(cast(o_custkey as string), 8, '0')) as doc_id",
+        "concat('c', lpad(cast(o_custkey as string), 20, '0')) as doc_id",
         "concat('report-2023-', o_custkey % 14, '.pdf') as file_name",
         "o_orderkey",
         """posexplode(array(
@@ -200,13 +200,13 @@ def report_lines(t: Tables) -> DataFrame:
                     then concat('PUERTO RICO Dept ', substr(o_orderpriority, 3), '  $',
                                 format_number(cast(o_totalprice as bigint), 0))
                   else concat('FLORIDA State $', cast(o_totalprice as bigint)) end)) as (j, line)""",
-    ).selectExpr("doc_id", "file_name", "cast(2 + o_orderkey * 3 + j as int) as line_no", "line")
+    ).selectExpr("doc_id", "file_name", "2 + cast(o_orderkey as bigint) * 3 + j as line_no", "line")
     return front.unionByName(body)
 
 
 LINES_SQL = """
 lines AS (
-  SELECT 'c' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS doc_id,
+  SELECT 'c' || lpad(CAST(c_custkey AS VARCHAR), 20, '0') AS doc_id,
          'report-2023-' || (c_custkey % 14) || '.pdf' AS file_name,
          j AS line_no,
          CASE WHEN j = 0 THEN 'CDBG-DR Grant History 2001-2023'
@@ -215,7 +215,7 @@ lines AS (
               WHEN c_custkey % 4 = 2 THEN 'Feb 5, 2022' ELSE 'no date' END AS line
   FROM customer, (VALUES (0), (1)) v(j)
   UNION ALL
-  SELECT 'c' || lpad(CAST(o_custkey AS VARCHAR), 8, '0'),
+  SELECT 'c' || lpad(CAST(o_custkey AS VARCHAR), 20, '0'),
          'report-2023-' || (o_custkey % 14) || '.pdf',
          2 + o_orderkey * 3 + j,
          CASE j WHEN 0 THEN
@@ -325,7 +325,7 @@ def report_cells(t: Tables) -> DataFrame:
     Page 0 holds a small first table and the budget table, page 1 another one.
     """
     base = t.conversations.selectExpr(
-        "concat('r', lpad(cast(conv_id as string), 8, '0')) as doc_id",
+        "concat('r', lpad(cast(conv_id as string), 20, '0')) as doc_id",
         "cast(turn + 1 as int) as row_no",
         """case when role = 'user' then concat('Budget ', length(text) % 5)
                 else concat('B-17-DM-72-', lpad(cast(conv_id % 10000 as string), 4, '0')) end as c0""",
@@ -354,7 +354,7 @@ def report_cells(t: Tables) -> DataFrame:
 
 BUDGET_SQL = """
 budget AS (
-  SELECT 'r' || lpad(CAST(conv_id AS VARCHAR), 8, '0') AS doc_id, turn + 1 AS row_no, role = 'user' AS is_head,
+  SELECT 'r' || lpad(CAST(conv_id AS VARCHAR), 20, '0') AS doc_id, turn + 1 AS row_no, role = 'user' AS is_head,
          CASE WHEN role = 'user' THEN 'Budget ' || (length(text) % 5)
               ELSE 'B-17-DM-72-' || lpad(CAST(conv_id % 10000 AS VARCHAR), 4, '0') END AS c0,
          CAST(length(text) * 1000 AS DECIMAL(18,2)) AS period,
@@ -380,7 +380,7 @@ def question_blocks(t: Tables) -> DataFrame:
     """Every turn asks one question; what it links to depends on the turn."""
     names = ", ".join(f"'{a}'" for a in QUESTION_ALIASES)
     base = t.conversations.selectExpr(
-        "concat('r', lpad(cast(conv_id as string), 8, '0')) as doc_id",
+        "concat('r', lpad(cast(conv_id as string), 20, '0')) as doc_id",
         "conv_id", "turn",
         f"element_at(array({names}), cast((conv_id + turn) % 12 + 1 as int)) as alias",
         """case when (conv_id + turn) % 12 in (6, 7, 9)
@@ -404,7 +404,7 @@ def question_blocks(t: Tables) -> DataFrame:
 
 ANSWERS_SQL = f"""
 asked AS (
-  SELECT 'r' || lpad(CAST(conv_id AS VARCHAR), 8, '0') AS doc_id, turn,
+  SELECT 'r' || lpad(CAST(conv_id AS VARCHAR), 20, '0') AS doc_id, turn,
          (ARRAY[{ALIASES_SQL}])[CAST((conv_id + turn) % 12 + 1 AS INT)] AS alias,
          CASE WHEN turn % 5 = 3 THEN 'No answer found'
               WHEN turn % 5 IN (2, 4) THEN NULL
@@ -428,7 +428,7 @@ def financial_cells(t: Tables) -> DataFrame:
     Names by customer: full rows, wrapped fragments, name-only rows, blanks.
     """
     rows = t.customer.selectExpr(
-        "concat('n', lpad(cast(c_nationkey as string), 3, '0')) as doc_id",
+        "concat('n', lpad(cast(c_nationkey as string), 20, '0')) as doc_id",
         "c_nationkey % 2 = 0 as old",
         "cast(c_custkey div 200 as int) as page",
         "cast(c_custkey % 200 + 1 as int) as row_no",
@@ -455,7 +455,7 @@ def financial_cells(t: Tables) -> DataFrame:
                  if(hollow, '', c_mktsegment), if(hollow, '', money))) as (col_no, text)""",
     )
     heads = t.nation.selectExpr(
-        "concat('n', lpad(cast(n_nationkey as string), 3, '0')) as doc_id",
+        "concat('n', lpad(cast(n_nationkey as string), 20, '0')) as doc_id",
         "0 as page", "0 as table_no", "0 as row_no",
         """posexplode(case when n_nationkey % 2 = 0
              then array(' Grantee ', 'Grant', 'Grant Award', 'Balance', 'Last', 'Status')
@@ -467,7 +467,7 @@ def financial_cells(t: Tables) -> DataFrame:
 
 def front_pages(t: Tables) -> DataFrame:
     return t.nation.selectExpr(
-        "concat('n', lpad(cast(n_nationkey as string), 3, '0')) as doc_id",
+        "concat('n', lpad(cast(n_nationkey as string), 20, '0')) as doc_id",
         "concat('report-2023-', 1 + n_nationkey % 12) as file_name",
         """case when n_nationkey % 2 = 0 then concat('as of March ', 1 + n_nationkey, ', 2020 and 2024-01-01')
                 when n_nationkey % 3 = 0 then concat('as of 2024-05-', lpad(cast(1 + n_nationkey as string), 2, '0'))

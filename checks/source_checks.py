@@ -144,7 +144,7 @@ RULES_SQL = ", ".join(f"('{w}', '{n}')" for w, n in AWARD_FILE_TABLES)
 @check(
     "SR6_route_files",
     f"""WITH files AS (
-          SELECT 'in/' || CASE WHEN doc_id % 3 = 0 THEN upper(w) ELSE w END || '_' || lpad(CAST(doc_id AS VARCHAR), 9, '0')
+          SELECT 'in/' || CASE WHEN doc_id % 3 = 0 THEN upper(w) ELSE w END || '_' || lpad(CAST(doc_id AS VARCHAR), 20, '0')
                  || '.csv' AS path
           FROM (SELECT doc_id, (ARRAY[{WORDS_SQL}])[CAST(doc_id % {len(WORDS)} + 1 AS INT)] AS w FROM documents)
         ), rules(keyword, table_name) AS (VALUES {RULES_SQL})
@@ -158,7 +158,7 @@ def sr6(t: Tables):
             F.lit("in/"),
             F.when(F.col("doc_id") % 3 == 0, F.upper(word)).otherwise(word),
             F.lit("_"),
-            F.lpad(F.col("doc_id").cast("string"), 9, "0"),
+            F.lpad(F.col("doc_id").cast("string"), 20, "0"),
             F.lit(".csv"),
         ).alias("path")
     )
@@ -338,41 +338,69 @@ def sr9_next(t: Tables):
     return merge_pages(api_pages(t, True), "has_next").drop("pos")
 
 
+AWARD_DOC = """to_json(named_struct(
+  'fain', concat('G', o_orderkey),
+  'generated_unique_award_id', concat('ASST_', o_orderkey),
+  'total_funding', cast(o_totalprice as decimal(18,2)),
+  'total_account_outlay', cast(o_totalprice + 1 as decimal(18,2)),
+  'total_account_obligation', cast(o_totalprice + 2 as decimal(18,2)),
+  'total_outlay', case when o_orderkey % 3 = 0 then null else cast(c_acctbal as decimal(18,2)) end,
+  'total_obligation', cast(c_acctbal + 1 as decimal(18,2)),
+  'cfda_info', case when o_orderkey % 7 = 0 then null
+     when o_orderkey % 5 = 0 then array()
+     else array(named_struct('cfda_number', concat('14.', c_nationkey), 'cfda_title', c_mktsegment, 'cfda_objectives', c_name),
+                named_struct('cfda_number', 'second', 'cfda_title', 'second', 'cfda_objectives', 'second')) end,
+  'place_of_performance', named_struct('state_name', concat('N', c_nationkey), 'state_code', cast(c_nationkey as string)),
+  'awarding_agency', case when o_orderkey % 4 = 0 then null else named_struct(
+     'toptier_agency', named_struct('name', concat('A', c_nationkey), 'code', o_orderstatus),
+     'subtier_agency', named_struct('name', o_orderpriority, 'code', concat('s', c_nationkey)),
+     'office_agency_name', concat('O', c_nationkey)) end,
+  'funding_agency', case when o_orderkey % 4 = 1 then null else named_struct(
+     'toptier_agency', named_struct('name', concat('F', c_nationkey), 'code', o_orderpriority),
+     'subtier_agency', case when o_orderkey % 4 = 2 then null
+        else named_struct('name', o_orderstatus, 'code', concat('f', c_nationkey)) end,
+     'office_agency_name', c_mktsegment) end,
+  'recipient', named_struct('location', named_struct('state_name', c_name, 'state_code', c_mktsegment)),
+  'period_of_performance_start_date', date_format(o_orderdate, 'yyyy-MM-dd'),
+  'period_of_performance_current_end_date', date_format(o_orderdate, 'dd.MM.yyyy')))"""
+
+
+def award_documents(t: Tables):
+    """Award documents as JSON text: empty, null and two-element program lists, absent agencies."""
+    joined = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    return joined.selectExpr("o_orderkey", f"{AWARD_DOC} as body")
+
+
 @check(
     "SR10_flatten_awards",
     """SELECT 'G' || o_orderkey AS "Award ID", 'ASST_' || o_orderkey AS generated_unique_award_id,
          CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS total_funding,
-         CASE WHEN o_orderkey % 5 = 0 OR o_orderkey % 7 = 0 THEN NULL ELSE '14.' || c_nationkey END AS cfda_number,
-         CASE WHEN o_orderkey % 5 = 0 OR o_orderkey % 7 = 0 THEN NULL ELSE c_mktsegment END AS cfda_title,
-         c_name AS recipient_state_name,
-         CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_orderstatus END AS awarding_agency_code,
-         CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_orderpriority END AS awarding_sub_agency_name,
-         CAST(NULL AS VARCHAR) AS funding_agency_name,
-         strftime(o_orderdate, '%Y-%m-%d') AS start_date
+         CAST(CAST(o_totalprice + 1 AS DECIMAL(18,2)) AS VARCHAR) AS total_account_outlay,
+         CAST(CAST(o_totalprice + 2 AS DECIMAL(18,2)) AS VARCHAR) AS total_account_obligation,
+         CASE WHEN o_orderkey % 3 <> 0 THEN CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) END AS total_outlay,
+         CAST(CAST(c_acctbal + 1 AS DECIMAL(18,2)) AS VARCHAR) AS total_obligated,
+         CASE WHEN o_orderkey % 5 <> 0 AND o_orderkey % 7 <> 0 THEN '14.' || c_nationkey END AS cfda_number,
+         CASE WHEN o_orderkey % 5 <> 0 AND o_orderkey % 7 <> 0 THEN c_mktsegment END AS cfda_title,
+         CASE WHEN o_orderkey % 5 <> 0 AND o_orderkey % 7 <> 0 THEN c_name END AS cfda_objectives,
+         'N' || c_nationkey AS place_of_performance_state_name,
+         CAST(c_nationkey AS VARCHAR) AS place_of_performance_state_code,
+         CASE WHEN o_orderkey % 4 <> 0 THEN 'A' || c_nationkey END AS awarding_agency_name,
+         CASE WHEN o_orderkey % 4 <> 0 THEN o_orderstatus END AS awarding_agency_code,
+         CASE WHEN o_orderkey % 4 <> 0 THEN o_orderpriority END AS awarding_sub_agency_name,
+         CASE WHEN o_orderkey % 4 <> 0 THEN 's' || c_nationkey END AS awarding_sub_agency_code,
+         CASE WHEN o_orderkey % 4 <> 0 THEN 'O' || c_nationkey END AS awarding_office_name,
+         CASE WHEN o_orderkey % 4 <> 1 THEN 'F' || c_nationkey END AS funding_agency_name,
+         CASE WHEN o_orderkey % 4 <> 1 THEN o_orderpriority END AS funding_agency_code,
+         CASE WHEN o_orderkey % 4 NOT IN (1, 2) THEN o_orderstatus END AS funding_sub_agency_name,
+         CASE WHEN o_orderkey % 4 NOT IN (1, 2) THEN 'f' || c_nationkey END AS funding_sub_agency_code,
+         CASE WHEN o_orderkey % 4 <> 1 THEN c_mktsegment END AS funding_office_name,
+         c_name AS recipient_state_name, c_mktsegment AS recipient_state_code,
+         strftime(o_orderdate, '%Y-%m-%d') AS start_date, strftime(o_orderdate, '%d.%m.%Y') AS end_date
        FROM orders JOIN customer ON o_custkey = c_custkey""",
 )
 def sr10(t: Tables):
-    """Award documents as JSON text: empty, null and two-element program lists, absent agencies."""
-    docs = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).selectExpr(
-        """to_json(named_struct(
-             'fain', concat('G', o_orderkey),
-             'generated_unique_award_id', concat('ASST_', o_orderkey),
-             'total_funding', cast(o_totalprice as decimal(18,2)),
-             'cfda_info', case when o_orderkey % 7 = 0 then null
-                when o_orderkey % 5 = 0 then array()
-                else array(named_struct('cfda_number', concat('14.', c_nationkey), 'cfda_title', c_mktsegment),
-                           named_struct('cfda_number', 'second', 'cfda_title', 'second')) end,
-             'awarding_agency', case when o_orderkey % 4 = 0 then null else named_struct(
-                'toptier_agency', named_struct('name', 'A', 'code', o_orderstatus),
-                'subtier_agency', named_struct('name', o_orderpriority)) end,
-             'recipient', named_struct('location', named_struct('state_name', c_name)),
-             'period_of_performance_start_date', date_format(o_orderdate, 'yyyy-MM-dd'))) as body"""
-    )
-    return flatten_awards(parse_awards(docs, "body")).select(
-        "Award ID", "generated_unique_award_id", "total_funding", "cfda_number", "cfda_title",
-        "recipient_state_name", "awarding_agency_code", "awarding_sub_agency_name",
-        "funding_agency_name", "start_date",
-    )
+    """All 26 columns."""
+    return flatten_awards(parse_awards(award_documents(t), "body"))
 
 
 @check(
@@ -414,9 +442,10 @@ def sr12(t: Tables):
     return read_table(t.spark, root, ORDERS_TABLE)
 
 
-@check("LD10_full_scan", "SELECT event_id, user_id, event_type, value, props FROM events")
+@check("LD10_full_scan", "SELECT event_id, epoch_us(ts) AS ts, user_id, event_type, value, props FROM events")
 def ld10(t: Tables):
-    return t.events.drop("ts")
+    """Every row and column; the time as a number, which both engines print alike."""
+    return t.events.withColumn("ts", F.unix_micros(F.col("ts").cast("timestamp")))
 
 
 # --- documents -------------------------------------------------------------------------
@@ -434,9 +463,15 @@ def sr13(t: Tables):
 
 FINANCIAL_NEW_SQL = """
 WITH base AS (
-  SELECT 'n' || lpad(CAST(c_nationkey AS VARCHAR), 3, '0') AS doc_id, CAST(c_custkey // 200 AS INT) AS page,
+  SELECT 'n' || lpad(CAST(c_nationkey AS VARCHAR), 20, '0') AS doc_id, CAST(c_custkey // 200 AS INT) AS page,
          CAST(c_custkey % 200 + 1 AS INT) AS row_no, c_custkey, c_mktsegment,
-         c_custkey % 8 IN (2, 5) AS hollow
+         c_custkey % 8 IN (2, 5) AS hollow,
+         CASE c_custkey % 8 WHEN 0 THEN 'Puerto Rico' WHEN 1 THEN 'Baton' WHEN 2 THEN 'Rouge, LA' WHEN 3 THEN ''
+              WHEN 4 THEN 'pr' WHEN 5 THEN 'Suffix' WHEN 6 THEN 'Texas' ELSE 'Orleans' END AS who,
+         CASE WHEN c_acctbal < 0 THEN '($' || format('{:,}', CAST(trunc(-c_acctbal) AS BIGINT)) || ')'
+              WHEN c_custkey % 9 = 0 THEN '$ -'
+              ELSE '$' || format('{:,}', CAST(trunc(c_acctbal) AS BIGINT)) END AS money,
+         (c_custkey % 100) || ',5 %' AS share, CAST(2000 + c_custkey % 20 AS VARCHAR) AS year_text
   FROM customer WHERE c_nationkey % 2 = 1
 )"""
 
@@ -444,23 +479,26 @@ WITH base AS (
 @check(
     "SR14_report_tables",
     FINANCIAL_NEW_SQL
-    + """SELECT doc_id, page, 0 AS table_no, row_no,
+    + """SELECT doc_id, page, 0 AS table_no, row_no, who AS c0,
                 CASE WHEN hollow THEN '' ELSE ' B-' || c_custkey || ' ' END AS c1,
-                CASE WHEN hollow THEN '' ELSE c_mktsegment END AS c8 FROM base""",
+                CASE WHEN hollow THEN '' ELSE money END AS c2, CASE WHEN hollow THEN '' ELSE money END AS c3,
+                CASE WHEN hollow THEN '' ELSE year_text END AS c4, CASE WHEN hollow THEN '' ELSE '12' END AS c5,
+                CASE WHEN hollow THEN '' ELSE share END AS c6, CASE WHEN hollow THEN '' ELSE share END AS c7,
+                CASE WHEN hollow THEN '' ELSE c_mktsegment END AS c8, CASE WHEN hollow THEN '' ELSE money END AS c9
+         FROM base""",
 )
 def sr14(t: Tables):
-    """Tables of the new layout under one header per report."""
-    cells = financial_cells(t).where("substr(doc_id, 2) % 2 = 1")
-    rows, _ = report_tables(cells, 10)
-    return rows.select("doc_id", "page", "table_no", "row_no", "c1", "c8")
+    """Tables of the new layout under one header per report, out of the reports of both layouts."""
+    rows, _ = report_tables(financial_cells(t), 10)
+    return rows
 
 
 @check(
     "SR14_skipped_tables",
-    """SELECT DISTINCT 'n' || lpad(CAST(c_nationkey AS VARCHAR), 3, '0') AS doc_id,
+    """SELECT DISTINCT 'n' || lpad(CAST(c_nationkey AS VARCHAR), 20, '0') AS doc_id,
               CAST(c_custkey // 200 AS INT) AS page, 'other layout' AS reason
        FROM customer WHERE c_nationkey % 2 = 0
-       UNION SELECT 'n' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0'), 0, 'other layout'
+       UNION SELECT 'n' || lpad(CAST(n_nationkey AS VARCHAR), 20, '0'), 0, 'other layout'
        FROM nation WHERE n_nationkey % 2 = 0""",
 )
 def sr14_skipped(t: Tables):
@@ -471,21 +509,26 @@ def sr14_skipped(t: Tables):
 @check(
     "SR14_rows_by_header",
     "WITH " + BUDGET_SQL.strip()
-    + """SELECT doc_id, row_no, c0 AS "Overall", '$' || format('{:,.2f}', CAST(period AS DOUBLE)) AS "This Period"
-         FROM budget""",
+    + """SELECT doc_id, 0 AS page, 1 AS table_no, row_no, c0 AS "Overall",
+                '$' || format('{:,.2f}', CAST(period AS DOUBLE)) AS "This Period",
+                '$' || CAST(CAST(to_date AS DECIMAL(18,2)) AS VARCHAR) AS "To Date"
+         FROM budget
+         UNION ALL SELECT DISTINCT doc_id, u.page, 0, 1, NULL, NULL, NULL FROM budget, (VALUES (0), (1)) u(page)""",
 )
 def sr14_header(t: Tables):
-    cells = report_cells(t).where("page = 0 and table_no = 1")
-    return rows_by_header(cells, ["Overall", "This Period"]).drop("page", "table_no")
+    """All tables of all reports; those without such a header give rows without values."""
+    return rows_by_header(report_cells(t), ["Overall", "This Period", "To Date"])
 
 
 @check(
     "SR15_pick_last_table",
-    "WITH " + BUDGET_SQL.strip() + "SELECT doc_id, row_no, c0 FROM budget",
+    "WITH " + BUDGET_SQL.strip()
+    + """SELECT doc_id, row_no, c0, '$' || format('{:,.2f}', CAST(period AS DOUBLE)) AS c1,
+                '$' || CAST(CAST(to_date AS DECIMAL(18,2)) AS VARCHAR) AS c2 FROM budget""",
 )
 def sr15(t: Tables):
     chosen = pick_table(report_cells(t), page=0, index=-1, skip_rows=1)
-    return cells_to_rows(chosen, 1, ["doc_id", "row_no"])
+    return cells_to_rows(chosen, 3, ["doc_id", "row_no"])
 
 
 @check(
@@ -539,7 +582,7 @@ KEYS_SQL = """
 
 def _keyed_links(t: Tables):
     links = page_links(t.pages, "html", ["page_id"])
-    return links.select("page_id", F.concat("page_id", F.lit("-"), F.substring("href", 2, 1000), F.lit(".pdf")).alias("file_name"))
+    return links.select("page_id", F.concat("page_id", F.lit("-"), F.expr("substring(href, 2)"), F.lit(".pdf")).alias("file_name"))
 
 
 @check(

@@ -68,7 +68,7 @@ BLOCKS_DDL = (
     "doc_id string, block_id string, block_type string, alias string, "
     "answer_ids array<string>, text string"
 )
-LINES_DDL = "doc_id string, file_name string, line_no int, line string"
+LINES_DDL = "doc_id string, file_name string, line_no bigint, line string"
 
 
 # --- stored tables ---------------------------------------------------------------

@@ -6,10 +6,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from checks.catalog import ORACLES, QUERIES
 from compare import TABLES, rows_of
 
 SMALL = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
