@@ -11,7 +11,7 @@ from grantflow.operators import load as L
 from grantflow.plans.loading import load_tables
 from grantflow.schemas import TABLES, TableSpec
 from grantflow.session import scratch_dir
-from grantflow.sources.tables import LoadRejected, publish, read_table, truncate
+from grantflow.sources.tables import create_store, LoadRejected, publish, read_table, truncate
 
 ORDERS = TableSpec(
     "orders",
@@ -102,7 +102,7 @@ PLAIN_ORDERS = replace(ORDERS, name="plain_orders", parents={}, lengths={}, requ
 )
 def ld5(t: Tables):
     """Two good runs; one that breaks the key and shows nothing; a repeat that adds nothing."""
-    root = scratch_dir(t.spark, "publish")
+    root = create_store(t.spark, scratch_dir(t.spark, "publish"))
     rows = t.orders.withColumns({"price": F.col("o_totalprice").cast("decimal(18,2)"), "day": F.to_date("o_orderdate")})
     first, second = rows.where("o_orderkey % 2 = 0"), rows.where("o_orderkey % 2 = 1")
     publish(first, root, PLAIN_ORDERS, "run1")
@@ -135,7 +135,7 @@ def ld6(t: Tables):
         "disaster": t.nation.selectExpr("n_nationkey as disaster_id", "n_name as disaster_name", "'2017' as disaster_year"),
         "states": t.region.selectExpr("concat('R', r_regionkey) as state_code", "r_name as state_name"),
     }
-    root = scratch_dir(t.spark, "load")
+    root = create_store(t.spark, scratch_dir(t.spark, "load"))
     for run_id in ("run1", "run2"):
         load_tables(frames, root, run_id)
     counts = [
@@ -156,7 +156,7 @@ def ld6(t: Tables):
 )
 def ld7(t: Tables):
     """Load, truncate, load other rows: only the last are visible."""
-    root = scratch_dir(t.spark, "truncate")
+    root = create_store(t.spark, scratch_dir(t.spark, "truncate"))
     publish(t.orders.where("o_orderkey % 2 = 0"), root, PLAIN_ORDERS, "run1")
     truncate(t.spark, root, PLAIN_ORDERS.name, "run2")
     publish(t.orders.where("o_orderkey % 2 = 1"), root, PLAIN_ORDERS, "run3")
@@ -170,7 +170,7 @@ def ld7(t: Tables):
 )
 def ld8(t: Tables):
     """Rows loaded before the column was declared read as null."""
-    root = scratch_dir(t.spark, "add-column")
+    root = create_store(t.spark, scratch_dir(t.spark, "add-column"))
     before = TableSpec("wide", "o_orderkey bigint, o_orderstatus string", ("o_orderkey",))
     after = replace(before, ddl=before.ddl + ", report_date date")
     publish(t.orders.where("o_orderkey % 2 = 0"), root, before, "run1")

@@ -38,10 +38,12 @@ from grantflow.sources.landed import (
     flatten_awards,
     merge_pages,
     parse_awards,
+    rejected_awards,
     tag_award_id,
 )
-from grantflow.sources.tables import publish, read_table
+from grantflow.sources.tables import create_store, publish, read_table
 from grantflow.sources.web import new_links, page_links, report_links
+from grantflow.plans.loading import read_rejects
 from grantflow.streaming.drops import load_drops, read_drops
 
 # --- CSV tables ------------------------------------------------------------------
@@ -64,7 +66,7 @@ def sr2(t: Tables):
     """Texts with commas, quotes and line breaks survive the round trip."""
     path = scratch_dir(t.spark, "conversations-csv")
     write_csv(t.conversations, path)
-    return read_csv(t.spark, path, t.conversations.schema)
+    return read_csv(t.spark, path, t.conversations.schema, multi_line=True)
 
 
 @check(
@@ -260,6 +262,7 @@ EVENT_TABLE = TableSpec(
 def st1(t: Tables):
     """Two drops and a run, a third drop (with repeats of the first) and a run, an idle run."""
     home = scratch_dir(t.spark, "drops")
+    create_store(t.spark, f"{home}/tables")
     rows = t.events.select(
         "event_id", "user_id", "event_type", F.col("value").cast("decimal(18,2)").alias("value"), "props"
     )
@@ -281,6 +284,29 @@ def st1(t: Tables):
     return read_table(t.spark, f"{home}/tables", EVENT_TABLE)
 
 
+@check(
+    "ST1_rejected_rows",
+    """SELECT CASE WHEN event_id % 3 = 0 THEN 'format' ELSE 'key' END AS rule, count(*) AS n
+       FROM events WHERE event_id % 3 <> 1 GROUP BY ALL
+       UNION ALL SELECT 'loaded', count(*) FROM events WHERE event_id % 3 = 1""",
+)
+def st1_rejected(t: Tables):
+    """A third of the lines has a number that is none, a third no key; neither stops the others."""
+    home = scratch_dir(t.spark, "drops")
+    root = create_store(t.spark, f"{home}/tables")
+    rows = t.events.selectExpr(
+        "case when event_id % 3 <> 2 then event_id end as event_id",
+        "case when event_id % 3 = 0 then 'many' else cast(user_id as string) end as user_id",
+        "event_type", "cast(cast(value as decimal(18,2)) as string) as value", "props",
+    )
+    write_csv(rows, f"{home}/in/drop")
+    stream = read_drops(t.spark, f"{home}/in/*", EVENT_TABLE.schema)
+    load_drops(stream, root, EVENT_TABLE, f"{home}/checkpoint", ["event_type"])
+    found = read_rejects(t.spark, root).groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
+    loaded = read_table(t.spark, root, EVENT_TABLE).agg(F.count(F.lit(1)).alias("n"))
+    return found.unionByName(loaded.select(F.lit("loaded").alias("rule"), "n"))
+
+
 # --- landed pages ---------------------------------------------------------------------
 
 PAGES_SQL = """
@@ -403,6 +429,24 @@ def sr10(t: Tables):
     return flatten_awards(parse_awards(award_documents(t), "body"))
 
 
+@check(
+    "SR10_rejected_documents",
+    """SELECT 'awards' AS source, CAST(o_orderkey AS VARCHAR) AS key,
+              CASE WHEN o_orderkey % 4 = 0 THEN 'missing' ELSE 'format' END AS rule,
+              CASE WHEN o_orderkey % 4 = 2 THEN '{"fain": "G' || o_orderkey
+                   WHEN o_orderkey % 4 = 3 THEN 'not found' END AS text
+       FROM orders WHERE o_orderkey % 4 <> 1""",
+)
+def sr10_rejected(t: Tables):
+    """Absent, cut off and foreign texts are told, each with its key; sound documents are not."""
+    docs = award_documents(t).selectExpr(
+        "o_orderkey",
+        """case o_orderkey % 4 when 0 then null when 1 then body when 2 then concat('{"fain": "G', o_orderkey)
+           else 'not found' end as body""",
+    )
+    return rejected_awards(docs, "body", "o_orderkey")
+
+
 @check(
     "SR10_event_props",
     "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",
@@ -437,7 +481,7 @@ ORDERS_TABLE = TableSpec(
 
 @check("SR12_read_stored_table", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
 def sr12(t: Tables):
-    root = scratch_dir(t.spark, "stored")
+    root = create_store(t.spark, scratch_dir(t.spark, "stored"))
     publish(t.orders, root, ORDERS_TABLE, "run1")
     return read_table(t.spark, root, ORDERS_TABLE)
 

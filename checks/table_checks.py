@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from checks.base import Tables, check
@@ -23,17 +25,19 @@ from checks.shapes import (
     subawards,
     transaction_rows,
 )
-from grantflow.operators.joins import new_rows
-from grantflow.operators.load import conform, insert_if_absent
+from grantflow.operators.load import conform
 from grantflow.operators.numbering import file_ids
 from grantflow.operators.ordered import split_header_detail
 from grantflow.plans import awards as A
 from grantflow.plans import history as H
 from grantflow.plans import performance as P
 from grantflow.plans.financial import financial_tables
+from grantflow.plans.financial import skipped_tables
+from grantflow.plans.loading import load_tables, rows_to_load
 from grantflow.schemas import TABLES
-from grantflow.session import settle
+from grantflow.session import scratch_dir, settle
 from grantflow.sources.documents import question_answers
+from grantflow.sources.tables import create_store, read_table
 
 WITH_AWARDS = "WITH " + AWARDS_SQL.strip()
 WITH_OTHER = "WITH " + OTHER_SQL.strip()
@@ -95,8 +99,7 @@ def new_grants(t: Tables):
     """Grants against a stored table (every second grant): rows to insert, typed."""
     built = settle(conform(A.grants(awards(t), other(t), fund_codes(t)), TABLES["grants"]))
     stored = built.where("cast(substr(grant_id, 2) as bigint) % 2 = 0")
-    fresh = new_rows(built, stored)
-    return insert_if_absent(fresh, stored, ["grant_id"], ["generated_internal_id"])
+    return rows_to_load(built, stored, TABLES["grants"], ["generated_internal_id"])
 
 
 @check(
@@ -270,8 +273,88 @@ def tb15(t: Tables):
     return H.grant_history(rows, H.disasters(rows, laws), H.grantees(rows))
 
 
+@check(
+    "TB15_repeated_load",
+    WITH_LINES
+    + """SELECT 'granthistory' AS table_name, count(*) AS n, max(grant_history_id) AS last FROM history_t
+         UNION ALL SELECT 'grantee', count(*), max(grantee_id) FROM grantee_t
+         UNION ALL SELECT 'disaster', count(*), max(disaster_id) FROM disaster_t
+         UNION ALL SELECT 'publiclaw', count(DISTINCT pl_number), NULL FROM laws
+         UNION ALL SELECT 'disasterpubliclaw', count(*), NULL FROM (
+             SELECT DISTINCT d.disaster_id, l.pl_number FROM laws l JOIN disaster_t d ON d.event = l.event)""",
+)
+def tb15_repeated(t: Tables):
+    """The same reports loaded twice: the second load adds nothing to any of the five tables."""
+    root, lines, stored = create_store(t.spark, scratch_dir(t.spark, "history")), report_lines(t), None
+    for run_id in ("run1", "run2"):
+        built = H.history_tables(lines, stored)
+        load_tables(built, root, run_id, check_parents=False)
+        stored = {name: read_table(t.spark, root, TABLES[name]) for name in built}
+    ids = {"granthistory": "grant_history_id", "grantee": "grantee_id", "disaster": "disaster_id"}
+    counts = [
+        df.agg(
+            F.lit(name).alias("table_name"),
+            F.count(F.lit(1)).alias("n"),
+            (F.max(ids[name]) if name in ids else F.lit(None)).cast("bigint").alias("last"),
+        )
+        for name, df in stored.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b), counts)
+
+
 # --- quarterly performance ------------------------------------------------------------
 
+# Reports of two quarters: even conversations first, then odd ones.
+QUARTERS_SQL = BUDGET_SQL.strip() + """
+, quarters AS (SELECT *, CAST(substr(doc_id, 2) AS BIGINT) % 2 AS quarter FROM budget_tied),
+later_heads AS (
+  SELECT doc_id, c0 AS head, row_number() OVER (ORDER BY quarter, doc_id, min(row_no)) AS id
+  FROM quarters WHERE is_head GROUP BY quarter, doc_id, c0
+),
+later_docs AS (
+  SELECT doc_id, row_number() OVER (ORDER BY quarter, doc_id) AS activity_id
+  FROM (SELECT DISTINCT quarter, doc_id FROM quarters)
+)"""
+
+
+def two_quarters(t: Tables, name: str):
+    """Both quarters loaded one after the other; every id continues where the first load ended."""
+    root = create_store(t.spark, scratch_dir(t.spark, "quarters"))
+    cells, blocks, stored = settle(report_cells(t)), settle(question_blocks(t)), None
+    for quarter in (0, 1):
+        mine = f"cast(substr(doc_id, 2) as bigint) % 2 = {quarter}"
+        built = P.performance_tables(cells.where(mine), blocks.where(mine), stored)
+        orders = {"amountdescriptions": ["doc_id", "row_no"]}
+        load_tables(built, root, f"quarter{quarter}", orders, check_parents=False)
+        stored = {table: read_table(t.spark, root, TABLES[table]) for table in built}
+    return stored[name]
+
+
+@check(
+    "TB16_second_load",
+    "WITH " + QUARTERS_SQL
+    + """SELECT 127 + row_number() OVER (ORDER BY b.quarter, b.doc_id, b.row_no) AS performance_id, d.activity_id,
+                h.id AS amount_desc_id, b.c0 AS grant_id, CAST(b.to_date AS VARCHAR) AS to_date_amount,
+                CAST(b.period AS VARCHAR) AS time_period_amount
+         FROM quarters b JOIN later_heads h ON h.doc_id = b.doc_id AND h.head = b.head
+              JOIN later_docs d ON d.doc_id = b.doc_id WHERE NOT b.is_head""",
+)
+def tb16_second(t: Tables):
+    return two_quarters(t, "performancereports")
+
+
+@check(
+    "TB18_second_load",
+    "WITH " + QUARTERS_SQL
+    + """SELECT h.id AS amount_desc_id, any_value(h.head) AS description,
+                CAST(arg_min(b.period, b.row_no) AS VARCHAR) AS time_period_amount,
+                'Apr 1 thru Jun 30, 2024' AS time_period, CAST(arg_min(b.to_date, b.row_no) AS VARCHAR) AS to_date_amount
+         FROM quarters b JOIN later_heads h ON h.doc_id = b.doc_id AND h.head = b.c0 WHERE b.is_head GROUP BY h.id""",
+)
+def tb18_second(t: Tables):
+    """Repeated headers of a report keep the amounts of the first."""
+    return two_quarters(t, "amountdescriptions")
+
 
 @check(
     "TB16_performancereports",
@@ -383,3 +466,17 @@ def tb19(t: Tables):
 @check("TB19_one_state", FINANCIAL_SQL + FINANCIAL_SELECT + " WHERE state_code = 'PR'")
 def tb19_pr(t: Tables):
     return financial_tables(financial_cells(t), front_pages(t), state="PR")["grantfinancialreports"]
+
+
+@check(
+    "TB19_skipped_tables",
+    """SELECT 'n' || lpad(CAST(n_nationkey AS VARCHAR), 20, '0') AS doc_id, CAST(p AS INT) AS page, 0 AS table_no, 3 AS width,
+              CASE WHEN p < 0 THEN 'no header' ELSE 'other width' END AS reason
+       FROM nation, (VALUES (-1), (999)) v(p)""",
+)
+def tb19_skipped(t: Tables):
+    """Every report gets a table before its header and one of another width; both are told."""
+    odd = t.nation.selectExpr(
+        "concat('n', lpad(cast(n_nationkey as string), 20, '0')) as doc_id", "explode(array(-1, 999)) as page"
+    ).selectExpr("doc_id", "page", "0 as table_no", "0 as row_no", "posexplode(array('a', 'b', 'c')) as (col_no, text)")
+    return skipped_tables(financial_cells(t).unionByName(odd), front_pages(t))

@@ -77,6 +77,9 @@ def tx4(t: Tables):
 def tx5(t: Tables):
     text = F.expr(
         """case when o_orderkey % 9 = 0 then 'unclear'
+                when o_orderkey % 8 = 4 then date_format(o_orderdate, "MMM. d-yyyy")
+                when o_orderkey % 8 = 5 then date_format(o_orderdate, "MMM.d, yyyy")
+                when month(o_orderdate) = 9 and o_orderkey % 2 = 0 then concat('Sept.', date_format(o_orderdate, 'd, yyyy'))
                 when month(o_orderdate) = 9 then concat('Sept. ', date_format(o_orderdate, 'd, yyyy'))
                 when o_orderkey % 4 = 0 then date_format(o_orderdate, 'MMM. d, yyyy')
                 when o_orderkey % 4 = 1 then date_format(o_orderdate, 'MMMM d, yyyy')

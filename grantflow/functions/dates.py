@@ -73,11 +73,16 @@ def long_date(value: Column | str) -> Column:
 
 
 def law_date(value: Column | str) -> Column:
-    """``Sept. 8, 2017`` and its variants -> date, else null."""
+    """``Sept. 8, 2017`` and its variants -> date, else null.
+
+    The law pattern admits a day stuck to the month and a point or dash before
+    the year (``Sept.8, 2017``, ``Feb. 9-2018``); they are spaced alike first.
+    """
     plain = F.regexp_replace(
         as_column(value), r"(Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)t?\.", "$1"
     )
-    plain = F.regexp_replace(plain, r"\bSept\b", "Sep")
+    plain = F.regexp_replace(plain, r"^Sept(?![a-z])", "Sep")
+    plain = F.regexp_replace(plain, r"^([A-Za-z]{3,9})\.?\s*(\d{1,2})\s*[.,-]?\s*(\d{4})$", "$1 $2, $3")
     return lenient_date(plain, LAW_DATE_FORMATS)
 
 

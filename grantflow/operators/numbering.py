@@ -77,7 +77,7 @@ def first_seen_ids(
         first = null_safe_join(first, stored.select(*keys).distinct(), keys, "left_anti")
     flat = first.select(*keys, *[F.col(f"_first.{c}").alias(f"_o_{c}") for c in order])
     placed = running_offset(flat, [*[f"_o_{c}" for c in order], *keys], "_before")
-    return placed.select(*keys, (_base(stored, into, start) + F.col("_before")).alias(into))
+    return placed.select(*keys, (next_id(stored, into, start) + F.col("_before")).alias(into))
 
 
 def _numbered(
@@ -87,7 +87,8 @@ def _numbered(
     ``_group_start``: rows before its group.
 
     Rows are numbered inside blocks of ``block`` row numbers; the block counts,
-    a far smaller table, get the running offset.
+    a far smaller table, get the running offset.  Null is a value like others
+    and comes first.
     """
     keys = [*group, *order, "_block"]
     blocked = df.withColumn("_block", block_of(row_no, block))
@@ -95,18 +96,19 @@ def _numbered(
     offsets = running_offset(counts, keys, "_before", "_rows").drop("_rows")
     if group:
         starts = offsets.groupBy(*group).agg(F.min("_before").alias("_group_start"))
-        offsets = offsets.join(starts, list(group))
+        offsets = null_safe_join(offsets, starts, list(group), "inner")
     else:
         offsets = offsets.withColumn("_group_start", F.lit(0).cast("bigint"))
     inside = Window.partitionBy(*keys).orderBy(row_no)
     return (
-        blocked.join(offsets, keys)
+        null_safe_join(blocked, offsets, keys, "inner")
         .withColumn("_place", F.col("_before") + F.row_number().over(inside) - 1)
         .drop("_block", "_before")
     )
 
 
-def _base(stored: DataFrame | None, column: str, start: int) -> Column:
+def next_id(stored: DataFrame | None, column: str, start: int = 1) -> Column:
+    """First free id after the stored ones, as a scalar subquery."""
     base = F.lit(start).cast("bigint")
     if stored is None:
         return base
@@ -127,7 +129,7 @@ def serial_ids(
     The input is read twice: settle one that is costly to compute.
     """
     placed = _numbered(df, [], order, row_no, block)
-    return placed.withColumn(into, _base(stored, into, start) + F.col("_place")).drop(
+    return placed.withColumn(into, next_id(stored, into, start) + F.col("_place")).drop(
         "_place", "_group_start"
     )
 
@@ -152,7 +154,7 @@ def loaded_ids(
 ) -> DataFrame:
     """Number rows as they lie, after the stored ids: an auto-id column."""
     placed = running_offset(df, [], "_before")
-    return placed.withColumn(into, _base(stored, into, start) + F.col("_before")).drop("_before")
+    return placed.withColumn(into, next_id(stored, into, start) + F.col("_before")).drop("_before")
 
 
 def file_ids(
@@ -160,7 +162,7 @@ def file_ids(
 ) -> DataFrame:
     """One id per file in listing order: (``file``, ``into``)."""
     placed = running_offset(df.select(file).distinct(), [file], "_before")
-    return placed.select(file, (_base(stored, into, start) + F.col("_before")).alias(into))
+    return placed.select(file, (next_id(stored, into, start) + F.col("_before")).alias(into))
 
 
 def stable_id(name: Column | str) -> Column:

@@ -161,7 +161,7 @@ def split_header_detail(
     group: Sequence[str],
     row_no: str,
     field: str,
-    start: int = 1,
+    start: int | Column = 1,
     chained: bool = True,
     detail: Column | None = None,
     block: int = BLOCK,

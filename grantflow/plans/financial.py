@@ -51,6 +51,18 @@ def unify_layouts(
     return stacked.withColumns(lacking).select(*keep, *NEW_LAYOUT)
 
 
+def by_width(rows: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """Rows of both layouts, told apart by their width, under the names of the new one."""
+    old = [n if n != "Grant" else "Grant ID" for n in OLD_LAYOUT]
+    of_old = {n: F.col(f"c{old.index(n)}") for n in NEW_LAYOUT if n in old}
+    named = [
+        F.when(F.col("width") == len(old), of_old.get(n, F.lit(None).cast("string")))
+        .otherwise(F.col(f"c{i}")).alias(n)
+        for i, n in enumerate(NEW_LAYOUT)
+    ]
+    return rows.select(*keep, *named)
+
+
 def is_old_layout(date: Column | str) -> Column:
     return F.year(date) < OLD_LAYOUT_BEFORE_YEAR
 
@@ -72,7 +84,7 @@ def repair_rows(
     hollow = F.coalesce(*[F.col(f"`{c}`") for c in VALUE_COLUMNS]).isNull()
     kept = joined.where(~(hollow & (F.col("Grantee") == "")) | (F.col(row_no) == 0))
     blank = kept.withColumn("Grantee", missing_to_null("Grantee", [""]))
-    filled = settle(forward_fill(blank, [file], row_no, "Grantee", block))
+    filled = forward_fill(blank, [file], row_no, "Grantee", block)
     return fold_name_only(filled, [file], row_no, "Grantee", VALUE_COLUMNS, block)
 
 
@@ -102,6 +114,22 @@ def financial_reports(
     )
 
 
+def report_dates(front_pages: DataFrame) -> DataFrame:
+    return front_pages.select("doc_id", report_date("text", "file_name").alias("report_date"))
+
+
+def layout_widths(dates: DataFrame) -> DataFrame:
+    """Columns of each report's layout; reports without a date have the new one."""
+    width = F.when(is_old_layout("report_date"), len(OLD_LAYOUT)).otherwise(len(NEW_LAYOUT))
+    return dates.select("doc_id", width.alias("width"))
+
+
+def skipped_tables(cells: DataFrame, front_pages: DataFrame) -> DataFrame:
+    """Tables left out of the load: doc_id, page, table_no, width, reason."""
+    widths = layout_widths(report_dates(front_pages))
+    return report_tables(cells, len(NEW_LAYOUT), widths=widths)[1]
+
+
 def financial_tables(
     cells: DataFrame,
     front_pages: DataFrame,
@@ -110,14 +138,14 @@ def financial_tables(
     stored: DataFrame | None = None,
     block: int = BLOCK,
 ) -> dict[str, DataFrame]:
-    """Table rows of all reports; ``front_pages`` is (doc_id, file_name, text)."""
-    dates = front_pages.select("doc_id", report_date("text", "file_name").alias("report_date"))
-    dated = enrich(cells, dates, ["doc_id"], ["report_date"])
-    old_cells = dated.where(is_old_layout("report_date"))
-    new_cells = dated.where(F.coalesce(~is_old_layout("report_date"), F.lit(True)))
-    old, _ = report_tables(old_cells, len(OLD_LAYOUT))
-    new, _ = report_tables(new_cells, len(NEW_LAYOUT))
-    rows = settle(unify_layouts(old, new, [*TABLE, "row_no"]))
+    """Table rows of all reports; ``front_pages`` is (doc_id, file_name, text).
+
+    Which layout a report has is judged on its date and the shapes of its tables,
+    one row each; :func:`skipped_tables` tells the tables that fit neither.
+    """
+    dates = report_dates(front_pages)
+    good, _ = report_tables(cells, len(NEW_LAYOUT), widths=layout_widths(dates))
+    rows = settle(by_width(good, [*TABLE, "row_no"]))
     placed = positions(rows, ["doc_id"], ["page", "table_no"], "row_no", "place", block).drop(
         "page", "table_no", "row_no"
     )

@@ -221,7 +221,7 @@ def disaster_laws(
 def grant_history(
     rows: DataFrame, events: DataFrame, names: DataFrame, stored: DataFrame | None = None
 ) -> DataFrame:
-    """Distinct awards with event and grantee ids, numbered after the stored ones."""
+    """Distinct awards with event and grantee ids: stored ones, then new ones with further ids."""
     linked = null_safe_join(rows, events, ["disaster_name", "disaster_year"], "left")
     linked = null_safe_join(linked, names, ["grantee_name", "state_code"], "left")
     fresh = first_seen_ids(
@@ -229,13 +229,9 @@ def grant_history(
         ["disaster_id", "grantee_id", "grant_award", "report_date"],
         ["doc_id", "line_no"],
         "grant_history_id",
-        start=1,
+        stored,
     )
-    if stored is None:
-        return fresh
-    largest = F.coalesce(stored.agg(F.max("grant_history_id").cast("bigint")).scalar(), F.lit(0))
-    moved = fresh.withColumn("grant_history_id", F.col("grant_history_id") + largest)
-    return stored.select(*moved.columns).unionByName(moved)
+    return fresh if stored is None else stored.select(*fresh.columns).unionByName(fresh)
 
 
 def history_tables(

@@ -3,33 +3,73 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from grantflow.operators.joins import new_rows
-from grantflow.operators.load import insert_if_absent, load_order
+from grantflow.functions.dates import declared_cast
+from grantflow.operators.joins import hot_join, new_rows
+from grantflow.operators.load import conform, load_order
 from grantflow.operators.numbering import loaded_ids
+from grantflow.operators.rows import first_per_key
 from grantflow.schemas import TABLES, TableSpec
-from grantflow.sources.tables import publish, read_table
+from grantflow.sources.tables import Ledger, LoadRejected, publish, read_table
+
+REJECTS_DDL = "source string, key string, rule string, text string"
+
+
+def typed_keys(df: DataFrame, spec: TableSpec) -> dict[str, Column]:
+    """The key columns in their declared types, as ``_key_*``."""
+    kinds = {f.name: f.dataType for f in spec.schema.fields}
+    return {f"_key_{k}": declared_cast(F.col(f"`{k}`"), kinds[k], df.schema[k].dataType) for k in spec.key}
+
+
+def without_key(df: DataFrame, spec: TableSpec) -> Column:
+    """Whether a row lacks a part of the key, or has one that does not fit its type."""
+    return reduce(lambda a, b: a | b, [c.isNull() for c in typed_keys(df, spec).values()])
+
+
+def rejected_rows(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Rows that cannot be stored for want of a key: source, key, rule, text."""
+    return df.where(without_key(df, spec)).select(
+        F.lit(spec.name).alias("source"),
+        F.concat_ws("|", *[F.col(f"`{k}`").cast("string") for k in spec.key]).alias("key"),
+        F.lit("key").alias("rule"),
+        F.to_json(F.struct("*")).alias("text"),
+    )
 
 
 def rows_to_load(
     df: DataFrame, stored: DataFrame, spec: TableSpec, order: Sequence[Column | str] = ()
 ) -> DataFrame:
-    """Rows of ``df`` the table lacks: the difference on all columns, then one per key.
+    """Rows of ``df`` the table lacks: one per key, if that key is not stored.
 
-    A table with an auto id that ``df`` does not bring is compared without the
-    id and numbered after the stored rows.  ``order`` decides which of several
-    new rows with one key is kept; by default the smallest row.  Rows without a
-    key cannot be stored and are left out; ``violations`` lists them.
+    Keys are compared in their declared types, and of the stored table only the
+    key columns are read.  A table with an auto id that ``df`` does not bring is
+    compared on all columns but the id and numbered after the stored rows.
+    ``order`` decides which of several new rows with one key is kept; by default
+    the smallest row.  Rows without a key are left out; see :func:`rejected_rows`.
     """
-    auto = spec.serial is not None and spec.serial not in df.columns
-    if auto:
+    if spec.serial is not None and spec.serial not in df.columns:
         return loaded_ids(new_rows(df, stored, [spec.serial]), spec.serial, stored=stored)
-    fresh = new_rows(df.dropna(subset=list(spec.key)), stored)
+    keys = typed_keys(df, spec)
+    keyed = df.withColumns(keys).dropna(subset=list(keys))
     ranks = list(order) or [F.col(f"`{c}`") for c in df.columns]
-    return insert_if_absent(fresh, stored, spec.key, ranks)
+    first = first_per_key(keyed, list(keys), ranks)
+    there = stored.select(*[F.col(f"`{k}`").alias(f"_key_{k}") for k in spec.key])
+    return first.join(there, list(keys), "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def clashes(df: DataFrame, stored: DataFrame, spec: TableSpec) -> DataFrame:
+    """Keys of rows whose given id is stored with other content."""
+    own = conform(df.select(*[c for c in spec.columns if c in df.columns]), spec).select(
+        *spec.key, F.struct(*[F.col(f"`{c}`") for c in spec.columns if c in df.columns]).alias("_new")
+    )
+    held = stored.select(
+        *spec.key, F.struct(*[F.col(f"`{c}`") for c in spec.columns if c in df.columns]).alias("_old")
+    )
+    return hot_join(own, held, list(spec.key), "inner").where(~F.col("_new").eqNullSafe(F.col("_old"))).select(*spec.key)
 
 
 def load_tables(
@@ -42,19 +82,45 @@ def load_tables(
     """Publish the frames under one run id; returns which tables were new.
 
     A run that stopped half way can be repeated with its run id: published
-    tables are left alone, the others are written again.
+    tables are left alone, the others are written again.  Rows without a key are
+    written under ``root/rejects``.  A given serial id that is stored with other
+    content raises :class:`LoadRejected`.
     """
-    done = {}
+    done, known = {}, None
     for spec in load_order(list(frames)):
         df = frames[spec.name]
         spark = df.sparkSession
-        stored = read_table(spark, root, spec)
+        known = known or Ledger(spark, root)
+        if known.is_published(spec.name, run_id):
+            done[spec.name] = False
+            continue
+        stored = read_table(spark, root, spec, known)
+        has_key = all(k in df.columns for k in spec.key)
+        seen = Observation(f"{spec.name} {run_id} keys")
+        if has_key:
+            if spec.serial in df.columns and known.visible_runs(spec.name):
+                wrong = clashes(df, stored, spec).take(5)
+                if wrong:
+                    raise LoadRejected(f"{spec.name}, run {run_id}: ids stored with other content, {wrong}")
+            lacking = F.coalesce(F.sum(without_key(df, spec).cast("bigint")), F.lit(0))
+            df = df.observe(seen, lacking.alias("rejected"))
         fresh = rows_to_load(df, stored, spec, (orders or {}).get(spec.name, ()))
         parents = None
         if check_parents:
             parents = {
-                parent: read_table(spark, root, TABLES[parent])
+                parent: read_table(spark, root, TABLES[parent], known)
                 for parent in {p for p, _ in spec.parents.values()}
             }
-        done[spec.name] = publish(fresh, root, spec, run_id, parents)
+        done[spec.name] = publish(fresh, root, spec, run_id, parents, known)
+        if has_key and seen.get["rejected"]:
+            write_rejects(rejected_rows(frames[spec.name], spec), root, spec.name, run_id)
     return done
+
+
+def write_rejects(rejects: DataFrame, root: str, name: str, run_id: str) -> None:
+    rejects.write.mode("overwrite").parquet(f"{root}/rejects/table_name={name}/run_id={run_id}")
+
+
+def read_rejects(spark, root: str) -> DataFrame:
+    """Rejected rows of all loads, with table_name and run_id."""
+    return spark.read.schema(f"{REJECTS_DDL}, table_name string, run_id string").parquet(f"{root}/rejects")

@@ -11,7 +11,7 @@ from grantflow.fixed_values import FIRST_PERFORMANCE_ID, QUESTION_ALIASES, REPOR
 from grantflow.functions.cleaning import amount, normalise_missing
 from grantflow.functions.dates import lenient_date
 from grantflow.operators.joins import enrich
-from grantflow.operators.numbering import BLOCK, file_ids, serial_ids
+from grantflow.operators.numbering import BLOCK, file_ids, next_id, serial_ids
 from grantflow.operators.ordered import split_header_detail
 from grantflow.sources.documents import cells_to_rows, pick_table, question_answers
 
@@ -40,14 +40,18 @@ def budget_rows(cells: DataFrame) -> DataFrame:
 
 
 def performance_reports(
-    details: DataFrame, activity_ids: DataFrame, start: int = FIRST_PERFORMANCE_ID, block: int = BLOCK
+    details: DataFrame,
+    activity_ids: DataFrame,
+    start: int = FIRST_PERFORMANCE_ID,
+    block: int = BLOCK,
+    stored: DataFrame | None = None,
 ) -> DataFrame:
-    """Detail rows with activity, description and a running id.
+    """Detail rows with activity, description and a running id after the stored ones.
 
     ``c1`` is the amount of the period, ``c2`` the amount to date.
     """
     tied = enrich(details, activity_ids, ["doc_id"], ["activity_id"])
-    return serial_ids(tied, ["doc_id"], "row_no", "performance_id", start, block=block).select(
+    return serial_ids(tied, ["doc_id"], "row_no", "performance_id", start, stored, block).select(
         "performance_id",
         "activity_id",
         F.col("description_id").alias("amount_desc_id"),
@@ -83,18 +87,25 @@ def performance_tables(
     cells: DataFrame,
     blocks: DataFrame,
     stored: Mapping[str, DataFrame] | None = None,
-    next_description: int = 1,
     period: str = REPORT_PERIOD,
     block: int = BLOCK,
+    first_report: int = FIRST_PERFORMANCE_ID,
 ) -> dict[str, DataFrame]:
-    """The three tables; ids continue after the stored ones."""
+    """The three tables of new reports; all three ids continue after the stored ones.
+
+    Give ``stored`` for every load but the first.  An id given twice with other
+    content is refused at load.  One load may run at a time.
+    """
     stored = stored or {}
+    start = next_id(stored.get("amountdescriptions"), "amount_desc_id")
     headers, details = split_header_detail(
-        budget_rows(cells), ["doc_id"], "row_no", "c0", start=next_description, block=block
+        budget_rows(cells), ["doc_id"], "row_no", "c0", start=start, block=block
     )
     ids = file_ids(cells, "doc_id", "activity_id", stored=stored.get("activities"))
     return {
         "activities": activities(question_answers(blocks, QUESTION_ALIASES), ids),
         "amountdescriptions": amount_descriptions(headers, period),
-        "performancereports": performance_reports(details, ids, block=block),
+        "performancereports": performance_reports(
+            details, ids, first_report, block, stored.get("performancereports")
+        ),
     }

@@ -38,12 +38,15 @@ def table_shapes(cells: DataFrame) -> DataFrame:
     )
 
 
-def report_tables(cells: DataFrame, width: int, word: str = "grantee") -> tuple[DataFrame, DataFrame]:
+def report_tables(
+    cells: DataFrame, width: int, word: str = "grantee", widths: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Rows of all tables of a document under its first header, and the skipped tables.
 
     A table whose first cell names ``word`` has a header row, which is left out.
-    Tables above the first header, of another width than it, or wider than
-    ``width`` columns are skipped and reported with the reason.
+    Tables above the first header, of another width than it, or of another than
+    ``width`` columns are skipped and reported with the reason.  With ``widths``
+    (doc_id, width) each document has its own, at most ``width``, and rows keep it.
     """
     shapes = table_shapes(cells).withColumn(
         "headed", F.coalesce(F.lower(trim_text("first_cell")).contains(word), F.lit(False))
@@ -53,7 +56,12 @@ def report_tables(cells: DataFrame, width: int, word: str = "grantee") -> tuple[
         .groupBy("doc_id")
         .agg(F.min(F.struct("page", "table_no", "width")).alias("head"))
     )
-    judged = shapes.join(heads, "doc_id", "left").withColumn(
+    shapes = shapes.join(heads, "doc_id", "left")
+    wanted: Column = F.lit(width)
+    if widths is not None:
+        shapes = shapes.join(widths.select("doc_id", F.col("width").alias("_wanted")), "doc_id", "left")
+        wanted = F.coalesce("_wanted", F.lit(width))
+    judged = shapes.withColumn(
         "reason",
         F.when(
             F.col("head").isNull()
@@ -61,9 +69,9 @@ def report_tables(cells: DataFrame, width: int, word: str = "grantee") -> tuple[
             F.lit("no header"),
         )
         .when(F.col("width") != F.col("head.width"), F.lit("other width"))
-        .when(F.col("width") != width, F.lit("other layout")),
+        .when(F.col("width") != wanted, F.lit("other layout")),
     )
-    good = judged.where(F.col("reason").isNull()).select(*TABLE, "headed")
+    good = judged.where(F.col("reason").isNull()).select(*TABLE, "headed", *(["width"] if widths is not None else []))
     rows = (
         cells_to_rows(cells, width)
         .join(good, TABLE)

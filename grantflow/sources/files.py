@@ -14,17 +14,17 @@ from grantflow.functions.cleaning import file_name, file_stem
 from grantflow.functions.dates import date_key_of_file
 from grantflow.operators.joins import keep_absent
 
-# Free text may hold line breaks, and quotes are doubled inside quoted cells.
-CSV_OPTIONS = {"header": "true", "escape": '"', "multiLine": "true"}
+# Quotes are doubled inside quoted cells.
+CSV_OPTIONS = {"header": "true", "escape": '"'}
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: str | T.StructType, multi_line: bool = True
+    spark: SparkSession, path: str, schema: str | T.StructType, multi_line: bool = False
 ) -> DataFrame:
     """Headered CSV with a declared schema; a value that does not fit fails the job.
 
-    Cells with line breaks need ``multi_line``, which reads each file in one
-    task; without it large files are split.
+    Large files are split.  A table whose cells hold line breaks needs
+    ``multi_line``, which reads each file in one task.
     """
     options = {**CSV_OPTIONS, "mode": "FAILFAST", "multiLine": str(multi_line).lower()}
     return spark.read.schema(schema).options(**options).csv(path)

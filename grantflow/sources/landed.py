@@ -36,9 +36,22 @@ def merge_pages(
     ).select(source, "page", "pos", "result.*")
 
 
+def _read_awards(column: str) -> Column:
+    options = {"columnNameOfCorruptRecord": "_corrupt"}
+    return F.from_json(column, f"{AWARD_DETAIL_DDL}, _corrupt string", options)
+
+
 def parse_awards(df: DataFrame, column: str) -> DataFrame:
-    """JSON text of award documents -> nested columns."""
-    return df.select(F.from_json(column, AWARD_DETAIL_DDL).alias("_doc")).select("_doc.*")
+    """JSON text of award documents -> nested columns, without the malformed ones."""
+    read = df.select(_read_awards(column).alias("_doc"))
+    return read.where("_doc is not null and _doc._corrupt is null").select("_doc.*").drop("_corrupt")
+
+
+def rejected_awards(df: DataFrame, column: str, key: str, source: str = "awards") -> DataFrame:
+    """Documents that are no award: source, key, rule (missing or format), text."""
+    read = df.select(F.col(f"`{key}`").cast("string").alias("key"), F.col(f"`{column}`").alias("text"), _read_awards(column).alias("_doc"))
+    rule = F.when(F.col("text").isNull(), "missing").otherwise("format")
+    return read.where("_doc is null or _doc._corrupt is not null").select(F.lit(source).alias("source"), "key", rule.alias("rule"), "text")
 
 
 def flatten_awards(docs: DataFrame) -> DataFrame:

@@ -4,6 +4,12 @@ A load writes ``root/table/run_id=...``, is checked there, and only then gets
 its ledger row.  Readers see the runs of the ledger and nothing else, so a
 failed or half-written load never shows.  No rename is needed, which suits
 object stores.
+
+A store is made once by :func:`create_store`; a root without a ledger is an error,
+so a mistyped path never loads everything as new.  The ledger has one short row per
+load and table and is read once per load; :func:`compact` rewrites it as the rows
+that still count.  One writer may load into a store at a time: ids and ledger
+numbers continue after the largest ones read.
 """
 
 from __future__ import annotations
@@ -11,7 +17,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,55 +39,76 @@ class LoadRejected(ValueError):
     """A load broke rules of its table; nothing of it became visible."""
 
 
-def _read(spark: SparkSession, schema: str | T.StructType, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
-        raise
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, asked of its file system."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
-def ledger(spark: SparkSession, root: str) -> DataFrame:
-    return _read(spark, LEDGER_DDL, f"{root}/ledger")
+def create_store(spark: SparkSession, root: str) -> str:
+    """Make an empty store; returns its root.  Does nothing where one is."""
+    if not exists(spark, f"{root}/ledger"):
+        spark.createDataFrame([], LEDGER_DDL).write.parquet(f"{root}/ledger")
+    return root
 
 
-def _notes(spark: SparkSession, root: str) -> list[Row]:
-    """The ledger on the driver: one short row per load of a table."""
-    return sorted(ledger(spark, root).collect(), key=lambda note: note.seq)
+class Ledger:
+    """The loads of a store, read once and kept up to date by this writer."""
 
+    def __init__(self, spark: SparkSession, root: str):
+        if not exists(spark, f"{root}/ledger"):
+            raise FileNotFoundError(f"no store at {root}: create_store makes one")
+        self.spark, self.root = spark, root
+        written = spark.read.schema(LEDGER_DDL).parquet(f"{root}/ledger")
+        self.notes = sorted(written.collect(), key=lambda note: note.seq)
 
-def _note(spark: SparkSession, root: str, table: str, run_id: str, action: str, n_rows: int) -> None:
-    last = max((note.seq for note in _notes(spark, root)), default=0)
-    row = [(table, run_id, action, last + 1, n_rows)]
-    spark.createDataFrame(row, LEDGER_DDL).coalesce(1).write.mode("append").parquet(f"{root}/ledger")
+    def visible_runs(self, table: str) -> list[str]:
+        """Published runs since the last truncation."""
+        runs: list[str] = []
+        for note in self.notes:
+            if note.table_name == table:
+                runs = [*runs, note.run_id] if note.action == "load" else []
+        return runs
 
+    def is_published(self, table: str, run_id: str) -> bool:
+        return any((n.table_name, n.run_id, n.action) == (table, run_id, "load") for n in self.notes)
 
-def visible_runs(spark: SparkSession, root: str, table: str) -> list[str]:
-    """Published runs since the last truncation."""
-    runs: list[str] = []
-    for note in _notes(spark, root):
-        if note.table_name == table:
-            runs = [*runs, note.run_id] if note.action == "load" else []
-    return runs
+    def add(self, table: str, run_id: str, action: str, n_rows: int) -> None:
+        seq = max((note.seq for note in self.notes), default=0) + 1
+        note = Row(table_name=table, run_id=run_id, action=action, seq=seq, n_rows=n_rows)
+        row = self.spark.createDataFrame([tuple(note)], LEDGER_DDL).coalesce(1)
+        row.write.mode("append").parquet(f"{self.root}/ledger")
+        self.notes.append(note)
 
 
-def is_published(spark: SparkSession, root: str, table: str, run_id: str) -> bool:
-    return any(
-        (note.table_name, note.run_id, note.action) == (table, run_id, "load")
-        for note in _notes(spark, root)
-    )
+def compact(spark: SparkSession, root: str, spec: TableSpec, run_id: str) -> bool:
+    """Write the visible rows of a table as one run, and show that instead.
+
+    Keeps the number of runs and small files bounded under many small loads.
+    """
+    known = Ledger(spark, root)
+    if known.is_published(spec.name, run_id):
+        return False
+    rows = read_table(spark, root, spec, known)
+    rows.write.mode("overwrite").parquet(f"{root}/{spec.name}/run_id={run_id}")
+    count = spark.read.schema(spec.schema).parquet(f"{root}/{spec.name}/run_id={run_id}").count()
+    # a reader between the two rows sees no rows for a moment, never rows twice
+    known.add(spec.name, run_id, "truncate", 0)
+    known.add(spec.name, run_id, "load", count)
+    return True
 
 
-def read_table(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
+def read_table(spark: SparkSession, root: str, spec: TableSpec, known: Ledger | None = None) -> DataFrame:
     """All visible rows of a table, in its declared columns.
 
     The runs are a partition filter, so folders of other runs are not opened.
     Columns added to the spec later read as null from older runs.
     """
+    runs = (known or Ledger(spark, root)).visible_runs(spec.name)
+    if not runs:
+        return spark.createDataFrame([], spec.schema)
     with_run = T.StructType([*spec.schema.fields, T.StructField("run_id", T.StringType())])
-    stored = _read(spark, with_run, f"{root}/{spec.name}")
-    runs = visible_runs(spark, root, spec.name)
+    stored = spark.read.schema(with_run).parquet(f"{root}/{spec.name}")
     return stored.where(F.col("run_id").isin(runs)).select(*spec.columns)
 
 
@@ -102,14 +128,17 @@ def publish(
     spec: TableSpec,
     run_id: str,
     parents: Mapping[str, DataFrame] | None = None,
+    known: Ledger | None = None,
 ) -> bool:
     """Load ``df`` as one run of the table, all or nothing.
 
     Returns False when that run is published already.  Raises
-    :class:`LoadRejected` when a row breaks a rule of the table.
+    :class:`LoadRejected` when a row breaks a rule of the table; its message names
+    the folder where all rows lie, with the broken rules in ``_broken``.
     """
     spark = df.sparkSession
-    if is_published(spark, root, spec.name, run_id):
+    known = known or Ledger(spark, root)
+    if known.is_published(spec.name, run_id):
         return False
     filled = apply_defaults(df, spec)
     target = f"{root}/{spec.name}/run_id={run_id}"
@@ -124,25 +153,25 @@ def publish(
     ).write.mode("overwrite").parquet(target)
     staged_schema = T.StructType([*spec.schema.fields, T.StructField("_broken", T.StringType())])
     staged = spark.read.schema(staged_schema).parquet(target)
-    stored = read_table(spark, root, spec)
+    stored = read_table(spark, root, spec, known)
     if counts.get["broken"]:
         examples = staged.where("_broken is not null").select(row_key(spec), "_broken").take(5)
-        raise LoadRejected(f"{spec.name}, run {run_id}: {counts.get['broken']} rows, {examples}")
+        raise LoadRejected(f"{spec.name}, run {run_id}: {counts.get['broken']} rows in {target}, {examples}")
     problems = [key_violations(staged, spec), _stored_keys(staged, stored, spec)]
     if parents:
         problems.append(reference_violations(staged, spec, parents))
     found = reduce(lambda a, b: a.unionByName(b), problems).take(5)
     if found:
-        raise LoadRejected(f"{spec.name}, run {run_id}: {found}")
-    _note(spark, root, spec.name, run_id, "load", counts.get["rows"])
+        raise LoadRejected(f"{spec.name}, run {run_id}: {found}, rows in {target}")
+    known.add(spec.name, run_id, "load", counts.get["rows"])
     return True
 
 
 def truncate(spark: SparkSession, root: str, name: str, run_id: str, cascade: bool = True) -> list[str]:
     """Hide all rows of a table and, with ``cascade``, of the tables that refer to it."""
-    names = [name, *(children(name) if cascade else [])]
+    names, known = [name, *(children(name) if cascade else [])], Ledger(spark, root)
     for table in names:
-        _note(spark, root, table, run_id, "truncate", 0)
+        known.add(table, run_id, "truncate", 0)
     return names
 
 

@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from grantflow.plans.loading import rows_to_load
+from grantflow.plans.loading import rows_to_load, without_key, write_rejects
 from grantflow.schemas import TableSpec
 from grantflow.sources.files import CSV_OPTIONS
-from grantflow.sources.tables import is_published, publish, read_table
+from grantflow.sources.tables import Ledger, publish, read_table
+
+
+CORRUPT = "_corrupt_record"
 
 
 def read_drops(
@@ -20,14 +23,21 @@ def read_drops(
     schema: str | T.StructType,
     archive: str | None = None,
     files_per_batch: int | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """CSV files of a folder as a stream, each file once.
 
+    A line that does not fit the schema is kept whole in ``_corrupt_record``.
+    ``multi_line`` is for cells with line breaks; it reads a file in one task.
+
     With ``archive`` Spark moves the files of a batch there while a later batch
     runs, so the newest files stay behind; the checkpoint, not the move, keeps
     a file from being read twice.
     """
-    reader = spark.readStream.schema(schema).options(**CSV_OPTIONS)
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    rescued = T.StructType([*fields.fields, T.StructField(CORRUPT, T.StringType())])
+    options = {**CSV_OPTIONS, "multiLine": str(multi_line).lower(), "columnNameOfCorruptRecord": CORRUPT}
+    reader = spark.readStream.schema(rescued).options(**options)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if files_per_batch:
@@ -35,6 +45,21 @@ def read_drops(
     return reader.csv(source)
 
 
+def split_drops(batch: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
+    """Rows that can be stored, and the others as (source, key, rule, text)."""
+    if CORRUPT not in batch.columns:
+        batch = batch.withColumn(CORRUPT, F.lit(None).cast("string"))
+    lacking = without_key(batch, spec)
+    text = F.coalesce(CORRUPT, F.to_json(F.struct(*[c for c in batch.columns if c != CORRUPT])))
+    bad = batch.where(F.col(CORRUPT).isNotNull() | lacking).select(
+        F.lit(spec.name).alias("source"),
+        F.concat_ws("|", *[F.col(f"`{k}`").cast("string") for k in spec.key]).alias("key"),
+        F.when(F.col(CORRUPT).isNotNull(), "format").otherwise("key").alias("rule"),
+        text.alias("text"),
+    )
+    return batch.where(F.col(CORRUPT).isNull() & ~lacking).drop(CORRUPT), bad
+
+
 def load_drops(
     stream: DataFrame,
     root: str,
@@ -46,16 +71,21 @@ def load_drops(
 
     Every micro-batch is one run of the table named after its batch id.  A batch
     repeated after a failure finds its run published and does nothing, so rows
-    arrive exactly once.
+    arrive exactly once.  Lines that do not fit the schema, and rows without a
+    key, are written under ``root/rejects`` and stop nothing.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
         run_id = f"batch-{batch_id:09d}"
-        spark = batch.sparkSession
-        if is_published(spark, root, spec.name, run_id):
+        known = Ledger(batch.sparkSession, root)
+        if known.is_published(spec.name, run_id):
             return
-        fresh = rows_to_load(batch, read_table(spark, root, spec), spec, [F.col(c) for c in order])
-        publish(fresh, root, spec, run_id)
+        good, bad = split_drops(batch, spec)
+        if not bad.isEmpty():
+            write_rejects(bad, root, spec.name, run_id)
+        stored = read_table(batch.sparkSession, root, spec, known)
+        fresh = rows_to_load(good, stored, spec, [F.col(c) for c in order])
+        publish(fresh, root, spec, run_id, known=known)
 
     query = (
         stream.writeStream.foreachBatch(load)

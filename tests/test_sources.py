@@ -25,7 +25,7 @@ from grantflow.streaming.drops import load_drops, read_drops
 def test_codes_survive_csv(spark, tmp_path):
     frame = spark.createDataFrame([("14.210", 'a, "quoted"\ntext'), ("14.2", None)], "code string, t string")
     Fi.write_csv(frame, str(tmp_path / "x"))
-    assert rows(Fi.read_csv(spark, str(tmp_path / "x"), frame.schema)) == rows(frame)
+    assert rows(Fi.read_csv(spark, str(tmp_path / "x"), frame.schema, multi_line=True)) == rows(frame)
     with pytest.raises(PySparkException):
         Fi.write_csv(frame, str(tmp_path / "x"))
     with pytest.raises((PySparkException, Py4JJavaError)):
@@ -171,7 +171,7 @@ def test_links(spark):
 
 
 def test_publish_is_all_or_nothing(spark):
-    root, spec = scratch_dir(spark, "t"), TABLES["states"]
+    root, spec = St.create_store(spark, scratch_dir(spark, "t")), TABLES["states"]
     good = spark.createDataFrame([("PR", "Puerto Rico"), ("TX", "Texas")], "state_code string, state_name string")
     assert St.publish(good, root, spec, "r1")
     assert not St.publish(good, root, spec, "r1")
@@ -188,7 +188,7 @@ def test_publish_is_all_or_nothing(spark):
 
 
 def test_missing_parent_stops_the_load(spark):
-    root = scratch_dir(spark, "t")
+    root = St.create_store(spark, scratch_dir(spark, "t"))
     frames = {"grantee": spark.createDataFrame([(1, "n", "PR")], "grantee_id int, grantee_name string, state_code string")}
     with pytest.raises(St.LoadRejected, match="foreign key"):
         load_tables(frames, root, "r1")
@@ -198,7 +198,7 @@ def test_missing_parent_stops_the_load(spark):
 
 
 def test_auto_ids_continue(spark):
-    root = scratch_dir(spark, "t")
+    root = St.create_store(spark, scratch_dir(spark, "t"))
     one = spark.createDataFrame([("d1", "1.00", "p", "2.00")], "description string, time_period_amount string, time_period string, to_date_amount string")
     two = one.unionByName(spark.createDataFrame([("d2", "1.00", "p", "2.00")], one.schema))
     load_tables({"amountdescriptions": one}, root, "r1")
@@ -208,7 +208,7 @@ def test_auto_ids_continue(spark):
 
 
 def test_added_column_reads_null_from_old_runs(spark):
-    root = scratch_dir(spark, "t")
+    root = St.create_store(spark, scratch_dir(spark, "t"))
     old = TableSpec("w", "k int", ("k",))
     new = TableSpec("w", "k int, extra string", ("k",))
     St.publish(spark.createDataFrame([(1,)], "k int"), root, old, "r1")
@@ -218,7 +218,7 @@ def test_added_column_reads_null_from_old_runs(spark):
 
 def test_drops_load_once(spark, tmp_path):
     spec = TableSpec("e", "k int, v string", ("k",))
-    source, root = tmp_path / "in", str(tmp_path / "tables")
+    source, root = tmp_path / "in", St.create_store(spark, str(tmp_path / "tables"))
     source.mkdir()
 
     def drop(name, text):

@@ -25,7 +25,7 @@ from grantflow.schemas import (
     TRANSACTIONS_DDL,
 )
 from grantflow.session import scratch_dir
-from grantflow.sources.tables import read_table
+from grantflow.sources.tables import create_store, read_table
 
 
 def frame(spark, ddl, *records):
@@ -179,7 +179,7 @@ def test_old_layout_has_no_pace(spark):
 
 def test_award_tables_load_once(spark):
     """All ten tables against their parents; a second run with the same input adds nothing."""
-    root = scratch_dir(spark, "awards")
+    root = create_store(spark, scratch_dir(spark, "awards"))
     built = A.award_tables(*award_inputs(spark))
     for run_id in ("r1", "r2"):
         assert set(load_tables(built, root, run_id).values()) == {True}
@@ -195,7 +195,7 @@ def test_award_tables_load_once(spark):
 
 
 def test_repeated_headers_load_as_the_first(spark):
-    root = scratch_dir(spark, "headers")
+    root = create_store(spark, scratch_dir(spark, "headers"))
     headers = spark.createDataFrame(
         [(1, "Total", "9.00", "p", "1.00", "d1", 1), (1, "Total", "2.00", "p", "1.00", "d1", 4)],
         "amount_desc_id bigint, description string, time_period_amount string, time_period string, "
