@@ -90,6 +90,7 @@ def performance_tables(
     period: str = REPORT_PERIOD,
     block: int = BLOCK,
     first_report: int = FIRST_PERFORMANCE_ID,
+    next_description: int = 1,
 ) -> dict[str, DataFrame]:
     """The three tables of new reports; all three ids continue after the stored ones.
 
@@ -97,7 +98,7 @@ def performance_tables(
     content is refused at load.  One load may run at a time.
     """
     stored = stored or {}
-    start = next_id(stored.get("amountdescriptions"), "amount_desc_id")
+    start = next_id(stored.get("amountdescriptions"), "amount_desc_id", next_description)
     headers, details = split_header_detail(
         budget_rows(cells), ["doc_id"], "row_no", "c0", start=start, block=block
     )

@@ -246,3 +246,10 @@ def test_load_order_and_children():
     assert L.children("disaster") == ["granthistory", "disasterpubliclaw"]
     for spec in TABLES.values():
         assert all(list(TABLES).index(p) < list(TABLES).index(spec.name) for p, _ in spec.parents.values())
+
+
+def test_numbering_keeps_rows_with_null_order(spark):
+    df = spark.createDataFrame([("a", 0), (None, 1), ("b", 2), (None, 3)], "doc string, row_no bigint")
+    assert rows(N.serial_ids(df, ["doc"], "row_no", "id").select("id", "row_no")) == [(1, 1), (2, 3), (3, 0), (4, 2)]
+    placed = N.positions(df.withColumn("page", F.lit(0)), ["doc"], ["page"], "row_no", "place").select("row_no", "place")
+    assert rows(placed) == [(0, 0), (1, 0), (2, 0), (3, 1)]

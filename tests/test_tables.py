@@ -3,6 +3,7 @@
 from datetime import date
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,7 +26,8 @@ from grantflow.schemas import (
     TRANSACTIONS_DDL,
 )
 from grantflow.session import scratch_dir
-from grantflow.sources.tables import create_store, read_table
+from grantflow.plans.loading import read_rejects
+from grantflow.sources.tables import Ledger, LoadRejected, compact, create_store, publish, read_table
 
 
 def frame(spark, ddl, *records):
@@ -204,3 +206,45 @@ def test_repeated_headers_load_as_the_first(spark):
     load_tables({"amountdescriptions": headers}, root, "r1", {"amountdescriptions": ["doc_id", "row_no"]})
     stored = read_table(spark, root, TABLES["amountdescriptions"])
     assert rows(stored.select("amount_desc_id", "time_period_amount")) == [(1, Decimal("9.00"))]
+
+
+def test_second_quarter_keeps_all_reports(spark):
+    """Ids above ten digits stay apart, and a second load adds its reports under further ids."""
+    root, stored = create_store(spark, scratch_dir(spark, "quarters")), None
+    table = [["Overall", "p", "d"], ["Budget", "$10.00", "$20.00"], ["B-17-DM-72-0001", "$4.00", "$8.00"]]
+    for run, doc in enumerate(("r12345678901", "r12345678902")):
+        cells = [(doc, 0, 0, r, c, x) for r, line in enumerate(table) for c, x in enumerate(line)]
+        blocks = [(doc, "q1", "QUERY", "Activity_Type", ["a1"], None)]
+        built = P.performance_tables(spark.createDataFrame(cells, CELLS_DDL), spark.createDataFrame(blocks, BLOCKS_DDL), stored)
+        load_tables(built, root, f"r{run}", {"amountdescriptions": ["doc_id", "row_no"]}, check_parents=False)
+        stored = {name: read_table(spark, root, TABLES[name]) for name in built}
+    reports = stored["performancereports"].select("performance_id", "activity_id", "amount_desc_id")
+    assert rows(reports) == [(128, 1, 1), (129, 2, 2)]
+    assert stored["activities"].count() == stored["amountdescriptions"].count() == 2
+    clash = spark.createDataFrame([(1, "other", "1.00", "p", "1.00")], "amount_desc_id int, description string, "
+                                  "time_period_amount string, time_period string, to_date_amount string")
+    with pytest.raises(LoadRejected, match="other content"):
+        load_tables({"amountdescriptions": clash}, root, "r9")
+
+
+def test_keys_are_compared_in_their_declared_type(spark):
+    root, spec = create_store(spark, scratch_dir(spark, "keys")), TABLES["grantee"]
+    one = spark.createDataFrame([("12", "a", "PR"), ("012", "b", "PR"), (None, "c", "PR"), ("x", "d", "PR")], "grantee_id string, grantee_name string, state_code string")
+    load_tables({"grantee": one}, root, "r1", check_parents=False)
+    assert rows(read_table(spark, root, spec).select("grantee_id", "grantee_name")) == [(12, "a")] or rows(
+        read_table(spark, root, spec).select("grantee_id", "grantee_name")) == [(12, "b")]
+    assert rows(read_rejects(spark, root).select("source", "rule", "key")) == [("grantee", "key", ""), ("grantee", "key", "x")]
+
+
+def test_a_missing_store_is_an_error(spark):
+    with pytest.raises(FileNotFoundError, match="no store"):
+        read_table(spark, scratch_dir(spark, "nowhere"), TABLES["states"])
+
+
+def test_compacted_runs_show_the_same_rows(spark):
+    root, spec = create_store(spark, scratch_dir(spark, "compact")), TABLES["states"]
+    for k in range(3):
+        publish(spark.createDataFrame([(f"S{k}", f"name {k}")], "state_code string, state_name string"), root, spec, f"r{k}")
+    before = rows(read_table(spark, root, spec))
+    assert compact(spark, root, spec, "all") and not compact(spark, root, spec, "all")
+    assert rows(read_table(spark, root, spec)) == before and Ledger(spark, root).visible_runs("states") == ["all"]
