@@ -7,7 +7,7 @@ operator adds, and works on all of it.  ``n_chars`` follows a changed text.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from grantflow.llm import bpe, line_dedup, minhash, mixing, quality
@@ -30,8 +30,11 @@ def back(df: DataFrame, docs: DataFrame) -> DataFrame:
 
 def keyed(docs: DataFrame, *more: str) -> DataFrame:
     """Add two hashes that tell rows apart by id and text (and ``more``)."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.withColumns({"hash": F.xxhash64(text), "node": F.xxhash64("doc_id", F.col("doc_id").isNull(), *more)})
+    return docs.withColumns({"hash": F.xxhash64(F.coalesce(F.col("text"), F.lit(""))), "node": id_key(*more)})
+
+
+def id_key(*more: str) -> Column:
+    return F.xxhash64("doc_id", F.col("doc_id").isNull(), *more)
 
 
 def rank_in_key(df: DataFrame) -> DataFrame:
@@ -53,8 +56,7 @@ def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates: that of the least id."""
-    stay = keyed(minhash.near_duplicates(docs).where("kept").select("doc_id", F.col("hash").alias("_text")).distinct())
-    stay = stay.select(F.col("_text").alias("hash"), "node").distinct()
+    stay = minhash.near_duplicates(docs).where("kept").select("hash", id_key().alias("node")).distinct()
     held = keyed(aside(docs)).join(stay, ["hash", "node"], "left_semi")
     return back(rank_in_key(held).where("head = 1"), docs)
 
