@@ -11,7 +11,7 @@ from conftest import rows
 from grantflow.fixed_values import AWARD_FILE_TABLES, HISTORY_FILE_TABLES
 from grantflow.functions.cleaning import normalise_missing
 from grantflow.operators.load import conform
-from grantflow.plans.loading import load_tables
+from grantflow.plans.loading import load_tables, read_rejects
 from grantflow.schemas import BLOCKS_DDL, CELLS_DDL, TABLES, TableSpec
 from grantflow.session import drop_settled, scratch_dir, settle
 from grantflow.sources import documents as D
@@ -249,3 +249,39 @@ def test_settled_tables_can_be_dropped(spark):
     assert drop_settled(spark) >= 1
     with pytest.raises((PySparkException, Py4JJavaError)):
         frame.agg(F.sum("id")).collect()
+
+
+def test_large_csv_files_are_split(spark, tmp_path):
+    """One file, several tasks; only cells with line breaks ask for one task per file."""
+    (tmp_path / "big.csv").write_text("k,v\n" + "".join(f"{k},{'x' * 100}\n" for k in range(20_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        split = Fi.read_csv(spark, str(tmp_path), "k int, v string")
+        assert split.rdd.getNumPartitions() > 4 and split.count() == 20_000
+        assert Fi.read_csv(spark, str(tmp_path), "k int, v string", multi_line=True).rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_long_link_targets_stay_whole(spark):
+    href = "/" + "a" * 5000
+    page = spark.createDataFrame([(1, f'<a href="{href}">t</a>')], "page_id int, html string")
+    assert W.page_links(page, "html", ["page_id"]).first().href == href
+
+
+def test_drops_reject_lines_that_do_not_fit(spark, tmp_path):
+    spec = TableSpec("e", "k int, v int", ("k",))
+    root = St.create_store(spark, str(tmp_path / "tables"))
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("k,v\nx2,7\n3,oops\n4,8\n,9\n")
+    load_drops(read_drops(spark, str(tmp_path / "in"), spec.schema), root, spec, str(tmp_path / "checkpoint"))
+    assert rows(St.read_table(spark, root, spec)) == [(4, 8)]
+    found = rows(read_rejects(spark, root).select("rule", "text"))
+    assert found == [("format", "3,oops"), ("format", "x2,7"), ("key", '{"v":9}')]
+
+
+def test_malformed_awards_are_told(spark):
+    docs = spark.createDataFrame([(1, '{"fain": "G1"}'), (2, "<html>"), (3, None)], "id int, body string")
+    assert [r.fain for r in La.parse_awards(docs, "body").collect()] == ["G1"]
+    assert rows(La.rejected_awards(docs, "body", "id")) == [("awards", "2", "format", "<html>"), ("awards", "3", "missing", None)]
