@@ -5,8 +5,9 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from checks.base import Tables, check
+from checks.base import ORACLES, Tables, check
 from checks.shapes import (
     ANSWERS_SQL,
     AWARDS_SQL,
@@ -34,6 +35,7 @@ from grantflow.plans import performance as P
 from grantflow.plans.financial import financial_tables
 from grantflow.plans.financial import skipped_tables
 from grantflow.plans.loading import load_tables, rows_to_load
+from grantflow.plans.pipelines import AWARDS, FINANCIAL, HISTORY, PERFORMANCE, Pipeline
 from grantflow.schemas import TABLES
 from grantflow.session import scratch_dir, settle
 from grantflow.sources.documents import question_answers
@@ -480,3 +482,66 @@ def tb19_skipped(t: Tables):
         "concat('n', lpad(cast(n_nationkey as string), 20, '0')) as doc_id", "explode(array(-1, 999)) as page"
     ).selectExpr("doc_id", "page", "0 as table_no", "0 as row_no", "posexplode(array('a', 'b', 'c')) as (col_no, text)")
     return skipped_tables(financial_cells(t).unionByName(odd), front_pages(t))
+
+
+# --- whole pipelines: landed files, two runs ------------------------------------------------
+
+
+def loaded_twice(t: Tables, pipeline: Pipeline, inputs: dict, tables: list[str]):
+    """Rows per table after two runs over the same landed files; the second finds no new file."""
+    home = scratch_dir(t.spark, pipeline.name)
+    root = create_store(t.spark, f"{home}/store")
+    for name, frame in inputs.items():
+        declared = T.StructType.fromDDL(pipeline.inputs[name])
+        fitting = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in declared if f.name in frame.columns]
+        frame.select(*fitting).write.json(f"{home}/landed/{name}")
+    assert pipeline.run(t.spark, f"{home}/landed", root, "run1", check_parents=False)
+    assert not pipeline.run(t.spark, f"{home}/landed", root, "run2", check_parents=False)
+    counts = [
+        read_table(t.spark, root, TABLES[name]).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n"))
+        for name in tables
+    ]
+    return reduce(lambda a, b: a.unionByName(b), counts)
+
+
+def _counts(**queries: str) -> str:
+    """Rows per table: of repeated keys the load keeps one."""
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, count(DISTINCT {TABLES[table].key[0]}) AS n FROM ({sql})" for table, sql in queries.items()
+    )
+
+
+@check(
+    "LD6_award_pipeline",
+    _counts(subawards=ORACLES["TB4_subawards"], grants=ORACLES["TB3_grants"], agencies=ORACLES["TB8_agencies"]),
+)
+def ld6_awards(t: Tables):
+    inputs = {
+        "awards": awards(t).replace("n/a", None, ["COVID-19 Obligations"]), "other": other(t), "funding": funding_rows(t),
+        "subawards": subawards(t),
+        "transactions": transaction_rows(t), "fund_codes": fund_codes(t),
+    }
+    return loaded_twice(t, AWARDS, inputs, ["subawards", "grants", "agencies"])
+
+
+@check(
+    "LD6_history_pipeline",
+    _counts(granthistory=ORACLES["TB15_granthistory"], grantee=ORACLES["TB11_grantee"], disaster=ORACLES["TB12_disaster"]),
+)
+def ld6_history(t: Tables):
+    return loaded_twice(t, HISTORY, {"lines": report_lines(t)}, ["granthistory", "grantee", "disaster"])
+
+
+@check(
+    "LD6_performance_pipeline",
+    _counts(performancereports=ORACLES["TB16_performancereports"], amountdescriptions=ORACLES["TB18_amountdescriptions"]),
+)
+def ld6_performance(t: Tables):
+    inputs = {"cells": report_cells(t), "blocks": question_blocks(t)}
+    return loaded_twice(t, PERFORMANCE, inputs, ["performancereports", "amountdescriptions"])
+
+
+@check("LD6_financial_pipeline", _counts(grantfinancialreports=ORACLES["TB19_one_state"]))
+def ld6_financial(t: Tables):
+    inputs = {"cells": financial_cells(t), "front_pages": front_pages(t)}
+    return loaded_twice(t, FINANCIAL, inputs, ["grantfinancialreports"])

@@ -98,13 +98,15 @@ def compact(spark: SparkSession, root: str, spec: TableSpec, run_id: str) -> boo
     return True
 
 
-def read_table(spark: SparkSession, root: str, spec: TableSpec, known: Ledger | None = None) -> DataFrame:
-    """All visible rows of a table, in its declared columns.
+def read_table(
+    spark: SparkSession, root: str, spec: TableSpec, known: Ledger | None = None, but: str | None = None
+) -> DataFrame:
+    """All visible rows of a table, in its declared columns; ``but`` leaves one run out.
 
     The runs are a partition filter, so folders of other runs are not opened.
     Columns added to the spec later read as null from older runs.
     """
-    runs = (known or Ledger(spark, root)).visible_runs(spec.name)
+    runs = [r for r in (known or Ledger(spark, root)).visible_runs(spec.name) if r != but]
     if not runs:
         return spark.createDataFrame([], spec.schema)
     with_run = T.StructType([*spec.schema.fields, T.StructField("run_id", T.StringType())])
