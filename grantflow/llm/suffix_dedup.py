@@ -67,13 +67,14 @@ def ranges_of(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarr
 
 
 class Slab:
-    """Some documents in a row: their stretches of windows with one anchor."""
+    """Some documents in a row: their stretches of windows with one anchor, and the
+    place of the anchor in the first window (``lead``)."""
 
     def __init__(self, data: np.ndarray, bounds: np.ndarray, ids: np.ndarray):
         self.data, self.bounds, self.ids = data, bounds, ids
         n = len(data) - LENGTH + 1
         self.hashes = PrefixHashes(data)
-        self.start = self.many = self.doc = np.zeros(0, np.int64)
+        self.start = self.many = self.doc = self.lead = np.zeros(0, np.int64)
         self.key = np.zeros(0, np.uint64)
         if n <= 0:
             return
@@ -87,7 +88,7 @@ class Slab:
         own = anchor[at]
         new = np.flatnonzero(np.append(True, (own[1:] != own[:-1]) | (at[1:] != at[:-1] + 1)))
         self.start, self.many = at[new], np.diff(np.append(new, len(at)))
-        self.key, self.doc = grams[own[new]], doc[at[new]]
+        self.key, self.doc, self.lead = grams[own[new]], doc[at[new]], (own - at)[new]
 
     def split(self, hot: np.ndarray) -> None:
         """Make a stretch of each window of hot anchors."""
@@ -100,11 +101,13 @@ class Slab:
         self.start = self.start[again] + step
         self.doc, self.many = self.doc[again], np.where(mine, 1, self.many)[again]
         single = mine[again]
+        self.lead = np.where(single, 0, self.lead[again])
         self.key = self.key[again]
         self.key[single] = mixed(self.hashes.ranges(self.start[single], LENGTH) + np.uint64(1))
 
     def keep(self, which: np.ndarray) -> None:
-        self.start, self.many, self.key, self.doc = (x[which] for x in (self.start, self.many, self.key, self.doc))
+        own = self.start, self.many, self.key, self.doc, self.lead
+        self.start, self.many, self.key, self.doc, self.lead = (x[which] for x in own)
 
     def content(self) -> np.ndarray:
         return mixed(self.hashes.ranges(self.start, self.many + LENGTH - 1))
@@ -205,22 +208,21 @@ def send_stretches(table: pa.Table, answers: pa.Table, shelves: int) -> pa.Table
     """Step 3: each distinct stretch around a shared anchor, with its least id."""
     shared, hot = unpacked(answers, "keys", np.uint64), unpacked(answers, "hot", bool)
     shared, hot = np.sort(shared), np.sort(shared[hot])
-    parts = [[], [], [], [], []]
+    parts = [[], [], [], [], [], []]
     for slab in slabs(table):
         slab.keep(among(slab.key, shared))
         slab.split(hot)
         size = slab.many + LENGTH - 1
-        made = slab.key, slab.content(), slab.ids[slab.doc], size, ranges_of(slab.data, slab.start, size)
+        made = slab.key, slab.content(), slab.ids[slab.doc], size, slab.lead, ranges_of(slab.data, slab.start, size)
         for part, values in zip(parts, made, strict=True):
             part.append(values)
-    key, content, ids, size, flat = (
-        np.concatenate(p or [np.zeros(0, t)]) for p, t in zip(parts, (np.uint64, np.uint64, np.int64, np.int64, np.uint8), strict=True)
-    )
+    kinds = np.uint64, np.uint64, np.int64, np.int64, np.int64, np.uint8
+    key, content, ids, size, lead, flat = (np.concatenate(p or [np.zeros(0, t)]) for p, t in zip(parts, kinds, strict=True))
     order, first = groups(key, content, ids)
     pick = order[first]
     flat = ranges_of(flat, (np.cumsum(size) - size)[pick], size[pick])
     key, ids, size = key[pick], ids[pick], size[pick]
-    columns = {"keys": key, "least": ids, "size": size.astype(np.uint8)}
+    columns = {"keys": key, "least": ids, "size": size.astype(np.uint8), "lead": lead[pick].astype(np.uint8)}
     shelf = (key % np.uint64(shelves)).astype(np.int64)
     return parcels(shelf, "shelf", {"chunk": _chunk(table) if len(table) else -1}, columns, ("raw", flat, size))
 
@@ -230,6 +232,7 @@ def answer_stretches(table: pa.Table) -> pa.Table:
     key, least = unpacked(table, "keys", np.uint64), unpacked(table, "least", np.int64)
     size, data = unpacked(table, "size", np.uint8).astype(np.int64), unpacked(table, "raw", np.uint8)
     chunk = np.repeat(table.column("chunk").to_numpy(), sizes_of(table, "keys", 8))
+    lead = unpacked(table, "lead", np.uint8).astype(np.uint64)
     start = np.cumsum(size) - size
     content = contents_of(data, start, size)
     # one of each content per key, with the least id; what is left alone has no answer
@@ -244,7 +247,8 @@ def answer_stretches(table: pa.Table) -> pa.Table:
     base = np.cumsum(windows) - windows
     smallest = np.repeat(least[head], windows)  # per window of each distinct stretch
     offset = np.arange(len(smallest)) - np.repeat(base, windows)
-    kin = np.repeat(key[head], windows)
+    # equal windows have the anchor at the same place
+    kin = mixed(np.repeat(key[head], windows) ^ (np.repeat(lead[head], windows) - offset.astype(np.uint64)))
     todo = np.flatnonzero(np.repeat(several, windows))
     todo = todo[np.argsort(kin[todo], kind="stable")]
     owner = np.repeat(np.arange(len(head)), windows)
@@ -377,7 +381,7 @@ def repeated_strings(
     )
     stretches = (
         texts.groupBy("chunk").cogroup(shared.groupBy("chunk"))
-        .applyInArrow(lambda t, a: send_stretches(t, a, chunks), "shelf int, chunk int, keys binary, least binary, size binary, raw binary")
+        .applyInArrow(lambda t, a: send_stretches(t, a, chunks), "shelf int, chunk int, keys binary, least binary, size binary, lead binary, raw binary")
     )
     marks = settle(
         stretches.groupBy("shelf").applyInArrow(answer_stretches, "chunk int, keys binary, content binary, mask binary")
@@ -388,8 +392,9 @@ def repeated_strings(
     answers = marks.withColumn("hot", none).unionByName(hot)
     schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
     cut = texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(lambda t, a: cut_documents(t, a, with_bytes), schema)
-    cut = cut.withColumnRenamed("doc_id", id)
-    return cut if with_bytes else cut.drop("kept")
+    cut = settle(cut.withColumnRenamed("doc_id", id) if with_bytes else cut.withColumnRenamed("doc_id", id).drop("kept"))
+    spark.sql(f"DROP TABLE {name}")  # the chunks were needed until here
+    return cut
 
 
 def _hot_keys(batches):

@@ -10,13 +10,17 @@ from grantflow.llm.bytehash import PrefixHashes
 def common_prefix(hashes: PrefixHashes, x: np.ndarray, y: np.ndarray, depth: int) -> np.ndarray:
     """Length of the common prefix of each pair of suffixes, at most ``depth``, by
     binary search over equal prefix hashes."""
+    out = np.full(len(x), depth)
+    differ = np.flatnonzero(hashes.ranges(x, depth) != hashes.ranges(y, depth))
+    x, y = x[differ], y[differ]
     found = np.zeros(len(x), np.int64)
     step = 1 << (depth.bit_length() - 1)
     while step:
-        longer = np.minimum(found + step, depth)
+        longer = np.minimum(found + step, depth - 1)
         found = np.where(hashes.ranges(x, longer) == hashes.ranges(y, longer), longer, found)
         step >>= 1
-    return found
+    out[differ] = found
+    return out
 
 
 def _before(hashes, data, x, y, depth, or_equal):
