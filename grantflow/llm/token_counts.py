@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from grantflow.llm.pretokens import cutter
 from grantflow.llm.texts import add_text_columns
 
-REMEMBERED = 300_000
+REMEMBERED = 1_000_000
 CONTRACTED = ("'re", "'ve", "'ll")
 
 
@@ -102,7 +102,7 @@ class PrefixCounter:
         """Remember the steps between the counts of new pieces."""
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        if len(self.fits) > 4 * REMEMBERED:
+        if len(self.fits) > REMEMBERED:
             self.fits.clear()
         for piece in pieces:
             if piece not in self.known:
