@@ -218,6 +218,40 @@ def test_near_duplicates_against_all_pairs(spark):
     assert minhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_near_copies_inside_a_template_family(spark):
+    """A family just under the threshold, whose hubs link nobody, with near copies in it."""
+    chance = random.Random(12)
+    form = sentence(chance, 170)
+    texts = [f"{form} {sentence(chance, 22)}" for _ in range(500)]
+    texts += [" ".join([*t.split()[:172], sentence(chance, 20)]) for t in texts[:60]]
+    own = similarities(texts)
+    near = [(i, j) for i in range(len(texts)) for j in range(i) if minhash.similarity(own[i], own[j]) >= 0.8]
+    assert sorted(near) == [(500 + k, k) for k in range(60)]
+    assert minhash.similarity(own[100], own[200]) > 0.78
+    rows = minhash.near_duplicates(frame(spark, texts)).collect()
+    assert {r.doc_id: (r.class_id, r.class_size) for r in rows} == {
+        i: (i % 500, 2 if i % 500 < 60 else 1) for i in range(len(texts))
+    }
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.8])
+def test_prefixes_of_similar_texts_meet(threshold):
+    chance = random.Random(13)
+    pool = sentence(chance, 60).split()
+    texts = [" ".join(chance.choice(pool[:k]) for _ in range(n)) for k in (1, 2, 3) for n in (4, 9, 30, 200) for _ in range(6)]
+    base = [" ".join(chance.choice(pool) for _ in range(n)) for n in (20, 60, 150)]
+    texts += [edited(chance, t, share) for t in base for share in (0, 0.01, 0.03, 0.1) for _ in range(8)] + [f"{t} {t}" for t in base]
+    seen = np.random.default_rng(1).integers(0, 3, minhash.CELLS).astype(np.uint32)  # any order will do
+    tokens, many = minhash.prefixes([minhash.words(t) for t in texts], seen, threshold)
+    own, found = similarities(texts), 0
+    for i in range(len(texts)):
+        for j in range(i):
+            if minhash.similarity(own[i], own[j]) >= threshold:
+                found += 1
+                assert set(tokens[i][: many[i]]) & set(tokens[j]) or set(tokens[j][: many[j]]) & set(tokens[i])
+    assert found > 100
+
+
 # ---- suffixes -----------------------------------------------------------------------
 
 
