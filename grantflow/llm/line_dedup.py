@@ -1,4 +1,4 @@
-"""Delete repeated runs of lines, found by winnowing over line hashes.
+"""Delete repeated runs of lines, grouped by hash behind a filter of window minima.
 
 A line counts by its text without blanks around it; blank lines are passed over
 and never deleted.  Of each ``window`` lines in a row the least line hash (the
@@ -10,8 +10,8 @@ runs of their own.
 Fingerprints that occur once are left behind first.  At the positions of the
 others, the runs that hold them are compared: of equal runs the first one, by
 (document id, text, line), stays, and every later one is marked.  Marked runs that
-touch or overlap are one repeated run, extended both ways as far as it matches,
-and are deleted.  All is judged on the input, also within one document.
+touch or overlap are deleted together as one; no match is extended line by line.
+All is judged on the input, also within one document.
 
 Counting which fingerprints and runs repeat combines in the map tasks, so a line
 in a third of all documents crosses the network once per task.  Null texts stay
