@@ -22,7 +22,8 @@ shuffle of texts.  Chunks and key ranges ("shelves") talk in packed messages:
    elsewhere.
 5. The chunk marks those windows, and those that repeat inside the chunk.
 
-Within a chunk a stretch is known by two 64-bit hashes.  Null counts as the empty
+Within a chunk a stretch is known by two 64-bit hashes, and so it is on a shelf where
+all stretches of an anchor are equal: no bytes are compared there.  Null counts as the empty
 text.  Texts shorter than a window keep all bytes.  Rows of equal id never match
 each other; rows with a null id neither lose bytes nor match.
 """
