@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantflow.llm import bpe, exact_dedup, exact_search, fixity, line_dedup, minhash, mixing, quality, suffix_dedup, token_counts
+from grantflow.llm import bpe, exact_dedup, exact_search, fixity, line_dedup, minhash, mixing, periodic_runs, quality, suffix_dedup, token_counts
 from grantflow.session import settle, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,3 +171,25 @@ def op5_warc_fixity(pages: DataFrame) -> DataFrame:
     turned = F.concat(F.lit("#"), F.expr("substring(html, 2)"))
     replica = pages.where(~F.coalesce(cut, F.lit(False))).withColumn("html", F.when(rot, turned).otherwise(F.col("html")))
     return fixity.audit(settle(fixity.archive(pages)), settle(fixity.archive(replica)))
+
+
+@query("documents")
+def op12_periodic_runs(documents: DataFrame) -> DataFrame:
+    """Runs of each text, of every tenth with a periodic end (see ``made_periodic``)."""
+    turned = documents.select("doc_id", periodic_runs.made_periodic(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic_runs.periodic_runs(turned, keep=["doc_id"])
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    # the first of the strongest, compared as whole numbers
+    strongest = F.reduce(
+        F.slice("runs", 2, F.greatest(F.size("runs"), F.lit(1))),
+        F.get("runs", F.lit(0)),
+        lambda best, r: F.when(r["length"] * best["period"] > best["length"] * r["period"], r).otherwise(best),
+    )
+    return found.withColumn("_best", strongest).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        *[F.col(f"_best.{c}").alias(c) for c in ("start", "length", "period")],
+        F.expr("1000 * _best.length div _best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
