@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantflow.llm import bpe, exact_dedup, exact_search, fixity, line_dedup, minhash, mixing, periodic_runs, quality, suffix_dedup, token_counts
+from grantflow.llm import bpe, exact_dedup, exact_search, fixity, hard_negatives, line_dedup, minhash, mixing, periodic_runs, quality, suffix_dedup, token_counts
 from grantflow.session import settle, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -193,3 +193,34 @@ def op12_periodic_runs(documents: DataFrame) -> DataFrame:
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query(
+    "embeddings",
+    sql="""
+    WITH v AS (
+        SELECT row_number() OVER () AS row, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x::DOUBLE)]) = len(embedding)
+    ), scored AS (
+        SELECT a.row, a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS alike, list_dot_product(a.v, c.v)::BIGINT AS score
+        FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0
+    ), positive AS (
+        SELECT row, anchor_id, vec_id, score, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS nth
+        FROM scored WHERE alike
+    ), ranked AS (
+        SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+               row_number() OVER (PARTITION BY p.row, nth ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+        FROM positive p JOIN scored s ON p.row = s.row AND NOT s.alike
+         AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+        WHERE nth <= 5
+    )
+    SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 10
+    """,
+)
+def op13_hard_negatives(embeddings: DataFrame) -> DataFrame:
+    """Every hundredth row is an anchor; every seventh first moves to the next label."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(embeddings.withColumn("label", moved), F.col("vec_id") % 100 == 0)
