@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantflow.llm import bpe, exact_dedup, exact_search, fixity, hard_negatives, line_dedup, minhash, mixing, periodic_runs, quality, suffix_dedup, token_counts
+from grantflow.llm import bpe, exact_dedup, exact_search, fixity, hard_negatives, line_dedup, minhash, mixing, periodic_runs, quality, suffix_dedup, token_counts, toxicity
 from grantflow.session import settle, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -224,3 +224,10 @@ def op13_hard_negatives(embeddings: DataFrame) -> DataFrame:
     """Every hundredth row is an anchor; every seventh first moves to the next label."""
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine(embeddings.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+@query("documents", "labels")
+def op11_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    scored = toxicity.score(documents, toxicity.train(documents, labels), keep=["doc_id"])
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return scored.select("doc_id", "held_out", "score", predicted, F.col("toxic").alias("by_language"))
