@@ -78,7 +78,7 @@ def op3_source_mix(documents: DataFrame) -> DataFrame:
         FROM line WHERE x <> ''
     ), run AS (
         SELECT doc_id, place, 2 AS n, x, y FROM placed WHERE y IS NOT NULL
-        UNION ALL SELECT doc_id, place, 1, x, '' FROM placed WHERE length(x) >= 80
+        UNION ALL SELECT doc_id, place, 1, x, '' FROM placed WHERE length(x) >= 20
     ), later AS (
         SELECT doc_id, place, n, row_number() OVER (PARTITION BY n, x, y ORDER BY doc_id, place) AS nth FROM run
     ), gone AS (

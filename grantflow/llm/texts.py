@@ -16,6 +16,7 @@ ARROW = {
     "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(),
     "string": pa.string(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64()),
     "array<double>": pa.list_(pa.float64()), "array<int>": pa.list_(pa.int32()),
+    "array<array<bigint>>": pa.list_(pa.list_(pa.int64())),
 }
 
 

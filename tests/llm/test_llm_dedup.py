@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from grantflow.llm import exact_dedup, line_dedup, minhash, suffix_dedup
 from grantflow.llm.bytehash import PrefixHashes
@@ -75,7 +76,7 @@ def plain_lines(docs):
     for i, t in sorted(docs.items()):
         lines[i] = [x for x in (line.strip(" \t\r\f\v") for line in (t or "").split("\n")) if x]
         own = [((a, b), k, 2) for k, (a, b) in enumerate(zip(lines[i], lines[i][1:]))]
-        own += [((a,), k, 1) for k, a in enumerate(lines[i]) if len(a) >= 80]
+        own += [((a,), k, 1) for k, a in enumerate(lines[i]) if len(a) >= 20]
         for key, k, n in own:
             runs.setdefault(key, []).append((i, k, n))
     gone = {(i, k + j) for found in runs.values() for i, k, n in sorted(found)[1:] for j in range(n)}
@@ -99,6 +100,7 @@ def test_repeated_lines(spark):
     pool = [sentence(chance, n) for n in (1, 2, 3, 3, 4, 25, 30)] + ["common line", "x"]
     texts = ["\n".join(chance.choice([*pool, "", " ", f"own {i} {k}"]) for k in range(chance.randrange(12))) for i in range(120)]
     texts += [None, "", "\n\n", "a\na\na\na", " a \r\na", "z" * 90, f"{'z' * 90}\t", "é" * 80 + "\n1", "2\n" + "é" * 80]
+    texts += ["a line of twenty char", "own 1\na line of twenty char\nown 2", "nineteen characters", "own 3\nnineteen characters\nown 4", "x\na line of twenty char"]
     texts += ["head\n" + "\n".join(f"line {k % 700}" for k in range(3000))]
     df = frame(spark, texts)
     want = plain_lines(dict(enumerate(texts)))
@@ -115,6 +117,15 @@ def test_lines_of_repeated_and_null_ids(spark):
     assert got == [(0, text), (1, ""), (1, ""), (1, "other"), (2, "")]
 
 
+def test_columns_named_like_inner_ones_stay(spark):
+    names = ["_id", "_hash", "_runs", "_kept", "_text", "_body", "repeated", "n_runs", "_own_0"]
+    df = frame(spark, ["some line that is repeated\nx", "y\nsome line that is repeated"])
+    df = df.withColumns({c: F.lit(f"own {c}") for c in names})
+    rows = line_dedup.dedup_lines(df).orderBy("doc_id").collect()
+    assert [r.text for r in rows] == ["some line that is repeated\nx", "y"]
+    assert all(r[c] == f"own {c}" for r in rows for c in names if c != "n_runs")
+
+
 def test_longer_windows_miss_no_run(spark):
     chance = random.Random(9)
     texts = ["\n".join(chance.choice("abc") for _ in range(12)) for _ in range(30)]
