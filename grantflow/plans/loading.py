@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -14,7 +15,8 @@ from grantflow.operators.load import conform, load_order
 from grantflow.operators.numbering import loaded_ids
 from grantflow.operators.rows import first_per_key
 from grantflow.schemas import TABLES, TableSpec
-from grantflow.sources.tables import Ledger, LoadRejected, publish, read_table
+from grantflow.session import settled_for_now
+from grantflow.sources.tables import Ledger, LoadRejected, bucket_masks, bucket_of, marked_buckets, publish, read_table
 
 REJECTS_DDL = "source string, key string, rule string, text string"
 
@@ -40,25 +42,36 @@ def rejected_rows(df: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
+def first_of_each_key(df: DataFrame, spec: TableSpec, order: Sequence[Column | str] = ()) -> DataFrame:
+    """One row per key, with the key in its declared types beside it; rows without a key are left out."""
+    keys = typed_keys(df, spec)
+    ranks = list(order) or [F.col(f"`{c}`") for c in df.columns]
+    return first_per_key(df.withColumns(keys).dropna(subset=list(keys)), list(keys), ranks)
+
+
+def absent(first: DataFrame, stored: DataFrame, spec: TableSpec) -> DataFrame:
+    """Rows of :func:`first_of_each_key` whose key is not stored; only stored keys are read."""
+    keys = [f"_key_{k}" for k in spec.key]
+    there = stored.select(*[F.col(f"`{k}`").alias(f"_key_{k}") for k in spec.key])
+    return first.join(there, keys, "left_anti").drop(*keys)
+
+
 def rows_to_load(
-    df: DataFrame, stored: DataFrame, spec: TableSpec, order: Sequence[Column | str] = ()
+    df: DataFrame, stored: DataFrame, spec: TableSpec, order: Sequence[Column | str] = (), after: int | None = None
 ) -> DataFrame:
     """Rows of ``df`` the table lacks: one per key, if that key is not stored.
 
     Keys are compared in their declared types, and of the stored table only the
     key columns are read.  A table with an auto id that ``df`` does not bring is
-    compared on all columns but the id and numbered after the stored rows.
-    ``order`` decides which of several new rows with one key is kept; by default
-    the smallest row.  Rows without a key are left out; see :func:`rejected_rows`.
+    compared on all columns but the id and numbered after the stored rows (after
+    ``after``, where the caller knows the largest id).  ``order`` decides which of
+    several new rows with one key is kept; by default the smallest row.  Rows without
+    a key are left out; see :func:`rejected_rows`.
     """
     if spec.serial is not None and spec.serial not in df.columns:
-        return loaded_ids(new_rows(df, stored, [spec.serial]), spec.serial, stored=stored)
-    keys = typed_keys(df, spec)
-    keyed = df.withColumns(keys).dropna(subset=list(keys))
-    ranks = list(order) or [F.col(f"`{c}`") for c in df.columns]
-    first = first_per_key(keyed, list(keys), ranks)
-    there = stored.select(*[F.col(f"`{k}`").alias(f"_key_{k}") for k in spec.key])
-    return first.join(there, list(keys), "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])
+        fresh = new_rows(df, stored, [spec.serial])
+        return loaded_ids(fresh, spec.serial, stored=stored) if after is None else loaded_ids(fresh, spec.serial, after + 1)
+    return absent(first_of_each_key(df, spec, order), stored, spec)
 
 
 def clashes(df: DataFrame, stored: DataFrame, spec: TableSpec) -> DataFrame:
@@ -83,40 +96,61 @@ def load_tables(
 
     A run that stopped half way can be repeated with its run id: published
     tables are left alone, the others are written again.  Rows without a key are
-    written under ``root/rejects``.  A given serial id that is stored with other
-    content raises :class:`LoadRejected`.
+    written under ``root/rejects`` before the table's rows become visible.  A given
+    serial id that is stored with other content raises :class:`LoadRejected`.
+
+    Where rows are stored already, the new ones are written once, so that their buckets
+    are known: of the stored table only these are opened.
     """
+    specs = load_order(list(frames))
+    above = {s.name: {p for p, _ in s.parents.values()} if check_parents else set() for s in specs}
     done, known = {}, None
-    for spec in load_order(list(frames)):
+    for spec in specs:
         df = frames[spec.name]
         spark = df.sparkSession
-        known = known or Ledger(spark, root)
+        known = known or Ledger(spark, root, *{t for s in specs for t in (s.name, *above[s.name])})
         if known.is_published(spec.name, run_id):
             done[spec.name] = False
             continue
-        stored = read_table(spark, root, spec, known)
-        has_key = all(k in df.columns for k in spec.key)
-        seen = Observation(f"{spec.name} {run_id} keys")
-        if has_key:
-            if spec.serial in df.columns and known.visible_runs(spec.name):
-                wrong = clashes(df, stored, spec).take(5)
-                if wrong:
-                    raise LoadRejected(f"{spec.name}, run {run_id}: ids stored with other content, {wrong}")
-            lacking = F.coalesce(F.sum(without_key(df, spec).cast("bigint")), F.lit(0))
-            df = df.observe(seen, lacking.alias("rejected"))
-        fresh = rows_to_load(df, stored, spec, (orders or {}).get(spec.name, ()))
-        parents = None
-        if check_parents:
-            parents = {
-                parent: read_table(spark, root, TABLES[parent], known)
-                for parent in {p for p, _ in spec.parents.values()}
-            }
-        done[spec.name] = publish(fresh, root, spec, run_id, parents, known)
-        if has_key and seen.get["rejected"]:
-            write_rejects(rejected_rows(frames[spec.name], spec), root, spec.name, run_id)
+        parents = {p: read_table(spark, root, TABLES[p], known) for p in above[spec.name]}
+        order = (orders or {}).get(spec.name, ())
+        if all(k in df.columns for k in spec.key):
+            done[spec.name] = _load_keyed(df, root, spec, run_id, order, parents, known)
+        else:
+            after = known.largest_key(spec.name) or 0
+            fresh = rows_to_load(df, read_table(spark, root, spec, known), spec, order, after)
+            done[spec.name] = publish(fresh, root, spec, run_id, parents, known)
     return done
 
 
+def _load_keyed(
+    df: DataFrame, root: str, spec: TableSpec, run_id: str, order: Sequence[Column | str], parents: Mapping[str, DataFrame], known: Ledger
+) -> bool:
+    """One table whose rows bring their key."""
+    lacks, seen = Observation(f"{spec.name} {run_id} lacks"), Observation(f"{spec.name} {run_id} keys")
+    lacking = F.coalesce(F.sum(without_key(df, spec).cast("bigint")), F.lit(0)).alias("rejected")
+    first = first_of_each_key(df.observe(lacks, lacking), spec, order)
+
+    def tell() -> None:
+        try:
+            some = lacks.get["rejected"]
+        except Py4JJavaError:  # Spark left the step and its count out, as no row came out of it
+            some = not rejected_rows(df, spec).isEmpty()
+        if some:
+            write_rejects(rejected_rows(df, spec), root, spec.name, run_id)
+
+    if not known.visible_runs(spec.name):
+        return publish(first.drop(*typed_keys(df, spec)), root, spec, run_id, parents, known, tell)
+    bucket = bucket_of(spec, {k: F.col(f"`_key_{k}`") for k in spec.key})
+    with settled_for_now(first.observe(seen, *bucket_masks(spec, bucket))) as rows:
+        stored = read_table(df.sparkSession, root, spec, known, buckets=marked_buckets(spec, seen.get))
+        if spec.serial in df.columns:
+            wrong = clashes(rows, stored, spec).take(5)
+            if wrong:
+                raise LoadRejected(f"{spec.name}, run {run_id}: ids stored with other content, {wrong}")
+        return publish(absent(rows, stored, spec), root, spec, run_id, parents, known, tell)
+
+
 def write_rejects(rejects: DataFrame, root: str, name: str, run_id: str) -> None:
     rejects.write.mode("overwrite").parquet(f"{root}/rejects/table_name={name}/run_id={run_id}")
 

@@ -74,7 +74,10 @@ LINES_DDL = "doc_id string, file_name string, line_no bigint, line string"
 # --- stored tables ---------------------------------------------------------------
 @dataclass(frozen=True)
 class TableSpec:
-    """A stored table: columns, key, parents and text rules."""
+    """A stored table: columns, key, parents, text rules and the buckets its keys fall into.
+
+    ``buckets`` is set before the first load and stays.
+    """
 
     name: str
     ddl: str
@@ -84,6 +87,7 @@ class TableSpec:
     lengths: dict[str, int] = field(default_factory=dict)
     serial: str | None = None
     defaults: dict[str, object] = field(default_factory=dict)
+    buckets: int = 8
 
     @property
     def schema(self) -> T.StructType:

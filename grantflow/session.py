@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,10 +75,25 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def settled_for_now(df: DataFrame, name: str = "step") -> Iterator[DataFrame]:
+    """``df`` written once under the shared folder, and deleted at the end of the block."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    try:
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        _delete(df.sparkSession, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def drop_settled(spark: SparkSession) -> int:
     """Delete the tables written by :func:`settle`; frames built on them end here."""
     count = len(_settled)
     while _settled:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_settled.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, _settled.pop())
     return count

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from grantflow.plans.loading import rows_to_load, without_key, write_rejects
+from grantflow.plans.loading import rows_to_load, typed_keys, without_key, write_rejects
 from grantflow.schemas import TableSpec
 from grantflow.sources.files import CSV_OPTIONS
-from grantflow.sources.tables import Ledger, publish, read_table
+from grantflow.session import settled_for_now
+from grantflow.sources.tables import Ledger, bucket_masks, bucket_of, marked_buckets, publish, read_table
 
 
 CORRUPT = "_corrupt_record"
@@ -45,19 +46,25 @@ def read_drops(
     return reader.csv(source)
 
 
-def split_drops(batch: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
-    """Rows that can be stored, and the others as (source, key, rule, text)."""
+def marked_drops(batch: DataFrame, spec: TableSpec) -> DataFrame:
+    """The batch with ``_rule``: ``format`` or ``key`` where a row cannot be stored, else null."""
     if CORRUPT not in batch.columns:
         batch = batch.withColumn(CORRUPT, F.lit(None).cast("string"))
-    lacking = without_key(batch, spec)
-    text = F.coalesce(CORRUPT, F.to_json(F.struct(*[c for c in batch.columns if c != CORRUPT])))
-    bad = batch.where(F.col(CORRUPT).isNotNull() | lacking).select(
+    rule = F.when(F.col(CORRUPT).isNotNull(), "format").when(without_key(batch, spec), "key")
+    return batch.withColumn("_rule", rule)
+
+
+def split_drops(batch: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
+    """Rows that can be stored, and the others as (source, key, rule, text)."""
+    marked = batch if "_rule" in batch.columns else marked_drops(batch, spec)
+    text = F.coalesce(CORRUPT, F.to_json(F.struct(*[c for c in marked.columns if c not in (CORRUPT, "_rule")])))
+    bad = marked.where("_rule is not null").select(
         F.lit(spec.name).alias("source"),
         F.concat_ws("|", *[F.col(f"`{k}`").cast("string") for k in spec.key]).alias("key"),
-        F.when(F.col(CORRUPT).isNotNull(), "format").otherwise("key").alias("rule"),
+        F.col("_rule").alias("rule"),
         text.alias("text"),
     )
-    return batch.where(F.col(CORRUPT).isNull() & ~lacking).drop(CORRUPT), bad
+    return marked.where("_rule is null").drop(CORRUPT, "_rule"), bad
 
 
 def load_drops(
@@ -73,19 +80,28 @@ def load_drops(
     repeated after a failure finds its run published and does nothing, so rows
     arrive exactly once.  Lines that do not fit the schema, and rows without a
     key, are written under ``root/rejects`` and stop nothing.
+
+    A batch is read from its files once and written; its buckets and rejects are
+    counted on the way.  Of the stored table only keys in these buckets are read, so
+    a small batch does not cost more as the table grows.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
         run_id = f"batch-{batch_id:09d}"
-        known = Ledger(batch.sparkSession, root)
+        spark = batch.sparkSession
+        known = Ledger(spark, root, spec.name)
         if known.is_published(spec.name, run_id):
             return
-        good, bad = split_drops(batch, spec)
-        if not bad.isEmpty():
-            write_rejects(bad, root, spec.name, run_id)
-        stored = read_table(batch.sparkSession, root, spec, known)
-        fresh = rows_to_load(good, stored, spec, [F.col(c) for c in order])
-        publish(fresh, root, spec, run_id, known=known)
+        seen = Observation(f"{spec.name} {run_id} drops")
+        marked = marked_drops(batch, spec)
+        keys = {k[len("_key_") :]: c for k, c in typed_keys(marked, spec).items()}
+        bucket = F.when(F.col("_rule").isNull(), bucket_of(spec, keys))
+        with settled_for_now(marked.observe(seen, F.count("_rule").alias("bad"), *bucket_masks(spec, bucket)), "drops") as rows:
+            good, bad = split_drops(rows, spec)
+            stored = read_table(spark, root, spec, known, buckets=marked_buckets(spec, seen.get))
+            fresh = rows_to_load(good, stored, spec, [F.col(c) for c in order], known.largest_key(spec.name) or 0)
+            tell = (lambda: write_rejects(bad, root, spec.name, run_id)) if seen.get["bad"] else None
+            publish(fresh, root, spec, run_id, known=known, before=tell)
 
     query = (
         stream.writeStream.foreachBatch(load)
