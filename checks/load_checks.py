@@ -11,7 +11,7 @@ from grantflow.operators import load as L
 from grantflow.plans.loading import load_tables
 from grantflow.schemas import TABLES, TableSpec
 from grantflow.session import scratch_dir
-from grantflow.sources.tables import create_store, LoadRejected, publish, read_table, truncate
+from grantflow.sources.tables import LoadRejected, compact, create_store, publish, read_table, truncate
 
 ORDERS = TableSpec(
     "orders",
@@ -116,6 +116,23 @@ def ld5(t: Tables):
     return read_table(t.spark, root, PLAIN_ORDERS)
 
 
+@check(
+    "LD5_compacted",
+    """SELECT o_orderkey, o_orderstatus, o_orderpriority, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS price,
+              strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders""",
+)
+def ld5_compacted(t: Tables):
+    """Four runs made one, a repeat of that, and another run behind it."""
+    root = create_store(t.spark, scratch_dir(t.spark, "compact"))
+    rows = t.orders.withColumns({"price": F.col("o_totalprice").cast("decimal(18,2)"), "day": F.to_date("o_orderdate")})
+    for part in range(4):
+        publish(rows.where(f"o_orderkey % 5 = {part}"), root, PLAIN_ORDERS, f"run{part}")
+    compact(t.spark, root, PLAIN_ORDERS, "compacted")
+    compact(t.spark, root, PLAIN_ORDERS, "compacted")
+    publish(rows.where("o_orderkey % 5 = 4"), root, PLAIN_ORDERS, "run4")
+    return read_table(t.spark, root, PLAIN_ORDERS)
+
+
 @check(
     "LD6_parents_first",
     """SELECT 'grantee' AS table_name, count(*) AS n FROM customer

@@ -41,7 +41,7 @@ from grantflow.sources.landed import (
     rejected_awards,
     tag_award_id,
 )
-from grantflow.sources.tables import create_store, publish, read_table
+from grantflow.sources.tables import compact, create_store, publish, read_table
 from grantflow.sources.web import new_links, page_links, report_links
 from grantflow.plans.loading import read_rejects
 from grantflow.streaming.drops import load_drops, read_drops
@@ -254,6 +254,9 @@ EVENT_TABLE = TableSpec(
 )
 
 
+USER_TABLE = TableSpec("users", "user_id bigint, event_id bigint, n bigint", ("user_id",), buckets=16)
+
+
 @check(
     "ST1_file_drops",
     """SELECT event_id, user_id, event_type, CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS value, props
@@ -307,6 +310,24 @@ def st1_rejected(t: Tables):
     return found.unionByName(loaded.select(F.lit("loaded").alias("rule"), "n"))
 
 
+@check(
+    "ST1_bucketed_load",
+    """SELECT user_id, max(event_id) AS event_id, count(*) AS n FROM events
+       WHERE user_id IS NOT NULL GROUP BY user_id""",
+)
+def st1_bucketed(t: Tables):
+    """All users but every tenth are loaded and compacted; a drop of all users adds the others."""
+    home = scratch_dir(t.spark, "bucketed")
+    root = create_store(t.spark, f"{home}/tables")
+    users = t.events.where("user_id is not null").groupBy("user_id").agg(F.max("event_id").alias("event_id"), F.count(F.lit(1)).alias("n"))
+    for part in (1, 2):
+        publish(users.where(f"user_id % 10 <> 0 and user_id % 2 = {part % 2}"), root, USER_TABLE, f"run{part}")
+    compact(t.spark, root, USER_TABLE, "compacted")
+    write_csv(users.where("user_id % 10 = 0").unionByName(users.withColumn("n", F.lit(-1)).where("user_id % 10 <> 0")), f"{home}/in/drop")
+    load_drops(read_drops(t.spark, f"{home}/in/*", USER_TABLE.schema), root, USER_TABLE, f"{home}/checkpoint")
+    return read_table(t.spark, root, USER_TABLE)
+
+
 # --- landed pages ---------------------------------------------------------------------
 
 PAGES_SQL = """
