@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks.base import Tables, check, dec
 from grantflow.functions import cleaning as C
 from grantflow.functions import dates as D
-from grantflow.operators.rows import drop_null_columns, null_counts, page, search
+from grantflow.operators.rows import drop_null_columns, null_counts, page, search, stack
 from grantflow.plans.financial import unify_layouts
 
 MONEY = "CAST(CAST({0} AS DECIMAL(18,2)) AS VARCHAR)"
@@ -331,4 +331,19 @@ def ag7(t: Tables):
 )
 def or10(t: Tables):
     frame = t.orders.select("o_orderkey", dec("o_totalprice").alias("price"))
-    return page(frame, [F.col("price").desc(), F.col("o_orderkey")], number=2, size=100)
+    return page(frame, ["price desc", "o_orderkey"], number=2, size=100)
+
+
+@check(
+    "OR10_deep_pages",
+    """SELECT page, l_orderkey, l_linenumber, CAST(l_quantity AS INT) AS quantity, l_returnflag FROM
+         (SELECT *, (row_number() OVER (ORDER BY l_returnflag DESC, CAST(l_quantity AS INT), l_orderkey, l_linenumber) - 1) // 50 + 1 AS page
+          FROM lineitem)
+       WHERE page IN (1, 40, 90)""",
+)
+def or10_deep(t: Tables):
+    """Three pages, the second behind tens of thousands of ties of the first two keys, one past the end."""
+    frame = t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("int").alias("quantity"), "l_returnflag")
+    order = ["l_returnflag desc", "quantity", "l_orderkey", "l_linenumber"]
+    pages = [(n, page(frame, order, n, 50, few=500)) for n in (1, 40, 90, 10**7)]
+    return stack([rows.withColumn("page", F.lit(n).cast("bigint")) for n, rows in pages])

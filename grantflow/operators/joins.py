@@ -68,8 +68,16 @@ def enrich(
 
 
 def full_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Full outer join with coalesced keys."""
-    return left.join(right, on=list(on), how="full")
+    """Full outer join with coalesced keys; null keys match nothing and stay.
+
+    A full join is never split by AQE.  A left join and the right rows without a
+    partner are, so a hot key ends in no single task.
+    """
+    others = [f for f in right.schema.fields if f.name not in on]
+    met = hot_join(left, right, on, "left")
+    alone = keep_absent(right, left, on)
+    columns = {c: (F.col(f"`{c}`") if c in on else F.lit(None).cast(left.schema[c].dataType)).alias(c) for c in met.columns[: len(left.columns)]}
+    return met.union(alone.select(*columns.values(), *[F.col(f"`{f.name}`") for f in others]))
 
 
 def keep_present(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -80,7 +80,7 @@ def test_carry_down_shuffles_the_rows_once(no_broadcast):
     assert "SinglePartition" not in text
 
 
-@pytest.mark.parametrize("how", ["enrich", "new_rows", "keep_absent", "lookup"])
+@pytest.mark.parametrize("how", ["enrich", "new_rows", "keep_absent", "lookup", "full"])
 def test_hot_left_key_is_split(small_skew, how):
     """A key with most of the rows does not end in one task."""
     left = small_skew.range(0, 60_000, 1, 8).selectExpr(
@@ -93,7 +93,28 @@ def test_hot_left_key_is_split(small_skew, how):
         df = J.new_rows(left, right)
     elif how == "keep_absent":
         df = J.keep_absent(left, right.where("k > 1"), ["k"])
+    elif how == "full":
+        df = J.full_join(left, right.select("k", "o"), ["k"])
     else:
         df = J.lookup(left, "k", right, "k", "o", "o", "found")
     df.collect()
     assert "skew=true" in plan(df)
+
+
+def test_full_join_keeps_null_keys_apart(spark):
+    left = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (3, "d")], "k int, l string")
+    right = spark.createDataFrame([(1, "x"), (None, "y"), (4, "z")], "k int, r string")
+    ours, theirs = J.full_join(left, right, ["k"]), left.join(right, ["k"], "full")
+    assert ours.columns == theirs.columns and ours.schema == theirs.schema
+    assert sorted(map(str, ours.collect())) == sorted(map(str, theirs.collect()))
+
+
+@pytest.mark.parametrize(("number", "size"), [(1, 10), (40, 25), (120, 25), (121, 25)])
+def test_a_page_is_found_without_sorting_what_is_before(spark, number, size):
+    rows = [(None if k % 7 == 0 else 1 if k % 3 else k % 50, k) for k in range(3000)]
+    frame = spark.createDataFrame(rows, "a int, b int").repartition(4)
+    df = R.page(frame, ["a desc", "b"], number, size, few=60)
+    want = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))[(number - 1) * size : number * size]
+    assert [tuple(r) for r in df.collect()] == want
+    limits = [int(n) for n in re.findall(r"limit=(\d+)", plan(df))]
+    assert all(n <= 60 + size for n in limits)
