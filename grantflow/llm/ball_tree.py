@@ -7,10 +7,9 @@ from dataclasses import dataclass, fields
 
 import numpy as np
 
-LEAF = 128
-# Inner products of float64 matrices are exact below this.
-EXACT = float(1 << 53)
+from grantflow.llm.vectors import EXACT, span
 
+LEAF = 128
 
 @dataclass
 class BallTree:
@@ -71,10 +70,10 @@ class BallTree:
         scores, ids = np.full((n, k), low), np.full((n, k), none)
         as_float = queries.astype(np.float64)
         norms = np.sqrt((as_float**2).sum(1))
-        largest = max(np.abs(queries).max(initial=0), 1) * max(np.abs(self.points).max(initial=0), 1)
-        if float(largest) * queries.shape[1] >= float(1 << 62):
+        most = span(queries, self.points)  # whole numbers of any size
+        if most >= 1 << 63:
             raise ValueError("components are too large for 64-bit inner products")
-        exact = float(largest) * queries.shape[1] < EXACT
+        exact = most < EXACT
         points = self.points.astype(np.float64) if exact else self.points
         asked = as_float if exact else queries
 

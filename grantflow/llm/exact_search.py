@@ -1,16 +1,17 @@
 """Exact search for the largest inner products: a ball tree per shard.
 
-Vectors become integers by ``floor(scale * x)``.  They are dealt into shards by a
-hash of their id; each shard builds a ball tree, written once.  Queries travel in
+Vectors become integers by ``floor(scale * x)``.  They are dealt into shards by the
+number of their row, so that no repeated id makes one large; each shard builds a ball tree, written once.  Queries travel in
 blocks.  A first pass takes each block through one shard; the kth scores found
 there are shared with all other shards as the floor below which no node is opened.
 The second pass takes the blocks through the other shards.  The best of all shards
 are ranked at the end.  A task holds one tree and one block.
 
 Vectors that are null, empty or hold null or non-finite components take no part,
-nor do null ids.  Of rows with equal ids the least vector stands for the id.  A
-query's own id is no candidate.  Only vectors of the same length are compared.
-Components whose inner products could pass 62 bits fail loudly.
+nor do null ids.  Rows of equal ids all count: as candidates, but for each other, and
+as queries, whose results then share the ranks of their id.  A query's own id is no
+candidate.  Only vectors of the same length are compared.  A component past 62 bits,
+or components whose inner products could pass 64, fail loudly.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from grantflow.llm import vectors
 from grantflow.llm.ball_tree import BallTree
 from grantflow.session import settle
 
@@ -28,35 +30,26 @@ SHARD_ROWS, BLOCK_ROWS = 8192, 256
 PARTS = ("ids", "points", "center", "radius", "least", "first", "end", "left", "right")
 
 
-def integer_vectors(df: DataFrame, id: str, vector: str, scale: int) -> DataFrame:
-    """``id`` and ``v`` (array of bigint) of the rows that take part."""
-    sound = F.forall(F.col("v"), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    read = df.select(F.col(f"`{id}`").alias("id"), F.col(f"`{vector}`").cast("array<double>").alias("v"))
-    read = read.where(F.col("id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0) & sound)
-    return read.select("id", F.transform("v", lambda x: F.floor(x * scale).cast("bigint")).alias("v"))
+def integer_vectors(df: DataFrame, id: str, vector: str, scale: int, *keep: str) -> DataFrame:
+    """``id``, ``v`` (array of bigint) and ``dim`` of the rows that take part, and ``keep``."""
+    read = df.select(F.col(f"`{id}`").alias("id"), F.col(f"`{vector}`").cast("array<double>").alias("v"), *keep)
+    read = read.where(F.col("id").isNotNull() & vectors.sound(F.col("v")) & (F.size("v") > 0))
+    return read.select("id", vectors.whole(F.col("v"), scale).alias("v"), F.size("v").alias("dim"), *keep)
 
 
-def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    flat = (column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column).flatten()
-    return flat.to_numpy(zero_copy_only=False).reshape(len(column), -1)
+def _matrix(table: pa.Table) -> np.ndarray:
+    return vectors.matrix(table.column("v"), table.column("dim")[0].as_py())
 
 
-def _least_of_each(ids: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.lexsort([*points.T[::-1], ids])
-    new = np.append(True, ids[order][1:] != ids[order][:-1])
-    return ids[order][new], points[order][new]
-
-
-def trees(vectors: DataFrame, shards: int) -> DataFrame:
+def trees(rows: DataFrame, shards: int) -> DataFrame:
     """``dim``, ``shard`` and the parts of its tree."""
 
     def build(table: pa.Table) -> pa.Table:
-        ids = table.column("id").to_numpy()
-        tree = BallTree.build(*_least_of_each(ids, _matrix(table.column("v"))))
+        tree = BallTree.build(table.column("id").to_numpy(), _matrix(table))
         row = {c: table.column(c)[:1] for c in ("dim", "shard")}
         return pa.table(row | {p: pa.array([b], pa.binary()) for p, b in zip(PARTS, tree.to_bytes(), strict=True)})
 
-    dealt = vectors.select("id", "v", F.size("v").alias("dim"), F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"))
+    dealt = rows.select("id", "v", "dim", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int").alias("shard"))
     schema = "dim int, shard int, " + ", ".join(f"{p} binary" for p in PARTS)
     return dealt.groupBy("dim", "shard").applyInArrow(build, schema)
 
@@ -65,14 +58,14 @@ def blocks(queries: DataFrame, many: int) -> DataFrame:
     """``dim``, ``block``, ``ids`` and ``vectors`` (bytes), ``n``: queries in blocks."""
 
     def pack(table: pa.Table) -> pa.Table:
-        ids, points = _least_of_each(table.column("id").to_numpy(), _matrix(table.column("v")))
+        ids, points = table.column("id").to_numpy(), _matrix(table)
         return pa.table({
             "dim": table.column("dim")[:1], "block": table.column("block")[:1],
             "own": pa.array([ids.astype("<i8").tobytes()], pa.binary()),
             "vectors": pa.array([points.astype("<i8").tobytes()], pa.binary()),
         })
 
-    dealt = queries.select("id", "v", F.size("v").alias("dim"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(many)).cast("int").alias("block"))
+    dealt = queries.select("id", "v", "dim", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(many)).cast("int").alias("block"))
     return dealt.groupBy("dim", "block").applyInArrow(pack, "dim int, block int, own binary, vectors binary")
 
 
@@ -125,11 +118,13 @@ def top_inner_products(
     df: DataFrame, is_query: Column, id: str = "vec_id", vector: str = "embedding", k: int = TOP, scale: int = SCALE
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` largest of each query, ties to the smaller id."""
-    vectors = integer_vectors(df, id, vector, scale)
-    asked = integer_vectors(df.where(is_query), id, vector, scale)
-    rows = df.count()
-    shards = max(1, -(-rows // SHARD_ROWS))
-    forest = settle(trees(vectors, shards))
+    marked = df.select(F.col(f"`{id}`").alias("id"), F.col(f"`{vector}`").alias("v"), F.coalesce(is_query, F.lit(False)).alias("query"))
+    number = F.monotonically_increasing_id()
+    # numbers are given once and written, so that a lost task cannot change them
+    rows = settle(integer_vectors(marked, "id", "v", scale, "query").withColumn("row", number))
+    asked = rows.where("query")
+    shards = max(1, -(-rows.count() // SHARD_ROWS))
+    forest = settle(trees(rows, shards))
     packed = settle(blocks(asked, max(1, asked.count() // BLOCK_ROWS)))
     here = F.pmod(F.xxhash64("dim", "block"), F.lit(shards)).cast("int")
     pilot = packed.withColumn("shard", here).withColumn("floors", F.lit(None).cast("binary"))

@@ -136,18 +136,27 @@ def test_mix_of_nothing(spark):
 
 
 def plain_top(rows, k=5):
-    sound = {}
-    for i, v in rows:
-        if i is None or not v or any(x is None or not np.isfinite(x) for x in v):
-            continue
-        whole = [int(np.floor(256 * float(x))) for x in v]
-        sound[i] = min(sound.get(i, whole), whole)
-    out = []
-    for q, v in sound.items():
-        if q % 50 == 0:
-            found = [(-sum(a * b for a, b in zip(v, w)), c) for c, w in sound.items() if c != q and len(w) == len(v)]
-            out += [(q, n, c, -s) for n, (s, c) in enumerate(sorted(found)[:k], 1)]
-    return sorted(out)
+    sound = [
+        (i, [int(np.floor(256 * float(x))) for x in v]) for i, v in rows
+        if i is not None and v and all(x is not None and np.isfinite(x) for x in v)
+    ]
+    scored = {q: [] for q, _ in sound if q % 50 == 0}
+    for q, v in sound:
+        if q in scored:
+            scored[q] += [(-sum(a * b for a, b in zip(v, w)), c) for c, w in sound if c != q and len(w) == len(v)]
+    return sorted((q, n, c, -s) for q, found in scored.items() for n, (s, c) in enumerate(sorted(found)[:k], 1))
+
+
+def test_repeated_ids_and_large_components(spark):
+    rows = [(0, [1.0, 0.0]), (1, [3.0, 0.0]), (1, [9.0, 0.0]), (2, [float(1 << 22), 1.0]), (2, [-1.0, 0.0]), (100, [2.0, 0.0]), (100, [1.0, 5.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, exact_search.top_inner_products(df, F.col("vec_id") % 50 == 0).collect())) == plain_top(rows)
+    rows += [(4, [2.0**32, -(2.0**32)])]
+    df = spark.createDataFrame(rows, df.schema)
+    assert sorted(map(tuple, exact_search.top_inner_products(df, F.col("vec_id") % 50 == 0).collect())) == plain_top(rows)
+    for far in (2.0**53, -1e300):
+        with pytest.raises(Exception, match="too large|out of range"):
+            exact_search.top_inner_products(df.union(spark.createDataFrame([(3, [far, far])], df.schema)), F.col("vec_id") % 50 == 0).collect()
 
 
 def test_search(spark, monkeypatch):
