@@ -1,9 +1,12 @@
 """The four pipelines: a folder of landed files -> loaded tables, each file once.
 
-A landed folder has one sub-folder of JSON Lines per input.  A run reads the files
-that the ledger of input files lacks, builds the tables, loads them parents first,
-and notes the files last.  A run that stopped half way is repeated with its run id;
-what it had loaded is not taken for stored rows, so the ids come out the same.
+A landed folder has one sub-folder of JSON Lines per input.  A run reads the lines of
+files that the ledger of input files lacks, builds the tables, loads them parents first,
+and notes the files last.  Which file a line comes from is told by Spark itself, so no
+list of files passes through the driver.  A line that is no such document is a reject
+with its file and stops nothing.  The files of a run are written down before anything is
+built: a run that stopped half way is repeated with its run id on the same files; what it
+had loaded is not taken for stored rows, so the ids come out the same.
 """
 
 from __future__ import annotations
@@ -14,21 +17,23 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from grantflow import schemas
-from grantflow.operators.joins import keep_absent
+from grantflow.operators.joins import keep_absent, keep_present
+from grantflow.operators.rows import stack
 from grantflow.plans.awards import award_tables
 from grantflow.plans.financial import financial_tables
 from grantflow.plans.history import history_tables
-from grantflow.plans.loading import load_tables
+from grantflow.plans.loading import load_tables, write_rejects
 from grantflow.plans.performance import performance_tables
 from grantflow.schemas import TABLES, TableSpec
-from grantflow.sources.files import list_files
-from grantflow.sources.tables import Ledger, publish, read_table
+from grantflow.sources.tables import Ledger, exists, publish, read_table
 
 # The landed amounts of these may be words; the builder reads them leniently.
 LANDED_AWARDS_DDL = re.sub(r"(`(?:COVID-19|Infrastructure) \w+`) decimal\(18,2\)", r"\1 string", schemas.AWARDS_DDL)
 INPUT_FILES = TableSpec("input_files", "pipeline string, path string", ("pipeline", "path"))
+CORRUPT = "_corrupt_record"
 Frames = Mapping[str, DataFrame]
 
 
@@ -46,28 +51,55 @@ class Pipeline:
         self, spark: SparkSession, landed: str, root: str, run_id: str, check_parents: bool = True
     ) -> dict[str, bool]:
         """Load the new files; returns which tables got a run (none without new files)."""
-        known = Ledger(spark, root)
+        known = Ledger(spark, root, INPUT_FILES.name, *self.tables)
         if known.is_published(INPUT_FILES.name, run_id):
             return {}
         seen = read_table(spark, root, INPUT_FILES, known).where(F.col("pipeline") == self.name)
-        found = list_files(spark, landed, "*.json").select("path")
-        # one short path per new file, as the reader needs it
-        paths = [r.path for r in keep_absent(found, seen, ["path"]).collect()]
-        if not paths:
+        noted = f"{root}/pipelines/{self.name}/{run_id}"
+        if not exists(spark, f"{noted}/_SUCCESS"):
+            # the first folder below the landed one is the input
+            folders = [f"{landed.rstrip('/')}/{name}" for name in self.inputs]
+            found = [landed_files(spark, f) for f in folders if exists(spark, f)]
+            fresh = keep_absent(stack(found), seen, ["path"]) if found else seen.select("path").limit(0)
+            fresh.select(F.lit(self.name).alias("pipeline"), "path").write.mode("overwrite").parquet(noted)
+        files = spark.read.schema(INPUT_FILES.schema).parquet(noted)
+        if files.isEmpty():
             return {}
-        frames = {}
+        frames, broken = {}, []
         for name, ddl in self.inputs.items():
-            own = [p for p in paths if f"/{name}/" in p]
-            reader = spark.read.schema(ddl).option("mode", "FAILFAST")
-            frames[name] = reader.json(own) if own else spark.createDataFrame([], ddl)
+            folder = f"{landed.rstrip('/')}/{name}"
+            if not exists(spark, folder):
+                frames[name] = spark.createDataFrame([], ddl)
+                continue
+            frames[name], bad = read_landed(spark, folder, ddl, files)
+            broken.append(bad.withColumn("source", F.lit(f"{self.name}/{name}")))
+        if broken:
+            rejects = stack(broken).select("source", "key", F.lit("format").alias("rule"), "text")
+            write_rejects(rejects, root, f"{self.name}_lines", run_id)
         stored = {t: read_table(spark, root, TABLES[t], known, but=run_id) for t in self.tables}
         orders = {t: [F.col(c) for c in columns] for t, columns in self.orders.items()}
         done = load_tables(self.build(frames, stored), root, run_id, orders, check_parents)
-        files = spark.createDataFrame([(self.name, p) for p in paths], INPUT_FILES.schema)
         publish(files, root, INPUT_FILES, run_id)
         return done
 
 
+def landed_files(spark: SparkSession, folder: str) -> DataFrame:
+    """``path`` of the JSON files of a folder, as the rows read from them tell it."""
+    reader = spark.read.format("binaryFile").options(recursiveFileLookup="true", pathGlobFilter="*.json")
+    return reader.load(folder).select(F.col("_metadata.file_path").alias("path"))
+
+
+def read_landed(spark: SparkSession, folder: str, ddl: str, files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Documents of the ``files`` (path) that lie in a folder, and the lines that are none as (key: file, text)."""
+    kept = T.StructType([*T.StructType.fromDDL(ddl).fields, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.read.options(recursiveFileLookup="true", pathGlobFilter="*.json")
+    lines = reader.text(folder).where("trim(value) <> ''").select("value", F.col("_metadata.file_path").alias("path"))
+    own = keep_present(lines, files, ["path"])
+    parsed = own.select("path", "value", F.from_json("value", kept, {"columnNameOfCorruptRecord": CORRUPT}).alias("doc"))
+    fits = F.col("doc").isNotNull() & F.col(f"doc.{CORRUPT}").isNull()
+    return parsed.where(fits).select("doc.*").drop(CORRUPT), parsed.where(~fits).select(F.col("path").alias("key"), F.col("value").alias("text"))
+
+
 AWARDS = Pipeline(
     "awards",
     {
