@@ -150,7 +150,8 @@ def financial_tables(
         "page", "table_no", "row_no"
     )
     typed = financial_reports(repair_rows(placed, "doc_id", "place", block=block), state, money)
-    tied = enrich(typed, dates, ["doc_id"], ["report_date"])
+    # numbering reads its input twice
+    tied = settle(enrich(typed, dates, ["doc_id"], ["report_date"]))
     return {
         "grantfinancialreports": serial_ids(
             tied, ["doc_id"], "place", "report_id", stored=stored, block=block

@@ -159,13 +159,13 @@ def grantee_rows(awards: DataFrame) -> DataFrame:
 
 
 def grantees(rows: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """Grantees that are not stored, with further ids."""
     keys = ["grantee_name", "state_code"]
-    fresh = first_seen_ids(rows, keys, ["doc_id", "line_no"], "grantee_id", stored)
-    return fresh if stored is None else stored.select(*fresh.columns).unionByName(fresh)
+    return first_seen_ids(rows, keys, ["doc_id", "line_no"], "grantee_id", stored)
 
 
 def disasters(rows: DataFrame, laws: DataFrame, stored: DataFrame | None = None) -> DataFrame:
-    """Events by (name, year): those of awards first, then those of laws."""
+    """Events by (name, year) that are not stored: those of awards first, then those of laws."""
     keys = ["disaster_name", "disaster_year"]
     columns = [*keys, "doc_id", "line_no"]
     named = laws.withColumns(
@@ -176,12 +176,11 @@ def disasters(rows: DataFrame, laws: DataFrame, stored: DataFrame | None = None)
         .unionByName(named.select(F.lit(1).alias("source"), *columns))
         .where(F.col("disaster_name").isNotNull())
     )
-    fresh = first_seen_ids(seen, keys, ["source", "doc_id", "line_no"], "disaster_id", stored)
-    return fresh if stored is None else stored.select(*fresh.columns).unionByName(fresh)
+    return first_seen_ids(seen, keys, ["source", "doc_id", "line_no"], "disaster_id", stored)
 
 
 def public_laws(laws: DataFrame, stored: DataFrame | None = None) -> DataFrame:
-    """One row per law number, stored ones first, then by first mention."""
+    """One row per law number that is not stored, by first mention."""
     fresh = first_per_key(
         laws.select(
             trim_text("pl_number").alias("pl_number"),
@@ -193,16 +192,13 @@ def public_laws(laws: DataFrame, stored: DataFrame | None = None) -> DataFrame:
         ["pl_number"],
         ["doc_id", "line_no", "pos", "pl_date"],
     ).select("pl_number", "pl_date")
-    if stored is None:
-        return fresh
-    known = stored.select("pl_number", "pl_date")
-    return known.unionByName(keep_absent(fresh, known, ["pl_number"]))
+    return fresh if stored is None else keep_absent(fresh, stored, ["pl_number"])
 
 
 def disaster_laws(
     laws: DataFrame, events: DataFrame, stored: DataFrame | None = None
 ) -> DataFrame:
-    """Distinct (disaster_id, pl_number); the event is matched by name and year."""
+    """Distinct (disaster_id, pl_number) that are not stored; the event is matched by name and year."""
     named = laws.select(
         event_name("disaster_event").alias("disaster_name"),
         event_year("disaster_event").alias("disaster_year"),
@@ -213,40 +209,47 @@ def disaster_laws(
         .select("disaster_id", "pl_number")
         .dropna()
     )
-    if stored is not None:
-        pairs = stored.select("disaster_id", "pl_number").unionByName(pairs)
-    return pairs.dropDuplicates()
+    pairs = pairs.dropDuplicates()
+    return pairs if stored is None else keep_absent(pairs, stored, ["disaster_id", "pl_number"])
 
 
 def grant_history(
     rows: DataFrame, events: DataFrame, names: DataFrame, stored: DataFrame | None = None
 ) -> DataFrame:
-    """Distinct awards with event and grantee ids: stored ones, then new ones with further ids."""
+    """Distinct awards with event and grantee ids that are not stored, with further ids."""
     linked = null_safe_join(rows, events, ["disaster_name", "disaster_year"], "left")
     linked = null_safe_join(linked, names, ["grantee_name", "state_code"], "left")
-    fresh = first_seen_ids(
+    return first_seen_ids(
         linked,
         ["disaster_id", "grantee_id", "grant_award", "report_date"],
         ["doc_id", "line_no"],
         "grant_history_id",
         stored,
     )
+
+
+def _with_stored(fresh: DataFrame, stored: DataFrame | None) -> DataFrame:
     return fresh if stored is None else stored.select(*fresh.columns).unionByName(fresh)
 
 
 def history_tables(
     lines: DataFrame, stored: Mapping[str, DataFrame] | None = None, block: int = BLOCK
 ) -> dict[str, DataFrame]:
-    """The five history tables: stored rows and the new ones of ``lines``."""
+    """What ``lines`` add to the five history tables.
+
+    Of the stored tables only keys and ids are read: names and events to link the new
+    awards and laws, and the keys that are there already.
+    """
     stored = stored or {}
     laws, awards = extract(lines, block)
     laws, rows = settle(laws), settle(grantee_rows(awards))
     names = grantees(rows, stored.get("grantee"))
     events = disasters(rows, laws, stored.get("disaster"))
+    all_events, all_names = _with_stored(events, stored.get("disaster")), _with_stored(names, stored.get("grantee"))
     return {
         "grantee": names,
         "disaster": events,
         "publiclaw": public_laws(laws, stored.get("publiclaw")),
-        "disasterpubliclaw": disaster_laws(laws, events, stored.get("disasterpubliclaw")),
-        "granthistory": grant_history(rows, events, names, stored.get("granthistory")),
+        "disasterpubliclaw": disaster_laws(laws, all_events, stored.get("disasterpubliclaw")),
+        "granthistory": grant_history(rows, all_events, all_names, stored.get("granthistory")),
     }

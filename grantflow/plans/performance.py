@@ -13,6 +13,7 @@ from grantflow.functions.dates import lenient_date
 from grantflow.operators.joins import enrich
 from grantflow.operators.numbering import BLOCK, file_ids, next_id, serial_ids
 from grantflow.operators.ordered import split_header_detail
+from grantflow.session import settle
 from grantflow.sources.documents import cells_to_rows, pick_table, question_answers
 
 ACTIVITY_COLUMNS = {
@@ -50,7 +51,8 @@ def performance_reports(
 
     ``c1`` is the amount of the period, ``c2`` the amount to date.
     """
-    tied = enrich(details, activity_ids, ["doc_id"], ["activity_id"])
+    # numbering reads its input twice
+    tied = settle(enrich(details, activity_ids, ["doc_id"], ["activity_id"]))
     return serial_ids(tied, ["doc_id"], "row_no", "performance_id", start, stored, block).select(
         "performance_id",
         "activity_id",
