@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from grantflow.llm import exact_dedup, line_dedup, minhash, suffix_dedup
 from grantflow.llm.bytehash import PrefixHashes
+from grantflow.llm.components import components, with_links
 from grantflow.llm.quotient_filter import CountingQuotientFilter, merge
 from grantflow.llm.suffix_sort import common_prefix, sort_suffixes
 
@@ -245,6 +246,20 @@ def test_near_copies_inside_a_template_family(spark):
     }
 
 
+def test_further_links_join_whole_components(spark):
+    chance = random.Random(21)
+    links = [(chance.randrange(1, 90), chance.randrange(1, 90)) for _ in range(60)] + [(k, k + 1) for k in range(100, 110)]
+    more = [(chance.randrange(1, 120), chance.randrange(1, 120)) for _ in range(25)] + [(3, 3), (300, 301)]
+    one, two = (spark.createDataFrame(x, "a bigint, b bigint") for x in (links, more))
+    want = {r.node: r.label for r in components(one.union(two)).collect()}
+    assert {r.node: r.label for r in with_links(components(one), two).collect()} == want
+    label = {n: n for pair in links + more for n in pair}
+    for _ in label:
+        for a, b in links + more:
+            label[a] = label[b] = min(label[a], label[b])
+    assert want == label
+
+
 @pytest.mark.parametrize("threshold", [0.5, 0.8])
 def test_prefixes_of_similar_texts_meet(threshold):
     chance = random.Random(13)
