@@ -4,8 +4,8 @@ Vectors become integers by ``floor(scale * x)``.  They are dealt into shards by
 number of their row, so that no repeated id makes one large; each shard builds a ball tree, written once.  Queries travel in
 blocks.  A first pass takes each block through one shard; the kth scores found
 there are shared with all other shards as the floor below which no node is opened.
-The second pass takes the blocks through the other shards.  The best of all shards
-are ranked at the end.  A task holds one tree and one block.
+The second pass takes the blocks through the other shards, without a copy of a block
+for each of them (``vectors.every_pair``).  The best of all shards are ranked at the end.  A task holds one tree and one block.
 
 Vectors that are null, empty or hold null or non-finite components take no part,
 nor do null ids.  Rows of equal ids all count: as candidates, but for each other, and
@@ -84,7 +84,7 @@ def _searched(pairs: DataFrame, k: int) -> DataFrame:
                 if row["floors"]:
                     floor = np.frombuffer(row["floors"], "<f8")
                 scores, ids = tree.search(own, asked, k, floor)
-                hit = scores > np.iinfo(np.int64).min
+                hit = (scores > np.iinfo(np.int64).min) & (scores >= floor[:, None])
                 who = np.broadcast_to(own[:, None], ids.shape)[hit]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(who), pa.array(np.full(len(who), row["dim"], np.int32)), pa.array(np.full(len(who), row["block"], np.int32)),
@@ -129,9 +129,9 @@ def top_inner_products(
     here = F.pmod(F.xxhash64("dim", "block"), F.lit(shards)).cast("int")
     pilot = packed.withColumn("shard", here).withColumn("floors", F.lit(None).cast("binary"))
     first = settle(_searched(pilot.join(forest, ["dim", "shard"]), k))
-    others = F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != here)
-    spread = _floors(first, packed, k).withColumn("shard", F.explode(others))
-    found = first.unionByName(_searched(spread.join(forest, ["dim", "shard"]), k))
+    floors = settle(_floors(first, packed, k).withColumn("_done", here))
+    others = vectors.every_pair(forest, floors, F.col("shard") != F.col("_done"))
+    found = first.unionByName(_searched(others, k))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

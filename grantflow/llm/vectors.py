@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Inner products of float64 matrices are exact below this.
@@ -35,6 +37,18 @@ def matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
     return flat.to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(column), width)
 
 
+def every_pair(left: DataFrame, right: DataFrame, *more: Column) -> DataFrame:
+    """Each row of one table beside each of the other with the same ``dim``, where ``more`` holds.
+
+    The pairs are made task by task from parts of both tables.  An equi join would copy the
+    smaller table once for each row of the larger, through a shuffle or, as plans go by its
+    size before that, through the driver.
+    """
+    own = F.col("dim") - F.col("_dim") == 0  # no equality of columns, which would be taken for a key
+    met = left.join(right.withColumnRenamed("dim", "_dim").hint("shuffle_replicate_nl"), reduce(lambda a, b: a & b, more, own))
+    return met.drop("_dim")
+
+
 def span(*tables: np.ndarray) -> int:
     """The largest size an inner product of rows of two tables, or a sum on the way to it, can have."""
     most = [max(int(t.max(initial=0)), -int(t.min(initial=0))) for t in tables]

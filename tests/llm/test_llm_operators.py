@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from grantflow.llm import boosting, exact_search, fixity, mixing, quality
+from grantflow.llm import boosting, exact_search, fixity, mixing, quality, vectors
 from grantflow.llm.ball_tree import BallTree
 
 SF = "/root/testdata/sf0.01"
@@ -175,6 +175,23 @@ def test_search(spark, monkeypatch):
     assert exact_search.top_inner_products(df.where("vec_id = 50"), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_blocks_are_not_copied_for_each_shard(spark, monkeypatch):
+    """No plan multiplies the blocks before they meet the shards, in a shuffle or the driver."""
+    monkeypatch.setattr(exact_search, "SHARD_ROWS", 20)
+    rows = [(i, [float(i % 7), float(i % 5)]) for i in range(200)] + [(i, [float(i % 3)]) for i in range(200, 260)]
+    got = exact_search.top_inner_products(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Generate" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert sorted(map(tuple, got.collect())) == plain_top(rows)
+
+
+def test_every_pair_is_of_one_length(spark):
+    one = spark.createDataFrame([(2, "a"), (2, "b"), (3, "c")], "dim int, left string")
+    two = spark.createDataFrame([(2, "x"), (3, "y"), (4, "z")], "dim int, right string")
+    assert sorted(map(tuple, vectors.every_pair(one, two).collect())) == [(2, "a", "x"), (2, "b", "x"), (3, "c", "y")]
+    assert [tuple(r) for r in vectors.every_pair(one, two, F.col("left") > "a", F.col("right") < "y").collect()] == [(2, "b", "x")]
+
+
 def test_tree_prunes():
     chance = np.random.default_rng(5)
     points = (chance.normal(size=(60, 1, 8)) * 300 + chance.normal(size=(60, 200, 8)) * 3).reshape(-1, 8).astype(np.int64)
