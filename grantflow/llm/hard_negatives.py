@@ -122,12 +122,7 @@ def _unpacked(row: dict) -> tuple[dict, dict]:
     return block, shard | {"points": ints["s_points"].reshape(len(shard["ids"]), dim)}
 
 
-def _met(blocks: DataFrame, shards: DataFrame, many: int) -> DataFrame:
-    """Every block beside every shard of its length."""
-    return blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(many - 1)))).join(shards, ["dim", "shard"])
-
-
-def _best_rows(blocks: DataFrame, shards: DataFrame, many: int, k: int) -> DataFrame:
+def _best_rows(blocks: DataFrame, shards: DataFrame, k: int) -> DataFrame:
     """row, dim, block, anchor_id, positive_id, score and rank ``nth`` of the positives."""
     names = ["dim", "block", *BLOCK, *SHARD]
 
@@ -142,12 +137,12 @@ def _best_rows(blocks: DataFrame, shards: DataFrame, many: int, k: int) -> DataF
 
     found = ["row", "dim", "block", "anchor_id", "positive_id", "score"]
     schema = "row bigint, dim int, block int, anchor_id bigint, positive_id bigint, score bigint"
-    rows = _met(blocks, shards, many).select(*names).mapInArrow(run, schema)
+    rows = vectors.every_pair(shards, blocks).select(*names).mapInArrow(run, schema)
     order = Window.partitionBy("row").orderBy(F.desc("score"), "positive_id")
     return rows.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k)
 
 
-def _close_rows(blocks: DataFrame, shards: DataFrame, many: int, k: int, low: int, high: int) -> DataFrame:
+def _close_rows(blocks: DataFrame, shards: DataFrame, k: int, low: int, high: int) -> DataFrame:
     """row, nth, anchor_id, positive_id, positive_score, negative_id, negative_score of each shard."""
     names = ["dim", "block", "positives", *BLOCK, *SHARD]
     found = ["row", "nth", "anchor_id", "positive_id", "positive_score", "negative_id", "negative_score"]
@@ -164,7 +159,7 @@ def _close_rows(blocks: DataFrame, shards: DataFrame, many: int, k: int, low: in
                     same = [np.full(n, v, np.int64) for v in (x["row"], nth, block["ids"][a], x["positive_id"], x["score"])]
                     yield pa.RecordBatch.from_arrays([pa.array(v) for v in (*same, ids, scores)], names=found)
 
-    return _met(blocks, shards, many).select(*names).mapInArrow(run, ", ".join(f"{c} bigint" for c in found))
+    return vectors.every_pair(shards, blocks).select(*names).mapInArrow(run, ", ".join(f"{c} bigint" for c in found))
 
 
 def mine(
@@ -187,9 +182,9 @@ def mine(
     deal = lambda n: F.pmod(F.xxhash64("row"), F.lit(n)).cast("int")
     shards = settle(_packed(rows.withColumn("shard", deal(many)), "shard", SHARD, False))
     blocks = settle(_packed(rows.where("anchor").withColumn("block", deal(some)), "block", BLOCK, True))
-    best = settle(_best_rows(blocks, shards, many, positives))
+    best = settle(_best_rows(blocks, shards, positives))
     told = best.groupBy("dim", "block").agg(F.collect_list(F.struct("row", "nth", "positive_id", "score")).alias("positives"))
-    close = _close_rows(blocks.join(told, ["dim", "block"]), shards, many, negatives, low, high)
+    close = _close_rows(settle(blocks.join(told, ["dim", "block"])), shards, negatives, low, high)
     order = Window.partitionBy("row", "nth").orderBy(F.desc("negative_score"), "negative_id")
     ranked = close.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= negatives)
     return ranked.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")

@@ -184,6 +184,16 @@ def test_hard_negatives(spark, monkeypatch):
     assert hard_negatives.mine(df, F.lit(False)).count() == 0
 
 
+def test_anchors_are_not_copied_for_each_shard(spark, monkeypatch):
+    """No plan multiplies the blocks of anchors before they meet the shards."""
+    monkeypatch.setattr(hard_negatives, "SHARD_ROWS", 20)
+    rows = [(i, i % 3, [float(i % 7), float(i % 5)]) for i in range(200)]
+    got = hard_negatives.mine(spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>"), F.col("vec_id") % 20 == 0)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Generate" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert sorted(map(tuple, got.collect())) == plain_negatives(rows, 20)
+
+
 def test_components_out_of_range_are_told(spark):
     df = spark.createDataFrame([(0, 1, [1e300]), (1, 1, [1.0])], "vec_id long, label int, embedding array<double>")
     with pytest.raises(Exception, match="out of range"):
