@@ -22,6 +22,9 @@ shuffle of texts.  Chunks and key ranges ("shelves") talk in packed messages:
    elsewhere.
 5. The chunk marks those windows, and those that repeat inside the chunk.
 
+What a step has shuffled is let go once its result is written, so the disk holds the texts
+and one step at a time.
+
 Within a chunk a stretch is known by two 64-bit hashes, and so it is on a shelf where
 all stretches of an anchor are equal: no bytes are compared there.  Null counts as the empty
 text.  Texts shorter than a window keep all bytes.  Rows of equal id never match
@@ -42,13 +45,14 @@ from pyspark.sql import functions as F
 
 from grantflow.llm.bytehash import PrefixHashes, mixed
 from grantflow.llm.suffix_sort import sort_suffixes
-from grantflow.session import scratch_dir, settle
+from grantflow.session import free_shuffles, scratch_dir, settle
 
 LENGTH, GRAM = 50, 20
 CHUNK_BYTES, SLAB_BYTES = 8 << 20, 1 << 20
 HOT_CHUNKS = 256
 SORTED_AT_ONCE = 1 << 18
 POSITION = np.uint64(0xFFFFFFFF)
+CODEC = "zstd"
 
 
 def least_of(values: np.ndarray, width: int) -> np.ndarray:
@@ -225,13 +229,15 @@ def send_stretches(table: pa.Table, answers: pa.Table, shelves: int) -> pa.Table
     key, ids, size = key[pick], ids[pick], size[pick]
     columns = {"keys": key, "least": ids, "size": size.astype(np.uint8), "lead": lead[pick].astype(np.uint8)}
     shelf = (key % np.uint64(shelves)).astype(np.int64)
-    return parcels(shelf, "shelf", {"chunk": _chunk(table) if len(table) else -1}, columns, ("raw", flat, size))
+    sent = parcels(shelf, "shelf", {"chunk": _chunk(table) if len(table) else -1}, columns, ("raw", flat, size))
+    raw = pa.array([pa.compress(x.as_buffer(), codec=CODEC, asbytes=True) for x in sent.column("raw")], pa.binary())
+    return sent.set_column(sent.schema.get_field_index("raw"), "raw", raw)
 
 
 def answer_stretches(table: pa.Table) -> pa.Table:
     """Step 4: for each stretch the windows that a document of smaller id has elsewhere."""
     key, least = unpacked(table, "keys", np.uint64), unpacked(table, "least", np.int64)
-    size, data = unpacked(table, "size", np.uint8).astype(np.int64), unpacked(table, "raw", np.uint8)
+    size, data = unpacked(table, "size", np.uint8).astype(np.int64), inflated(table)
     chunk = np.repeat(table.column("chunk").to_numpy(), sizes_of(table, "keys", 8))
     lead = unpacked(table, "lead", np.uint8).astype(np.uint64)
     start = np.cumsum(size) - size
@@ -275,6 +281,13 @@ def answer_stretches(table: pa.Table) -> pa.Table:
     return parcels(chunk[rows], "chunk", {}, {"keys": key[rows], "content": content[rows], "mask": mask[told]})
 
 
+def inflated(table: pa.Table) -> np.ndarray:
+    """The bytes of the stretches of all rows."""
+    many = [int(np.frombuffer(x or b"", np.uint8).sum(dtype=np.int64)) for x in table.column("size").to_pylist()]
+    raw = [pa.decompress(x.as_buffer(), n, codec=CODEC) for x, n in zip(table.column("raw"), many, strict=True)]
+    return np.frombuffer(b"".join(raw), np.uint8)
+
+
 def contents_of(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Hashes of stretches that lie one behind the other, as :meth:`Slab.content` has them."""
     out, step = np.zeros(len(start), np.uint64), SLAB_BYTES // LENGTH
@@ -373,6 +386,7 @@ def repeated_strings(
     dealt = dealt.repartition(chunks, "chunk")
     dealt.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(chunks, "chunk").saveAsTable(name)
     texts = spark.table(name)
+    free_shuffles(spark)
 
     anchors = texts.groupBy("chunk").applyInArrow(
         lambda t: send_anchors(t, chunks), "shelf int, chunk int, keys binary, twice binary"
@@ -380,6 +394,7 @@ def repeated_strings(
     shared = settle(
         anchors.groupBy("shelf").applyInArrow(lambda t: answer_anchors(t, hot_chunks), "chunk int, keys binary, hot binary")
     )
+    free_shuffles(spark)
     stretches = (
         texts.groupBy("chunk").cogroup(shared.groupBy("chunk"))
         .applyInArrow(lambda t, a: send_stretches(t, a, chunks), "shelf int, chunk int, keys binary, least binary, size binary, lead binary, raw binary")
@@ -387,6 +402,7 @@ def repeated_strings(
     marks = settle(
         stretches.groupBy("shelf").applyInArrow(answer_stretches, "chunk int, keys binary, content binary, mask binary")
     )
+    free_shuffles(spark)
     none = F.lit(None).cast("binary")
     hot = shared.where(F.instr(F.hex("hot"), "01") > 0).mapInArrow(_hot_keys, "chunk int, hot binary")
     hot = hot.select("chunk", none.alias("keys"), none.alias("content"), none.alias("mask"), "hot")

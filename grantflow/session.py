@@ -75,6 +75,15 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished steps.
+
+    Spark deletes them once the driver's JVM has collected the plans that made them; a
+    driver with a roomy heap does so late, and until then all steps of a job lie on disk.
+    """
+    spark._jvm.System.gc()
+
+
 @contextmanager
 def settled_for_now(df: DataFrame, name: str = "step") -> Iterator[DataFrame]:
     """``df`` written once under the shared folder, and deleted at the end of the block."""

@@ -2,9 +2,11 @@
 
 import hashlib
 import random
+import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -335,3 +337,27 @@ def test_no_strings(spark):
     assert suffix_dedup.repeated_strings(df.limit(0)).count() == 0
     kept = suffix_dedup.repeated_strings(frame(spark, ["q" * 60, "q" * 55 + "r"]), with_bytes=True).collect()
     assert {r.doc_id: bytes(r.kept) for r in kept} == {0: b"q" * 60, 1: b"r"}
+
+
+def test_steps_let_go_what_they_shuffled(spark):
+    """At the end only the last step's shuffles are on disk; stretches travel compressed."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        files = disk.getAllFiles()
+        names = [files.apply(i).getName() for i in range(files.size())]
+        return {n.split("_")[1] for n in names if n.startswith("shuffle_")}
+
+    old = shuffles()
+    texts = [(i, f"{i} " + "a line of more than fifty bytes that comes again and again " * 3) for i in range(60)]
+    got = suffix_dedup.repeated_strings(spark.createDataFrame(texts, "doc_id long, text string"), chunk_bytes=1000)
+    end = time.time() + 20
+    while len(shuffles() - old) > 3 and time.time() < end:
+        time.sleep(0.2)
+    assert len(shuffles() - old) <= 3 and got.where("n_removed > 0").count() == 59
+    table = pa.table({"doc_id": [1, 2], "raw": [t.encode() for _, t in texts[:2]], "chunk": [0, 0]})
+    keys = np.concatenate([s.key for s in suffix_dedup.slabs(table)])
+    answers = pa.table({"keys": [keys.tobytes()], "hot": [np.zeros(len(keys), bool).tobytes()]})
+    sent = suffix_dedup.send_stretches(table, answers, 1)
+    sizes = suffix_dedup.unpacked(sent, "size", np.uint8).astype(int).sum()
+    assert len(suffix_dedup.inflated(sent)) == sizes > len(sent.column("raw")[0].as_py())
