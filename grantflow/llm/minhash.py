@@ -22,7 +22,8 @@ Members of buckets that then still span several classes, the rest, get ``FINE``
 registers in bands of ``FINE_ROWS``.  In a bucket of at most ``SMALL`` members all of
 different classes meet.  A larger one proposes a hub and falls apart by longer bands:
 its members are keyed again by that band and each of the ``NEXT`` bands behind it, and
-so on for ``LEVELS`` levels.  Texts meet by one byte of each register: those that agree
+so on for ``LEVELS`` levels.  Members of buckets that are large even then, and of several
+classes, meet by the prefix filter below.  Texts meet by one byte of each register: those that agree
 in fewer than three standard deviations below the threshold are not compared further
 (one in 740 of the pairs at the threshold).  A pair at the threshold agrees
 in one band with a chance of 1 - 5e-6 and in two close ones, which only families with
@@ -323,8 +324,10 @@ def _finer(rest: DataFrame, labels: DataFrame, bodies: DataFrame, threshold: flo
         tested = pairs if tested is None else tested.unionByName(pairs)
         labels = _linked(pairs, labels, bodies, threshold)
         if not more:
-            break
-    return labels
+            return labels
+    # buckets that no level made small: the exact way for those that still span several classes
+    left = settle(_rest(many, labels))
+    return labels if left.isEmpty() else _linked(settle(_able(left, bodies, threshold)), labels, bodies, threshold)
 
 
 def _with_hub(members: DataFrame, order: Column) -> DataFrame:

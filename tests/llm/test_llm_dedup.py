@@ -361,3 +361,22 @@ def test_steps_let_go_what_they_shuffled(spark):
     sent = suffix_dedup.send_stretches(table, answers, 1)
     sizes = suffix_dedup.unpacked(sent, "size", np.uint8).astype(int).sum()
     assert len(suffix_dedup.inflated(sent)) == sizes > len(sent.column("raw")[0].as_py())
+
+
+def test_buckets_large_at_the_last_level_meet_exactly(spark, monkeypatch):
+    """Pairs that no hub of a large bucket finds are found by the exact way for the rest."""
+    monkeypatch.setattr(minhash, "LEVELS", 1)
+    monkeypatch.setattr(minhash, "SMALL", 1)
+    monkeypatch.setattr(minhash, "_alike_hubs", lambda pairs, threshold: pairs.selectExpr("node as a", "hub as b").limit(0))
+    chance = random.Random(5)
+    base, texts = [f"w{k}" for k in range(100)], []
+    for k in range(12):
+        own = list(base)
+        for at in chance.sample(range(10, 90), 4):
+            own[at] = f"x{k}-{at}"
+        texts += [" ".join(own), " ".join([*own[:-1], f"y{k}"])]
+    bodies = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    alone = bodies.selectExpr("node", "node as label")
+    labels = minhash._finer(alone, alone, bodies, minhash.THRESHOLD)
+    found = dict(map(tuple, labels.collect()))
+    assert all(found[2 * k] == found[2 * k + 1] for k in range(12)) and len(set(found.values())) == 12
