@@ -15,7 +15,7 @@ from grantflow.operators.load import conform, load_order
 from grantflow.operators.numbering import loaded_ids
 from grantflow.operators.rows import first_per_key
 from grantflow.schemas import TABLES, TableSpec
-from grantflow.session import settled_for_now
+from grantflow.session import letting_go, settled_for_now
 from grantflow.sources.tables import Ledger, LoadRejected, bucket_masks, bucket_of, marked_buckets, publish, read_table
 
 REJECTS_DDL = "source string, key string, rule string, text string"
@@ -114,12 +114,14 @@ def load_tables(
             continue
         parents = {p: read_table(spark, root, TABLES[p], known) for p in above[spec.name]}
         order = (orders or {}).get(spec.name, ())
-        if all(k in df.columns for k in spec.key):
-            done[spec.name] = _load_keyed(df, root, spec, run_id, order, parents, known)
-        else:
-            after = known.largest_key(spec.name) or 0
-            fresh = rows_to_load(df, read_table(spark, root, spec, known), spec, order, after)
-            done[spec.name] = publish(fresh, root, spec, run_id, parents, known)
+        # what one table needs on the way is not kept for the next ones
+        with letting_go(spark):
+            if all(k in df.columns for k in spec.key):
+                done[spec.name] = _load_keyed(df, root, spec, run_id, order, parents, known)
+            else:
+                after = known.largest_key(spec.name) or 0
+                fresh = rows_to_load(df, read_table(spark, root, spec, known), spec, order, after)
+                done[spec.name] = publish(fresh, root, spec, run_id, parents, known)
     return done
 
 

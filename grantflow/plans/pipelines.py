@@ -34,6 +34,7 @@ from grantflow.sources.tables import Ledger, exists, publish, read_table
 LANDED_AWARDS_DDL = re.sub(r"(`(?:COVID-19|Infrastructure) \w+`) decimal\(18,2\)", r"\1 string", schemas.AWARDS_DDL)
 INPUT_FILES = TableSpec("input_files", "pipeline string, path string", ("pipeline", "path"))
 CORRUPT = "_corrupt_record"
+JSON_FILES = "*.json{,.gz,.bz2}"  # landed as they are, or compressed
 Frames = Mapping[str, DataFrame]
 
 
@@ -85,14 +86,14 @@ class Pipeline:
 
 def landed_files(spark: SparkSession, folder: str) -> DataFrame:
     """``path`` of the JSON files of a folder, as the rows read from them tell it."""
-    reader = spark.read.format("binaryFile").options(recursiveFileLookup="true", pathGlobFilter="*.json")
+    reader = spark.read.format("binaryFile").options(recursiveFileLookup="true", pathGlobFilter=JSON_FILES)
     return reader.load(folder).select(F.col("_metadata.file_path").alias("path"))
 
 
 def read_landed(spark: SparkSession, folder: str, ddl: str, files: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Documents of the ``files`` (path) that lie in a folder, and the lines that are none as (key: file, text)."""
     kept = T.StructType([*T.StructType.fromDDL(ddl).fields, T.StructField(CORRUPT, T.StringType())])
-    reader = spark.read.options(recursiveFileLookup="true", pathGlobFilter="*.json")
+    reader = spark.read.options(recursiveFileLookup="true", pathGlobFilter=JSON_FILES)
     lines = reader.text(folder).where("trim(value) <> ''").select("value", F.col("_metadata.file_path").alias("path"))
     own = keep_present(lines, files, ["path"])
     parsed = own.select("path", "value", F.from_json("value", kept, {"columnNameOfCorruptRecord": CORRUPT}).alias("doc"))

@@ -84,6 +84,18 @@ def free_shuffles(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+@contextmanager
+def letting_go(spark: SparkSession) -> Iterator[None]:
+    """Tables settled inside the block are deleted at its end, and its shuffles let go."""
+    kept = len(_settled)
+    try:
+        yield
+    finally:
+        while len(_settled) > kept:
+            _delete(spark, _settled.pop())
+        free_shuffles(spark)
+
+
 @contextmanager
 def settled_for_now(df: DataFrame, name: str = "step") -> Iterator[DataFrame]:
     """``df`` written once under the shared folder, and deleted at the end of the block."""

@@ -1,12 +1,14 @@
 """Landed folders: which file belongs to which input, broken lines, repeated runs."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from grantflow.plans.loading import read_rejects
-from grantflow.plans.pipelines import Pipeline
+from grantflow.plans.pipelines import Pipeline, landed_files, read_landed
+from grantflow.session import letting_go, settle
 from grantflow.sources import tables as St
 
 PIPE = Pipeline(
@@ -59,3 +61,21 @@ def test_a_stopped_run_repeats_on_its_own_files(spark, tmp_path, monkeypatch):
     assert stored(spark, root)[0] == ["LA", "TX"]
     noted = spark.read.parquet(f"{root}/input_files").select(F.element_at(F.split("path", "/"), -1).alias("f"))
     assert sorted(r.f for r in noted.collect()) == ["a.json", "b.json"]
+
+
+def test_landed_files_may_be_compressed(spark, tmp_path):
+    one = spark.createDataFrame([("a", 1)], "doc_id string, n int")
+    for kind in ("none", "gzip", "bzip2"):
+        one.coalesce(1).write.json(str(tmp_path / "in" / kind), compression=kind)
+    files = landed_files(spark, str(tmp_path / "in"))
+    assert sorted(r.path.split(".json")[1] for r in files.collect()) == ["", ".bz2", ".gz"]
+    found, broken = read_landed(spark, str(tmp_path / "in"), "doc_id string, n int", files)
+    assert [tuple(r) for r in found.collect()] == [("a", 1)] * 3 and broken.count() == 0
+
+
+def test_what_a_table_needed_is_let_go(spark):
+    kept = settle(spark.range(3))
+    with letting_go(spark):
+        inside = settle(spark.range(4))
+        paths = [df.inputFiles()[0].removeprefix("file://") for df in (kept, inside)]
+    assert [os.path.exists(p) for p in paths] == [True, False] and kept.count() == 3
