@@ -21,6 +21,7 @@ BEGINNING = 4  # characters
 LEAST_SHARE = 1 / 500
 STEPS, BATCH, RATE = 1200, 32, 0.2
 PIECE = 1 << 13  # places that one matrix product covers
+LEARNED_PIECE = 1 << 19  # the same in a step of the fit: most batches as a whole
 WORD = re.compile(r"\w+")
 
 
@@ -109,34 +110,87 @@ def _adagrad(value: np.ndarray, gradient: np.ndarray, seen: np.ndarray, at=slice
     value[at] -= RATE * gradient / np.sqrt(seen[at] + 1e-8)
 
 
-def fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
-    """Fit to hashed texts; equal input gives an equal model."""
+@dataclass
+class Learning:
+    """A model on its way: ``seen`` has the summed squares of the gradients of ``parts``."""
+
+    model: Model
+    seen: list[np.ndarray]
+
+    @property
+    def parts(self) -> list[np.ndarray]:
+        m = self.model
+        return [m.table, *m.filters, m.shift, m.weights, np.array([m.base], np.float32)]
+
+    def numbers(self) -> np.ndarray:
+        """All that is learned, in one array of float32."""
+        return np.concatenate([x.ravel() for x in (*self.parts, *self.seen)])
+
+    def put(self, numbers: np.ndarray) -> None:
+        """Go on from what :meth:`numbers` told, of this model or the mean of several."""
+        at, taken = 0, []
+        for x in (*self.parts, *self.seen):
+            taken.append(numbers[at : at + x.size].reshape(x.shape).astype(np.float32))
+            at += x.size
+        own, m, n = taken[: len(self.seen)], self.model, len(WIDTHS)
+        m.table, m.filters, m.shift, m.weights, m.base = own[0], own[1 : 1 + n], own[-3], own[-2], float(own[-1][0])
+        self.seen = taken[len(self.seen) :]
+
+
+def buckets_of(words: np.ndarray) -> np.ndarray:
+    """The distinct buckets of a hashed text."""
+    return np.unique([words // BUCKETS, words % BUCKETS])
+
+
+def least_texts(texts: int) -> float:
+    """In how many of the training texts a bucket must come to have a row."""
+    return max(3, texts * LEAST_SHARE)
+
+
+def begin(rows: np.ndarray, texts: int, ones: float, seed: int = 7) -> tuple[Learning, np.random.Generator]:
+    """A model before the first step for ``texts`` training texts, ``ones`` of label 1; equal input gives an equal one."""
     rng, width = np.random.default_rng(seed), len(WIDTHS) * FILTERS
-    each = [np.unique([t // BUCKETS, t % BUCKETS]) for t in texts]
-    rows, many = np.unique(np.concatenate(each), return_counts=True) if each else (np.zeros(0, np.int64), np.zeros(0))
-    rows = rows[many >= max(3, len(texts) * LEAST_SHARE)].astype(np.int64)
     table = rng.normal(0, 0.1, (len(rows) + 1, DEPTH)).astype(np.float32)
     table[0] = 0
     filters = [rng.normal(0, 0.3, (w, DEPTH, FILTERS)).astype(np.float32) for w in WIDTHS]
-    share = float(np.clip(labels.mean() if len(labels) else 0.5, 1e-3, 1 - 1e-3))
+    share = float(np.clip(ones / texts if texts else 0.5, 1e-3, 1 - 1e-3))
     model = Model(rows, table, filters, np.zeros(width, np.float32), rng.normal(0, 0.3, width).astype(np.float32), float(np.log(share / (1 - share))))
-    if not 0 < labels.sum() < len(labels):
+    if not 0 < ones < texts:
         model.weights[:] = 0
-        return model
-    own, base = [model.places(t) for t in texts], np.array([model.base], np.float32)
-    seen = [np.full_like(x, 1e-3) for x in (table, *filters, model.shift, model.weights, base)]
+    made = Learning(model, [])
+    made.seen = [np.full_like(x, 1e-3) for x in made.parts]
+    return made, rng
+
+
+def _peaks(model: Model, places: np.ndarray, owner: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each text and filter the place of its largest response, and that response."""
+    reach, width = max(WIDTHS) - 1, len(model.weights)
+    peak, most = np.zeros((texts, width), np.int64), np.full((texts, width), -np.inf, np.float32)
+    for a in range(0, len(places) - reach, LEARNED_PIECE):
+        said = model.responses(places[a : a + LEARNED_PIECE + reach])
+        own = owner[a : a + said.shape[1]]
+        starts = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(own)], strict=True):
+            k = own[s]
+            if k >= 0:
+                best = said[:, s:e].argmax(1)
+                value = said[np.arange(width), s + best]
+                larger = value > most[k]
+                peak[k, larger], most[k, larger] = a + s + best[larger], value[larger]
+    return peak, most
+
+
+def learn(made: Learning, texts: list[np.ndarray], labels: np.ndarray, rng: np.random.Generator, many: int = STEPS) -> Learning:
+    """``many`` further steps on hashed texts."""
+    model, seen = made.model, made.seen
+    own, (table, *filters, _, _, base) = [model.places(t) for t in texts], made.parts
     order = np.zeros(0, np.int64)
-    for _ in range(STEPS):
+    for _ in range(many):
         if len(order) < BATCH:
             order = np.append(order, rng.permutation(len(texts)))
         some, order = order[:BATCH], order[BATCH:]
         places, owner = laid_out([own[k] for k in some])
-        said = model.responses(places)
-        starts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]) & (owner >= 0))
-        sizes = np.bincount(owner[owner >= 0])
-        # the place of each text at which each filter says its largest value
-        peak = np.stack([a + said[:, a : a + n].argmax(1) for a, n in zip(starts.tolist(), sizes.tolist(), strict=True)])
-        most = np.take_along_axis(said, peak.T, 1).T
+        peak, most = _peaks(model, places, owner, len(some))
         pooled = np.maximum(most, 0)
         error = (1 / (1 + np.exp(-(pooled @ model.weights + base[0]))) - labels[some]).astype(np.float32) / len(some)
         back = error[:, None] * model.weights * (most > 0)
@@ -162,4 +216,11 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
         _adagrad(model.weights, error @ pooled, seen[-2])
         _adagrad(base, error.sum(keepdims=True), seen[-1])
     model.base = float(base[0])
-    return model
+    return made
+
+
+def fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
+    """Fit to hashed texts; equal input gives an equal model."""
+    rows, many = np.unique(np.concatenate([buckets_of(t) for t in texts]), return_counts=True) if texts else (np.zeros(0, np.int64), np.zeros(0))
+    made, rng = begin(rows[many >= least_texts(len(texts))].astype(np.int64), len(texts), float(labels.sum()), seed)
+    return learn(made, texts, labels, rng).model if 0 < labels.sum() < len(labels) else made.model

@@ -274,3 +274,33 @@ def test_op11(spark):
     found = QUERIES["op11_toxicity"](spark, SMALL).collect()
     assert len(found) == spark.read.parquet(f"{SMALL}/documents.parquet").count()
     assert all(r.predicted == (r.score >= 0.5) and r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in found)
+
+
+def test_all_labelled_rows_count(spark, monkeypatch):
+    """More documents than one task holds, long ones among them: every one is learned from, and
+    the thresholds are those of all rows that are kept aside."""
+    texts, labels = made_texts(random.Random(9), 900)
+    texts = [f"{t} {'pad ' * 11_000 if i == 4 else ''}" for i, t in enumerate(texts)]
+    docs = spark.createDataFrame([(i, t, "ab" if i % 3 else "cd") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    given = spark.createDataFrame([(i, int(y)) for i, y in enumerate(labels)], "doc_id long, toxic int")
+    folds = np.array([zlib.crc32(str(i).encode()) % 5 for i in range(len(texts))])
+    used = spark.sparkContext.accumulator(0)
+    told = toxicity.learn
+
+    def learn(made, words, *more):
+        used.add(len(words))
+        return told(made, words, *more)
+
+    monkeypatch.setattr(toxicity, "learn", learn)
+    for part in (100, 10_000):
+        used.value = 0
+        made = toxicity.train(docs, given, part_rows=part)
+        assert used.value == (folds > 1).sum()
+        hashed = text_convolution.hashed_words(texts)
+        scores = np.array([made.model.scores([w])[0] for w in hashed])
+        aside, ab = folds == 1, np.arange(len(texts)) % 3 > 0
+        assert made.threshold == pytest.approx(toxicity.best_threshold(scores[aside], labels[aside]))
+        assert made.by_language["ab"] == pytest.approx(toxicity.best_threshold(scores[aside & ab], labels[aside & ab]))
+        assert ((scores >= 0.5) == labels)[folds == 0].mean() > 0.9
+        again = toxicity.train(docs.repartition(5), given.repartition(3), part_rows=part)
+        assert np.array_equal(again.model.table, made.model.table) and again.threshold == made.threshold
