@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from grantflow.fixed_values import HEADING_YEARS_PATTERN, REPORT_DATE_PATTERN, REPORT_TERRITORY
@@ -51,10 +51,9 @@ def report_dates(lines: DataFrame) -> DataFrame:
     is replaced by the end year of the first ``yyyy-yyyy`` of the text.  Text
     that is no date after all falls back to the month in the file name.
     """
-    found = F.nullif(F.regexp_extract("line", REPORT_DATE_PATTERN, 1), F.lit(""))
+    read = lines if "_found" in lines.columns else lines.where(may_date("line")).withColumns(dated("line"))
     hits = (
-        lines.where(may_date("line"))
-        .select("doc_id", "line_no", found.alias("_found"), heading_end_year("line").alias("_year"))
+        read.where(F.col("_found").isNotNull() | F.col("_year").isNotNull())
         .groupBy("doc_id")
         .agg(
             F.min_by("_found", F.when(F.col("_found").isNotNull(), F.col("line_no"))).alias("_found"),
@@ -74,10 +73,39 @@ def may_date(line: str) -> Column:
     return F.col(line).rlike(f"{REPORT_DATE_PATTERN}|{HEADING_YEARS_PATTERN}")
 
 
+def dated(line: str) -> dict[str, Column]:
+    """The date and the end year that a line may tell."""
+    found = F.nullif(F.regexp_extract(line, REPORT_DATE_PATTERN, 1), F.lit(""))
+    return {"_found": found, "_year": heading_end_year(line)}
+
+
+def told(lines: DataFrame) -> DataFrame:
+    """Everything a line tells by itself (``_law``, ``_date``: whether it may tell such), read from its text once: later steps do not need the text."""
+    return lines.withColumns(
+        {
+            "_laws": F.when(F.col("_law"), law_mentions("line")),
+            "_alone": F.when(F.col("_law"), standalone_laws("line")),
+            "_award": F.when(has_award("line"), F.struct(award_grantee("line").alias("grantee_name"), award_amount("line").alias("grant_award"))),
+            **{c: F.when(F.col("_date"), e) for c, e in dated("line").items()},
+        }
+    ).drop("line", "_law", "_date")
+
+
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are worked out once for each row.
+
+    A plain column is worked out again in each filter and column that uses it; what a
+    generator has made is not.
+    """
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in columns]
+    made = df.select(*kept, F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))).alias("_once"))
+    found = made.select(*kept, *[F.col(f"_once.{c}").alias(c) for c in columns])
+    return found.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*df.columns, *columns])])
+
+
 def headed(lines: DataFrame) -> DataFrame:
     """Trimmed lines with their heading, if they are one."""
-    stripped = lines.withColumn("line", trim_text("line"))
-    return stripped.withColumn("heading", first_pattern("line"))
+    return once(once(lines, line=trim_text("line")), heading=first_pattern("line"))
 
 
 def sections(heads: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -87,26 +115,34 @@ def sections(heads: DataFrame, block: int = BLOCK) -> DataFrame:
 
 def sectioned_laws(tied: DataFrame) -> DataFrame:
     """Laws with optional dates mentioned under an event."""
+    mentioned = F.col("_laws") if "_laws" in tied.columns else law_mentions("line")
     return (
         tied.where(F.col("disaster_event").isNotNull())
-        .select("doc_id", "line_no", "disaster_event", F.posexplode(law_mentions("line")).alias("pos", "_law"))
+        .select("doc_id", "line_no", "disaster_event", F.posexplode(mentioned).alias("pos", "_law"))
         .select("doc_id", "line_no", "pos", "disaster_event", "_law.pl_number", "_law.pl_date")
     )
 
 
 def leftover_laws(tied: DataFrame, known: DataFrame) -> DataFrame:
     """Law numbers found nowhere in ``known``, under the last event of their document."""
-    found = (
-        tied.select("doc_id", "line_no", F.posexplode(standalone_laws("line")).alias("pos", "pl_number"))
+    alone = F.col("_alone") if "_alone" in tied.columns else standalone_laws("line")
+    found = tied.select("doc_id", "line_no", F.posexplode(alone).alias("pos", "pl_number")).select(
+        "doc_id", "pl_number", F.struct("line_no", "pos").alias("_at"), F.lit(False).alias("_known")
+    )
+    # both meet in one aggregate with partial results; null keys match nothing
+    there = known.select("doc_id", "pl_number").dropna().withColumns({"_at": F.lit(None).cast(found.schema["_at"].dataType), "_known": F.lit(True)})
+    fresh = (
+        found.unionByName(there)
         .groupBy("doc_id", "pl_number")
-        .agg(F.min(F.struct("line_no", "pos")).alias("_at"))
+        .agg(F.min("_at").alias("_at"), F.max("_known").alias("_known"))
+        .where(~F.col("_known"))
+        .drop("_known")
     )
     lasts = (
         tied.where(F.col("disaster_event").isNotNull())
         .groupBy("doc_id")
         .agg(F.max_by("disaster_event", "line_no").alias("disaster_event"))
     )
-    fresh = keep_absent(found, known, ["doc_id", "pl_number"])
     return enrich(fresh, lasts, ["doc_id"], ["disaster_event"]).select(
         "doc_id",
         "_at.line_no",
@@ -119,29 +155,30 @@ def leftover_laws(tied: DataFrame, known: DataFrame) -> DataFrame:
 
 def award_lines(tied: DataFrame) -> DataFrame:
     """One record per line that names the territory and one dollar amount."""
+    own = ["doc_id", "line_no", "disaster_event", F.lit(REPORT_TERRITORY).alias("territory")]
+    if "_award" in tied.columns:
+        return tied.where(F.col("_award").isNotNull()).select(*own, "_award.grantee_name", "_award.grant_award")
     return tied.where(has_award("line")).select(
-        "doc_id",
-        "line_no",
-        "disaster_event",
-        F.lit(REPORT_TERRITORY).alias("territory"),
-        award_grantee("line").alias("grantee_name"),
-        award_amount("line").alias("grant_award"),
+        *own, award_grantee("line").alias("grantee_name"), award_amount("line").alias("grant_award")
     )
 
 
 def marked_lines(lines: DataFrame) -> DataFrame:
-    """The lines that hold a heading, a law, an award or a date, written once.
+    """The lines that hold a heading, a law, an award or a date, and what they tell, written once.
 
-    The one step that reads the whole text: it neither shuffles nor sorts.
+    The one step that reads the text: it neither shuffles nor sorts.
     """
-    telling = F.col("line").contains(REPORT_TERRITORY) | has_law("line") | may_date("line")
-    return settle(headed(lines).where(F.col("heading").isNotNull() | telling))
+    found = once(headed(lines), _law=has_law("line"), _date=may_date("line"))
+    telling = F.col("line").contains(REPORT_TERRITORY) | F.col("_law") | F.col("_date")
+    return settle(told(found.where(F.col("heading").isNotNull() | telling)))
 
 
 def extract(lines: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """(laws, awards) of all documents; only laws of events with an award stay."""
     marked = marked_lines(lines)
-    tied = settle(sections(marked, block))
+    telling = marked.select("doc_id", "line_no", "heading", "_laws", "_alone", "_award")
+    some = F.coalesce("heading", F.get("_laws", F.lit(0))["pl_number"], F.get("_alone", F.lit(0))).isNotNull() | F.col("_award").isNotNull()
+    tied = settle(sections(telling.where(some), block))
     awards = enrich(award_lines(tied), report_dates(marked), ["doc_id"], ["report_date"])
     direct = sectioned_laws(tied)
     laws = direct.unionByName(leftover_laws(tied, direct))
@@ -168,7 +205,9 @@ def disasters(rows: DataFrame, laws: DataFrame, stored: DataFrame | None = None)
     """Events by (name, year) that are not stored: those of awards first, then those of laws."""
     keys = ["disaster_name", "disaster_year"]
     columns = [*keys, "doc_id", "line_no"]
-    named = laws.withColumns(
+    # names are taken of each event, not of each law
+    events = laws.groupBy("disaster_event").agg(F.min(F.struct("doc_id", "line_no")).alias("_first"))
+    named = events.select("disaster_event", "_first.*").withColumns(
         {"disaster_name": event_name("disaster_event"), "disaster_year": event_year("disaster_event")}
     )
     seen = (
@@ -181,17 +220,12 @@ def disasters(rows: DataFrame, laws: DataFrame, stored: DataFrame | None = None)
 
 def public_laws(laws: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     """One row per law number that is not stored, by first mention."""
-    fresh = first_per_key(
-        laws.select(
-            trim_text("pl_number").alias("pl_number"),
-            law_date("pl_date").alias("pl_date"),
-            "doc_id",
-            "line_no",
-            "pos",
-        ),
-        ["pl_number"],
-        ["doc_id", "line_no", "pos", "pl_date"],
-    ).select("pl_number", "pl_date")
+    mentions = laws.select(trim_text("pl_number").alias("pl_number"), "pl_date", "doc_id", "line_no", "pos")
+    # only dates of first mentions are read
+    window = Window.partitionBy("pl_number").orderBy("doc_id", "line_no", "pos")
+    firsts = mentions.withColumn("_rank", F.rank().over(window)).where("_rank = 1").drop("_rank")
+    fresh = first_per_key(firsts.withColumn("pl_date", law_date("pl_date")), ["pl_number"], ["doc_id", "line_no", "pos", "pl_date"])
+    fresh = fresh.select("pl_number", "pl_date")
     return fresh if stored is None else keep_absent(fresh, stored, ["pl_number"])
 
 
@@ -199,10 +233,12 @@ def disaster_laws(
     laws: DataFrame, events: DataFrame, stored: DataFrame | None = None
 ) -> DataFrame:
     """Distinct (disaster_id, pl_number) that are not stored; the event is matched by name and year."""
-    named = laws.select(
+    # names are taken of distinct pairs, not of each law
+    pairs = laws.select("disaster_event", trim_text("pl_number").alias("pl_number")).dropDuplicates()
+    named = pairs.select(
         event_name("disaster_event").alias("disaster_name"),
         event_year("disaster_event").alias("disaster_year"),
-        trim_text("pl_number").alias("pl_number"),
+        "pl_number",
     ).dropDuplicates()
     pairs = (
         null_safe_join(named, events, ["disaster_name", "disaster_year"], "left")

@@ -247,3 +247,19 @@ def test_compacted_runs_show_the_same_rows(spark):
     before = rows(read_table(spark, root, spec))
     assert compact(spark, root, spec, "all") and not compact(spark, root, spec, "all")
     assert rows(read_table(spark, root, spec)) == before and Ledger(spark, root).visible_runs("states") == ["all"]
+
+
+def test_history_reads_text_once(spark, monkeypatch):
+    """What is kept of a line has no text: later steps read no pattern again, and tell the same as those on lines."""
+    given = lines(spark, ("d1", REPORT), ("d2", REPORT[:7]))
+    marked = H.marked_lines(given)
+    assert "line" not in marked.columns
+    tied, plain = (H.sections(x) for x in (marked, H.headed(given)))
+    assert rows(H.report_dates(marked)) == rows(H.report_dates(given))
+    assert rows(H.award_lines(tied)) == rows(H.award_lines(plain))
+    assert rows(H.sectioned_laws(tied)) == rows(H.sectioned_laws(plain))
+    direct = H.sectioned_laws(tied)
+    assert rows(H.leftover_laws(tied, direct)) == rows(H.leftover_laws(plain, direct))
+    # a null document matches nothing, as before
+    odd = spark.createDataFrame([(None, 0, "P.L. 1-23", "E 2001", None)], "doc_id string, line_no bigint, line string, disaster_event string, heading string")
+    assert [r.pl_number for r in H.leftover_laws(odd.withColumn("line", F.lit("P.L. 11-23")), H.sectioned_laws(odd)).collect()] == ["P.L. 11-23"]
