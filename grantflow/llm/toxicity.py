@@ -6,7 +6,9 @@ null ids and of ids with differing labels.  Of the others a fifth, all of them s
 sets the thresholds and is kept from fitting.  Scoring is one pass over the texts without
 a shuffle.  Labels, language, source and id are no inputs of a score.
 
-The documents to fit to, of which only hashes of their words are kept (8 bytes a word),
+A table of bits, made from the ids alone, tells the label of nearly all documents while they
+are read (:func:`labelled`); only the rest cross a join with their words.  The documents
+to fit to, of which only hashes of their words are kept (8 bytes a word, compressed),
 are dealt by hash into cells that one task holds.  Up to ``PART_ROWS`` documents of
 ``PART_WORDS`` words are one cell.  More are learned from in ``ROUNDS`` rounds: in each
 one, tasks go on from the same model, each with a cell of its own, and the next round
@@ -27,7 +29,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grantflow.llm.quality import FOLDS, learned
@@ -79,25 +81,41 @@ def train(
     agreed = own.agg(F.min("_label").alias("_label"), F.max("_label").alias("_most")).where("_label = _most").drop("_most")
     language = F.col(f"`{lang}`").cast("string") if lang in documents.columns else F.lit(None).cast("string")
     docs = documents.select(F.col(f"`{id}`").alias("_id"), F.col(f"`{text}`").alias("_text"), language.alias("_lang"))
-    hashed = add_text_columns(
-        may_have(docs, agreed), "_text", {"words": "array<bigint>"}, lambda: lambda texts: [hashed_words(texts)], ["_id", "_lang"]
-    ).join(agreed, "_id")
-    with settled_for_now(hashed.withColumn("_aside", F.crc32(F.col("_id").cast("string")) % FOLDS == 1), "labelled") as rows:
+    hashed = labelled(docs, agreed).withColumn("_aside", F.crc32(F.col("_id").cast("string")) % FOLDS == 1)
+    with settled_for_now(hashed, "labelled", "zstd") as rows:
         free_shuffles(documents.sparkSession)
         model = fitted(rows.where("not _aside"), part_rows, part_words)
         return Classifier(model, *thresholds(rows.where("_aside"), model))
 
 
-def may_have(docs: DataFrame, agreed: DataFrame) -> DataFrame:
-    """The documents whose id may be in ``agreed``, and few others: those need not cross the join.
+def labelled(docs: DataFrame, agreed: DataFrame) -> DataFrame:
+    """The documents (_id, _text, _lang) whose id is in ``agreed``: _id, _lang, words, _label.
 
-    A bit for each of ``SLOTS`` hashes tells; the table of bits has a fixed size, so it may be broadcast.
+    Ids fall into ``SLOTS`` by hash.  Where all documents of a slot have the same label, it is known
+    from two bits; those of slots with several answers are joined.  The table of bits has a
+    fixed size, so it may be broadcast, and it is made of ids and labels only.
     """
     slot = F.pmod(F.xxhash64("_id"), F.lit(SLOTS))
     word, bit = F.floor(slot / 64).alias("_word"), (slot % 64).cast("int").alias("_bit")
-    masks = agreed.select(word, bit).groupBy("_word").agg(F.bit_or(F.call_function("shiftleft", F.expr("1L"), F.col("_bit"))).alias("_mask"))
-    met = docs.select("*", word, bit).join(F.broadcast(masks), "_word")
-    return met.where(F.getbit("_mask", "_bit") == 1).select(*docs.columns)
+
+    def slots_where(held: Column) -> Column:
+        return F.bit_or(F.when(held, F.call_function("shiftleft", F.expr("1L"), F.col("_bit"))).otherwise(F.expr("0L")))
+
+    told = docs.select("_id").join(agreed, "_id", "left").select(word, bit, "_label").groupBy("_word").agg(
+        slots_where(F.col("_label").eqNullSafe(0)).alias("_zero"), slots_where(F.col("_label").eqNullSafe(1)).alias("_one"),
+        slots_where(F.col("_label").isNotNull()).alias("_any"), slots_where(~F.coalesce(F.col("_label").isin(0, 1), F.lit(False))).alias("_rest"),
+    )
+    told = told.selectExpr("_word", "(_zero ^ _one) & ~_rest as _sure", "_one", "_any").where("_any <> 0")
+    met = docs.select("*", word, bit).join(F.broadcast(told), "_word").where(F.getbit("_any", "_bit") == 1)
+    sure, one = F.getbit("_sure", "_bit") == 1, F.getbit("_one", "_bit").cast("int").alias("_label")
+
+    def hashed(rows: DataFrame) -> DataFrame:
+        kept = [c for c in rows.columns if c != "_text"]
+        return add_text_columns(rows, "_text", {"words": "array<bigint>"}, lambda: lambda texts: [hashed_words(texts)], kept)
+
+    known = hashed(met.where(sure).select(*docs.columns, one))
+    joined = hashed(met.where(~sure).select(*docs.columns)).join(agreed, "_id")
+    return known.unionByName(joined)
 
 
 def common_buckets(rows: DataFrame, texts: int) -> np.ndarray:

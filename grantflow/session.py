@@ -97,10 +97,10 @@ def letting_go(spark: SparkSession) -> Iterator[None]:
 
 
 @contextmanager
-def settled_for_now(df: DataFrame, name: str = "step") -> Iterator[DataFrame]:
+def settled_for_now(df: DataFrame, name: str = "step", codec: str | None = None) -> Iterator[DataFrame]:
     """``df`` written once under the shared folder, and deleted at the end of the block."""
     path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     try:
         yield df.sparkSession.read.schema(df.schema).parquet(path)
     finally:

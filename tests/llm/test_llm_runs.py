@@ -304,3 +304,44 @@ def test_all_labelled_rows_count(spark, monkeypatch):
         assert ((scores >= 0.5) == labels)[folds == 0].mean() > 0.9
         again = toxicity.train(docs.repartition(5), given.repartition(3), part_rows=part)
         assert np.array_equal(again.model.table, made.model.table) and again.threshold == made.threshold
+
+
+@pytest.mark.parametrize("slots", [1 << 25, 64])
+def test_labels_of_documents(spark, monkeypatch, slots):
+    """Ids that share a slot, repeat, have no label or one other than 0 and 1 get what a plain join gives."""
+    monkeypatch.setattr(toxicity, "SLOTS", slots)
+    ids = [*range(150), None, 3, 3, 8, -5]
+    docs = spark.createDataFrame([(i, f"text {k}" if k % 9 else None, "ab") for k, i in enumerate(ids)], "_id long, _text string, _lang string")
+    agreed = {i: 2 if i % 35 == 0 else i % 2 for i in range(0, 300) if i % 5 < 4}
+    found = toxicity.labelled(docs, spark.createDataFrame(list(agreed.items()), "_id long, _label int")).collect()
+    want = [(i, agreed[i], text_convolution.hashed_words([f"text {k}" if k % 9 else ""])[0]) for k, i in enumerate(ids) if i in agreed]
+    assert sorted((r._id, r._label, list(r.words)) for r in found) == sorted(want)
+
+
+def test_labelled_words_cross_no_join(spark, monkeypatch):
+    """Also where the labels are too many to be broadcast, ids meet them, words do not."""
+    chance, disk = random.Random(4), spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        files = disk.getAllFiles()
+        every = [files.apply(i) for i in range(files.size())]
+        return {f.getName(): f.length() for f in every if f.getName().startswith("shuffle_")}
+
+    class Written(Exception):
+        pass
+
+    def written(spark):
+        raise Written
+
+    texts = [" ".join(f"w{chance.randrange(10**6)}" for _ in range(300)) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    given = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "free_shuffles", written)
+    old, broadcast = shuffles(), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with pytest.raises(Written):
+            toxicity.train(docs, given)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    assert 0 < sum(n for name, n in shuffles().items() if name not in old) < 8 * 300 * 300 / 4
