@@ -17,8 +17,7 @@ shuffle of texts.  Chunks and key ranges ("shelves") talk in packed messages:
    line in a third of all documents, are sent window by window, each under its own
    hash, so that they spread over the shelves.
 4. A shelf gathers the stretches of an anchor.  Where they differ, it sorts their
-   suffixes by prefix hashes (:mod:`.suffix_sort`), confirms equal ones byte by byte
-   and takes the least id of each.  It answers which windows have a smaller id
+   suffixes by their bytes (:mod:`.suffix_sort`) and takes the least id of equal ones.  It answers which windows have a smaller id
    elsewhere.
 5. The chunk marks those windows, and those that repeat inside the chunk.
 
@@ -85,15 +84,17 @@ class Slab:
             return
         grams = mixed(self.hashes.all_of(GRAM))
         packed = (grams & ~POSITION) | np.arange(len(grams), dtype=np.uint64)
-        anchor = (least_of(packed, LENGTH - GRAM + 1) & POSITION).astype(np.int64)
-        doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[:n]
-        at = np.flatnonzero(np.arange(LENGTH, LENGTH + n) <= bounds[doc + 1])
-        if not len(at):
-            return
-        own = anchor[at]
-        new = np.flatnonzero(np.append(True, (own[1:] != own[:-1]) | (at[1:] != at[:-1] + 1)))
-        self.start, self.many = at[new], np.diff(np.append(new, len(at)))
-        self.key, self.doc, self.lead = grams[own[new]], doc[at[new]], (own - at)[new]
+        least = least_of(packed, LENGTH - GRAM + 1)
+        long = np.flatnonzero(np.diff(bounds) >= LENGTH)
+        edge = np.zeros(n + 1, np.int8)
+        edge[bounds[long]], edge[bounds[long + 1] - LENGTH + 1] = 1, -1
+        new = np.cumsum(edge[:n], dtype=np.int8).view(bool)  # the windows inside a document
+        new[1:] &= (least[1:] != least[:-1]) | (edge[1:n] == 1)
+        self.start = np.flatnonzero(new)
+        self.doc = np.searchsorted(bounds, self.start, side="right") - 1
+        own = (least[self.start] & POSITION).astype(np.int64)
+        self.many = np.minimum(np.append(self.start[1:], n), bounds[self.doc + 1] - LENGTH + 1) - self.start
+        self.key, self.lead = grams[own], own - self.start
 
     def split(self, hot: np.ndarray) -> None:
         """Make a stretch of each window of hot anchors."""
@@ -315,10 +316,13 @@ def cut_documents(table: pa.Table, answers: pa.Table, with_bytes: bool) -> pa.Ta
     mask = unpacked(answers, "mask", np.uint32)
     told = np.argsort(key, kind="stable")
     key, content, mask = key[told], content[told], mask[told]
-    held = []
+    held, cut = [], []
     for slab in slabs(table):
         slab.split(hot)
         held.append((slab.key, slab.content(), slab.ids[slab.doc]))
+        slab.start, slab.many = slab.start.astype(np.int32), slab.many.astype(np.uint8)
+        slab.hashes = slab.key = slab.doc = slab.lead = None  # not needed to cut
+        cut.append(slab)
     keys, contents, ids = (np.concatenate(x) for x in zip(*held, strict=True)) if held else (key, content, mask)
     order, first = groups(keys, contents, ids)
     many = np.diff(np.append(first, len(order)))
@@ -333,10 +337,9 @@ def cut_documents(table: pa.Table, answers: pa.Table, with_bytes: bool) -> pa.Ta
         marks[hit] = mask[at[hit]]
     marks[ids > least] = np.uint32(0xFFFFFFFF)
     out, k = [], 0
-    for slab in slabs(table):
-        slab.split(hot)
-        own = marks[k : k + len(slab.key)]
-        k += len(slab.key)
+    for slab in cut:
+        own = marks[k : k + len(slab.start)]
+        k += len(slab.start)
         out += _cut(slab, own, with_bytes)
     for raw in table.filter(pc.is_null(table.column("doc_id"))).column("raw").to_pylist():
         out.append((None, len(raw), 0, 0, hashlib.sha256(raw).hexdigest(), raw if with_bytes else None))

@@ -1,4 +1,4 @@
-"""Sort many suffixes at once, comparing by prefix hashes."""
+"""Sort many suffixes at once."""
 
 from __future__ import annotations
 
@@ -23,54 +23,25 @@ def common_prefix(hashes: PrefixHashes, x: np.ndarray, y: np.ndarray, depth: int
     return out
 
 
-def _before(hashes, data, x, y, depth, or_equal):
-    """Whether suffix ``x`` sorts before ``y`` (or is equal, where asked)."""
-    common = common_prefix(hashes, x, y, depth)
-    at = np.minimum(common, depth - 1)
-    return np.where(common == depth, or_equal, data[x + at] < data[y + at])
-
-
 def sort_suffixes(data: np.ndarray, group: np.ndarray, start: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Merge sort of the first ``depth`` bytes of suffixes inside each group.
+    """Sort the first ``depth`` bytes of suffixes inside each group, eight bytes at a time.
 
     Returns the order and the class of each place in it: equal suffixes of a group
-    share a class.  Runs of all groups merge in the same step: an element's place
-    is its own plus its rank in the other run, found by binary search.  Classes are
-    confirmed byte by byte, so a collision of hashes cannot join two suffixes.
+    share a class.  In each round only places that are equal so far go on, those of all
+    groups in the same step.  The bytes themselves are compared.
     """
-    hashes = PrefixHashes(data)
+    padded = np.append(data, np.zeros(8, np.uint8))
+    eight = np.ndarray(len(data) + 1, ">u8", padded.data, strides=(1,))  # the eight bytes from each place on
     order = np.argsort(group, kind="stable")
     own = group[order]
     head = np.append(True, own[1:] != own[:-1])[: len(own)]
-    first = np.flatnonzero(head)
-    size = np.diff(np.append(first, len(own)))
-    base, total = np.repeat(first, size), np.repeat(size, size)
-    inside, width = np.arange(len(own)) - base, 1
-    while width < size.max(initial=0):
-        run = inside // width
-        odd = run % 2 == 1
-        other = np.where(odd, run - 1, run + 1) * width
-        low, high = np.minimum(other, total), np.minimum(other + width, total)
-        begin, mine = low, start[order]
-        while True:
-            open_ = np.flatnonzero(low < high)
-            if not len(open_):
-                break
-            middle = (low[open_] + high[open_]) // 2
-            that = mine[base[open_] + middle]
-            # an element of the later run goes behind its equals
-            less = _before(hashes, data, that, mine[open_], depth, odd[open_])
-            low[open_], high[open_] = np.where(less, middle + 1, low[open_]), np.where(less, high[open_], middle)
-        place = base + np.minimum(run, np.where(odd, run - 1, run)) * width + inside % width + (low - np.minimum(other, total))
-        merged = np.empty_like(order)
-        merged[place] = order
-        order, width = merged, width * 2
-    at = start[order]
-    same = np.zeros(len(at), bool)
-    if len(at) > 1:
-        near = np.flatnonzero(~head[1:]) + 1
-        near = near[common_prefix(hashes, at[near - 1], at[near], depth) == depth]
-        for k in range(0, len(near), 1 << 16):
-            part, steps = near[k : k + (1 << 16)], np.arange(depth)
-            same[part] = (data[at[part - 1][:, None] + steps] == data[at[part][:, None] + steps]).all(1)
-    return order, np.cumsum(~same) - 1
+    for at in range(0, depth, 8):
+        tied = np.flatnonzero(~head | np.append(~head[1:], False)[: len(head)])
+        if not len(tied):
+            break
+        block, mine = np.cumsum(head[tied]), order[tied]
+        value = eight[start[mine] + at].astype(np.uint64) >> np.uint64(8 * max(0, at + 8 - depth))
+        by = np.lexsort((value, block))
+        order[tied], value = mine[by], value[by]
+        head[tied[1:]] |= value[1:] != value[:-1]
+    return order, np.cumsum(head) - 1

@@ -297,6 +297,32 @@ def test_suffix_sort():
         assert n == next((k for k in range(20) if data[a + k] != data[b + k]), 20)
 
 
+def test_suffixes_are_sorted_by_bytes(monkeypatch):
+    """Hashes that collide change nothing; equal suffixes keep their order."""
+    monkeypatch.setattr(PrefixHashes, "ranges", lambda self, start, size: np.zeros(len(start), np.uint64))
+    chance = np.random.default_rng(5)
+    data = np.concatenate([np.tile(chance.integers(0, 256, 40), 20), chance.integers(254, 256, 300)]).astype(np.uint8)
+    start, group = chance.integers(0, len(data) - 50 + 1, 900), chance.integers(0, 3, 900)
+    order, kind = sort_suffixes(data, group, start, 50)
+    keys = [(group[i], data[start[i] : start[i] + 50].tobytes(), i) for i in order]
+    assert keys == sorted(keys) and [a[:2] == b[:2] for a, b in zip(keys, keys[1:])] == (kind[1:] == kind[:-1]).tolist()
+    none = np.zeros(0, np.int64)
+    assert [len(x) for x in sort_suffixes(data, none, none, 50)] == [0, 0]
+
+
+def test_chunks_are_hashed_once_to_be_cut(monkeypatch):
+    """The places found when the marks are looked up also serve to cut."""
+    monkeypatch.setattr(suffix_dedup, "SLAB_BYTES", 300)
+    made, slab = [], suffix_dedup.Slab
+    monkeypatch.setattr(suffix_dedup, "Slab", lambda *given: made.append(given) or slab(*given))
+    own = bytes(range(256)) * 2
+    raw = [b"q" * 60, b"", own, b"short", b"q" * 60, own]
+    table = pa.table({"doc_id": list(range(6)), "raw": raw, "chunk": [0] * 6})
+    none = pa.table({c: pa.array([], pa.binary()) for c in ("keys", "content", "mask", "hot")})
+    cut = suffix_dedup.cut_documents(table, none, True)
+    assert len(made) == len(list(suffix_dedup.slabs(table))) > 1 and cut.column("kept").to_pylist() == [b"q" * 60, b"", own, b"short", b"", b""]
+
+
 def plain_strings(docs):
     least = {}
     for i, raw in docs:
