@@ -20,14 +20,15 @@ def components(links: DataFrame) -> DataFrame:
     """
     one, other = links.select("a", "b"), links.select(F.col("b").alias("a"), F.col("a").alias("b"))
     both = one.union(other)
-    labels = settle(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")))
+    most = 2 * links.count()
+    labels = settle(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")), most)
     while True:
         near = hot_join(both.withColumnRenamed("b", "node"), labels, ["node"], "inner")
         near = near.select(F.col("a").alias("node"), "label", F.lit(None).cast("bigint").alias("own"))
         told = near.union(labels.select("node", "label", F.col("label").alias("own")))
         moved = told.groupBy("node").agg(F.max("own").alias("label"), F.min("label").alias("new"))
         jump = labels.select(F.col("node").alias("new"), F.col("label").alias("far"))
-        new = settle(hot_join(moved, jump, ["new"], "inner").select("node", "label", F.least("new", "far").alias("new")))
+        new = settle(hot_join(moved, jump, ["new"], "inner").select("node", "label", F.least("new", "far").alias("new")), most)
         done = new.where("label <> new").isEmpty()
         labels = new.select("node", F.col("new").alias("label"))
         if done:
@@ -40,11 +41,12 @@ def with_links(labels: DataFrame, links: DataFrame) -> DataFrame:
     Whole components are joined by their labels, so the rounds read the further links
     only, and the nodes are labelled anew once.
     """
-    ends = links
+    ends, further = links, links.count()
     for end in ("a", "b"):
         ends = hot_join(ends, labels.select(F.col("node").alias(end), F.col("label").alias(f"_{end}")), [end], "left")
-    between = settle(ends.select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b")).where("a <> b"))
+    between = settle(ends.select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b")).where("a <> b"), further)
     moved = components(between).select(F.col("node").alias("label"), F.col("label").alias("new"))
     alone = links.select(F.col("a").alias("node")).union(links.select("b")).distinct().join(labels, "node", "left_anti")
+    most = labels.count() + 2 * further
     held = labels.select("node", "label").union(alone.select("node", F.col("node").alias("label")))
-    return settle(hot_join(held, moved, ["label"], "left").select("node", F.coalesce("new", "label").alias("label")))
+    return settle(hot_join(held, moved, ["label"], "left").select("node", F.coalesce("new", "label").alias("label")), most)

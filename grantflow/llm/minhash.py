@@ -46,7 +46,7 @@ from collections.abc import Sequence
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grantflow.llm.bytehash import PrefixHashes, mixed
@@ -188,31 +188,36 @@ def near_duplicates(
     plain = plain.withColumn("hash", F.xxhash64("text"))
     slim = settle(sketch(plain, "text", bands, rows))
     heads = slim.groupBy("content").agg(F.min(F.struct("doc_id", "hash")).alias("head"), F.first("bands").alias("bands"))
-    nodes = settle(heads.withColumn("node", F.monotonically_increasing_id()))
+    most = slim.count()
+    nodes = settle(heads.withColumn("node", F.monotonically_increasing_id()), most)
     members = nodes.select("node", F.explode("bands").alias("key"))
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = settle(hot_join(members, sizes, ["key"], "inner"))
-    # the first hub is the member with most company in all its buckets: the text others vary
-    company = shared.groupBy("node").agg(F.sum("n").alias("company"))
+    # the first hub is the member with most company in all its buckets: the text others vary;
+    # a member has one bucket and one hub per band at most, so its lists are short
+    buckets = hot_join(members, sizes, ["key"], "inner").groupBy("node")
+    shared = settle(buckets.agg(F.sum("n").alias("company"), F.collect_list("key").alias("keys")), most)
     rank = F.shiftleft("company", 20) + F.pmod(F.xxhash64("node"), F.lit(1 << 20))
-    held = settle(_with_hub(hot_join(shared.drop("n"), company, ["node"], "inner"), -rank))
-    # a member has one hub per band at most, so its window is short; a hub has any number of members
-    shares = held.where("node <> hub").groupBy("node", "hub").agg(F.count(F.lit(1)).alias("shared"))
-    order = Window.partitionBy("node").orderBy(F.desc("shared"), "hub")
-    ranked = shares.withColumn("first", (F.row_number().over(order) == 1).cast("int"))
-    first_hub = F.max(F.when(F.col("first") == 1, F.struct("node", "hub"))).alias("first")
-    proposed = settle(_pairs(ranked, "first", "node", "hub").groupBy("a", "b").agg(first_hub))
-    asked = held.select("node").distinct().join(nodes.select("node", F.col("head").alias("_head")), "node")
-    bodies = settle(
-        plain.join(asked, F.expr("doc_id <=> _head.doc_id AND hash = _head.hash")).select("node", "text").dropDuplicates(["node"])
-    )
+    hubs = _with_hub(shared.select("node", F.explode("keys").alias("key"), (-rank).alias("order")), F.col("order"))
+    held = settle(hubs.groupBy("node").agg(F.collect_list("key").alias("keys"), F.collect_list("hub").alias("hubs")), most)
+    others = F.array_distinct(F.filter("hubs", lambda h: h != F.col("node")))
+    least = lambda h: F.named_struct(F.lit("less"), -F.size(F.filter("hubs", lambda x: x == h)), F.lit("hub"), h)
+    shares = F.transform(others, least)
+    ranked = held.select("node", F.array_min(shares)["hub"].alias("first"), F.explode(others).alias("hub"))
+    # a hub has any number of members
+    first_hub = F.max(F.when(F.col("hub") == F.col("first"), F.struct("node", "hub"))).alias("first")
+    asks = bands * held.count()
+    proposed = settle(_pairs(ranked, "first", "node", "hub").groupBy("a", "b").agg(first_hub), asks)
+    # null ids are equal inside a struct; a place is that of one node, so its repeats lie beside it
+    asked = held.select("node").join(nodes.select("node", F.col("head").alias("place")), "node")
+    placed = plain.select(F.struct("doc_id", "hash").alias("place"), "text")
+    bodies = settle(placed.join(asked, "place").dropDuplicates(["place"]).select("node", "text"))
 
     links = settle(verified(proposed.where("first IS NOT NULL").select("a", "b", "first"), bodies, threshold, ["first"]))
     # two members of one hub need no comparison with another one they share
     under = links.select(F.col("first.node").alias("node"), F.col("first.hub").alias("label"))
     apart = _apart(proposed.where("first IS NULL").select("a", "b"), under, "a", "b")
-    labels = components(links.select("a", "b").union(settle(verified(settle(apart), bodies, threshold))))
-    rest = _rest(held, labels)
+    labels = components(links.select("a", "b").union(settle(verified(settle(apart, asks), bodies, threshold))))
+    rest = _rest(_labelled(held, labels).select("node", "label", F.explode("keys").alias("key")))
     if exact:
         labels = _linked(settle(_able(rest, bodies, threshold)), labels, bodies, threshold)
     else:
@@ -291,42 +296,49 @@ def _alike_hubs(pairs: DataFrame, threshold: float) -> DataFrame:
 
 def _finer(rest: DataFrame, labels: DataFrame, bodies: DataFrame, threshold: float) -> DataFrame:
     """Labels after members of the rest have met in ever finer buckets."""
-    fine = settle(fine_sketch(hot_join(bodies, rest, ["node"], "inner")))
+    fine = settle(fine_sketch(bodies.join(rest, "node")))
     member = F.struct("node", "label", "bytes", "keys").alias("member")
     ahead = F.transform(F.sequence(F.lit(1), F.lit(NEXT)), lambda d: F.pmod(F.col("band") + d, F.size("fine")))
+    most = fine.count()
     tested, known, many = None, labels, None
     for level in range(LEVELS):
         if labels is not known:
             known = labels
-            now = fine.select("node").join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
-            fine = settle(fine.drop("label").join(now, "node"))
+            fine = settle(_labelled(fine.drop("label"), labels), most)
         if many is None:
             keyed = fine.select("node", "label", F.posexplode("fine").alias("band", "key"))
         else:
             keyed = hot_join(many.select("node", "band", "key"), fine.select("node", "label", "fine"), ["node"], "inner")
             keyed = keyed.select("node", "label", "key", "fine", F.explode(ahead).alias("band"))
             keyed = keyed.select("node", "label", "band", F.xxhash64("key", F.get("fine", F.col("band"))).alias("key"))
-        sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("least"), F.max("label").alias("most"))
-        mixed_ = settle(hot_join(keyed, sizes.where("least < most").select("key", "n"), ["key"], "inner"))
-        few, many = mixed_.where(F.col("n") <= SMALL), mixed_.where(F.col("n") > SMALL)
-        keys = few.groupBy("node").agg(F.collect_set("key").alias("keys"))  # FINE / FINE_ROWS * NEXT ** level at most
-        held = fine.select("node", "label", "bytes").join(keys, "node").select("*", F.explode("keys").alias("key"))
-        pairs = _alike(held.groupBy("key").agg(F.collect_list(member).alias("members")), threshold)
+        hub = F.min_by("node", F.xxhash64("key", "node")).alias("hub")
+        sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("least"), F.max("label").alias("most"), hub)
+        mixed_ = settle(hot_join(keyed, sizes.where("least < most").select("key", "n", "hub"), ["key"], "inner"))
+        many = mixed_.where(F.col("n") > SMALL)
         more = not many.isEmpty()
+        # a node has FINE / FINE_ROWS * NEXT ** level buckets at most; its bytes join its lists of them once
+        own_keys = F.collect_set(F.when(F.col("n") <= SMALL, F.col("key"))).alias("keys")
+        own_hubs = F.collect_set(F.when((F.col("n") > SMALL) & (F.col("node") != F.col("hub")), F.col("hub"))).alias("hubs")
+        leads = F.max((F.col("n") > SMALL) & (F.col("node") == F.col("hub"))).alias("leads")
+        held = settle(mixed_.groupBy("node").agg(own_keys, own_hubs, leads).join(fine.select("node", "label", "bytes"), "node"), most)
+        few = held.select("node", "label", "bytes", "keys", F.explode("keys").alias("key"))
+        pairs = _alike(few.groupBy("key").agg(F.collect_list(member).alias("members")), threshold)
         if more:
-            hubs = _with_hub(many, F.xxhash64("key", "node")).where("node <> hub").select("node", "hub")
-            two = hot_join(hubs, fine.select("node", "label", "bytes"), ["node"], "inner")
+            # hubs are few: one for SMALL members or more
             own = [F.col(c).alias(f"hub_{c}") for c in ("label", "bytes")]
-            two = hot_join(two, fine.select(F.col("node").alias("hub"), *own), ["hub"], "inner")
-            pairs = pairs.unionByName(_alike_hubs(two, threshold))
-        pairs = pairs.distinct()
-        pairs = settle(pairs if tested is None else hot_join(pairs, tested, ["a", "b"], "left_anti"))
+            hubs = settle(held.where("leads").select(F.col("node").alias("hub"), *own), most)
+            two = hot_join(held.select("node", "label", "bytes", F.explode("hubs").alias("hub")), hubs, ["hub"], "inner")
+            pairs = pairs.unionByName(_alike_hubs(two.where("label <> hub_label"), threshold))
+        met = pairs.withColumn("old", F.lit(False))
+        if tested is not None:
+            met = met.unionByName(tested.withColumn("old", F.lit(True)))
+        pairs = settle(met.groupBy("a", "b").agg(F.max("old").alias("old")).where("NOT old").select("a", "b"))
         tested = pairs if tested is None else tested.unionByName(pairs)
         labels = _linked(pairs, labels, bodies, threshold)
         if not more:
             return labels
     # buckets that no level made small: the exact way for those that still span several classes
-    left = settle(_rest(many, labels))
+    left = settle(_rest(_labelled(many.select("node", "key"), labels)))
     return labels if left.isEmpty() else _linked(settle(_able(left, bodies, threshold)), labels, bodies, threshold)
 
 
@@ -342,12 +354,16 @@ def _pairs(held: DataFrame, *keep: str) -> DataFrame:
     return held.where("node <> hub").select(*pair, *keep)
 
 
-def _rest(held: DataFrame, labels: DataFrame) -> DataFrame:
-    """node, label: members of buckets that span several classes."""
-    marked = hot_join(held.select("node", "key"), labels, ["node"], "left")
-    marked = marked.select("node", "key", F.coalesce("label", "node").alias("label"))
+def _labelled(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """``nodes`` with their label (a node without links is its own)."""
+    return nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def _rest(marked: DataFrame) -> DataFrame:
+    """node, label: members (node, label, key) of buckets that span several classes."""
     ends = marked.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"))
-    return hot_join(marked, ends.where("least < most").select("key"), ["key"], "left_semi").select("node", "label").distinct()
+    several = hot_join(marked, ends.where("least < most").select("key"), ["key"], "left_semi")
+    return several.groupBy("node").agg(F.first("label").alias("label"))
 
 
 def _cell(value: np.ndarray) -> np.ndarray:

@@ -22,6 +22,9 @@ RUNTIME_SETTINGS = {
 
 _settled: list[str] = []
 
+# A table known to have at most SMALL_ROWS rows is written in FEW_FILES files.
+SMALL_ROWS, FEW_FILES = 1 << 18, 16
+
 
 def build_session(app: str = "grantflow", master: str | None = None, **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -63,12 +66,17 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def settle(df: DataFrame) -> DataFrame:
+def settle(df: DataFrame, most: int | None = None) -> DataFrame:
     """Write ``df`` once under the shared folder and go on from the written table.
 
     Cuts lineage: a lost executor reads the table again instead of computing it
-    again, and steps that read their input several times read files.
+    again, and steps that read their input several times read files.  ``most`` is a
+    bound on its rows, where one is known: a small table is written in few files, also
+    where AQE does not join small shuffle partitions, since writing and opening a file
+    takes longer than its rows do.  Not for long texts or costly rows.
     """
+    if most is not None and most <= SMALL_ROWS:
+        df = df.coalesce(FEW_FILES)
     path = scratch_dir(df.sparkSession, "settled")
     df.write.parquet(path)
     _settled.append(path)
