@@ -408,28 +408,16 @@ def test_buckets_large_at_the_last_level_meet_exactly(spark, monkeypatch):
     assert all(found[2 * k] == found[2 * k + 1] for k in range(12)) and len(set(found.values())) == 12
 
 
-def test_small_steps_of_near_duplicates_are_few_tasks(spark, monkeypatch):
-    """Written steps of a few rows do not cost a file and a task for each shuffle partition."""
-    files, write = [], minhash.settle
-
-    def counted(df, *most):
-        settled = write(df, *most)
-        files.append(len(settled.inputFiles()))
-        return settled
-
-    monkeypatch.setattr(minhash, "settle", counted)
-    monkeypatch.setattr("grantflow.llm.components.settle", counted)
-    chance = random.Random(31)
-    base = [sentence(chance, 60) for _ in range(100)]
-    texts = [*base, *(f"{t} {sentence(chance, 2)}" for t in base)]
+def test_small_labels_lie_in_few_files(spark):
+    """Labels of few nodes do not cost a file and a task for each shuffle partition."""
+    links = spark.range(600).selectExpr("id + 1000 as a", "id % 7 as b")
     kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
     try:
         spark.conf.set("spark.sql.shuffle.partitions", "64")
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-        rows = minhash.near_duplicates(frame(spark, texts)).collect()
+        labels = components(links)
     finally:
         for key, value in kept.items():
             spark.conf.set(key, value)
-    assert {r.doc_id: (r.class_id, r.class_size) for r in rows} == {i: (i % 100, 2) for i in range(200)}
-    assert sum(n > 16 for n in files) <= 6
-    assert sum(n <= 16 for n in files) >= 9
+    assert {r.node: r.label for r in labels.collect()} == {k: k for k in range(7)} | {k + 1000: k % 7 for k in range(600)}
+    assert len(labels.inputFiles()) <= 16
