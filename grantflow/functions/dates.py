@@ -36,6 +36,19 @@ def shape_of(fmt: str) -> str:
     return "^" + re.sub(r"[A-Za-z]+", lambda run: SHAPES[run.group()], fmt) + "$"
 
 
+def _date_by(column: Column, fmt: str) -> Column:
+    """Text of the shape of ``fmt`` -> date, null where it names no day.
+
+    Where all parts are digits of fixed width, they are put in ISO order and cast, which
+    takes a fraction of a parse by format.  A line end, which a pattern lets pass, is no date there.
+    """
+    if not {"yyyy", "MM", "dd"} == set(re.findall("[A-Za-z]+", fmt)):
+        return F.try_to_date(column, fmt)
+    parts = [F.substring(column, fmt.index(part) + 1, len(part)) for part in ("yyyy", "MM", "dd")]
+    iso = column if fmt == "yyyy-MM-dd" else F.concat_ws("-", *parts)
+    return F.when(F.length(column) == len(fmt), iso.try_cast("date"))
+
+
 def lenient_date(value: Column | str, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """First format that parses wins; none -> null.
 
@@ -43,9 +56,7 @@ def lenient_date(value: Column | str, formats: Sequence[str] = DATE_FORMATS) ->
     exception, a failed pattern next to nothing.
     """
     column = as_column(value)
-    return F.coalesce(
-        *[F.when(column.rlike(shape_of(fmt)), F.try_to_date(column, fmt)) for fmt in formats]
-    )
+    return F.coalesce(*[F.when(column.rlike(shape_of(fmt)), _date_by(column, fmt)) for fmt in formats])
 
 
 def staging_date(value: Column | str, formats: Sequence[str] = DATE_FORMATS) -> Column:

@@ -30,12 +30,26 @@ def apply_defaults(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in known.items()}) if known else df
 
 
+def cast_once(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Columns of another type beside themselves in the declared one (``_cast_*``).
+
+    :func:`conform` and the rule tests take them from there instead of casting again.
+    """
+    kinds = {f.name: f.dataType for f in spec.schema.fields if f.name in df.columns and not isinstance(f.dataType, T.StringType)}
+    return df.withColumns({f"_cast_{c}": _declared(df, c, kind) for c, kind in kinds.items() if df.schema[c].dataType != kind})
+
+
+def _declared(df: DataFrame, name: str, kind: T.DataType) -> Column:
+    if f"_cast_{name}" in df.columns:
+        return F.col(f"`_cast_{name}`")
+    return declared_cast(F.col(f"`{name}`"), kind, df.schema[name].dataType)
+
+
 def conform(df: DataFrame, spec: TableSpec, keep: Sequence[str] = ()) -> DataFrame:
     """Cast to the declared columns, in order; absent columns become null."""
     return df.select(
         *[
-            (declared_cast(F.col(f"`{f.name}`"), f.dataType, df.schema[f.name].dataType) if f.name in df.columns else F.lit(None).cast(f.dataType))
-            .alias(f.name)
+            (_declared(df, f.name, f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name)
             for f in spec.schema.fields
         ],
         *keep,
@@ -46,8 +60,8 @@ def row_key(spec: TableSpec) -> Column:
     return F.concat_ws("|", *[F.col(f"`{k}`").cast("string") for k in spec.key])
 
 
-def broken_rules(df: DataFrame, spec: TableSpec) -> Column:
-    """Array of (column, rule) a row breaks: type, length, required."""
+def _rule_tests(df: DataFrame, spec: TableSpec) -> list[tuple[str, str, Column]]:
+    """Column, rule and the test that tells whether a row breaks it."""
     tests = []
     for f in spec.schema.fields:
         if f.name not in df.columns:
@@ -57,14 +71,24 @@ def broken_rules(df: DataFrame, spec: TableSpec) -> Column:
         column = F.col(f"`{f.name}`")
         given = df.schema[f.name].dataType
         if given != f.dataType and not isinstance(f.dataType, T.StringType):
-            tests.append((f.name, "type", column.isNotNull() & declared_cast(column, f.dataType, given).isNull()))
+            tests.append((f.name, "type", column.isNotNull() & _declared(df, f.name, f.dataType).isNull()))
         if f.name in spec.lengths:
             tests.append((f.name, "length", F.length(column.cast("string")) > spec.lengths[f.name]))
         if f.name in spec.required or (f.name in spec.key and f.name != spec.serial):
             tests.append((f.name, "required", column.isNull()))
+    return tests
+
+
+def breaks_rules(df: DataFrame, spec: TableSpec) -> Column:
+    """Whether a row breaks any rule, without naming it."""
+    return F.coalesce(reduce(lambda a, b: a | b, [test for _, _, test in _rule_tests(df, spec)], F.lit(False)), F.lit(False))
+
+
+def broken_rules(df: DataFrame, spec: TableSpec) -> Column:
+    """Array of (column, rule) a row breaks: type, length, required."""
     found = [
         F.when(test, F.struct(F.lit(name).alias("column_name"), F.lit(rule).alias("rule")))
-        for name, rule, test in tests
+        for name, rule, test in _rule_tests(df, spec)
     ]
     if not found:
         return F.array().cast("array<struct<column_name:string,rule:string>>")

@@ -47,7 +47,8 @@ def running_offset(
         inside = F.coalesce(F.sum(weight).over(before), F.lit(0))
     sizes = placed.groupBy("_part").agg(size.alias("_size"))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"))
+    # written down, so that its size is known and the rows need no shuffle to meet it
+    starts = settle(sizes.select("_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start")))
     return (
         placed.withColumn("_inside", inside)
         .join(starts, "_part")

@@ -18,6 +18,7 @@ from grantflow.fixed_values import STAGING_DATE_FORMAT
 from grantflow.operators.joins import enrich, full_join, lookup
 from grantflow.operators.numbering import stable_id
 from grantflow.operators.rows import stack_distinct, stack_roles
+from grantflow.session import settle
 
 
 def states(other: DataFrame) -> DataFrame:
@@ -178,9 +179,9 @@ def agencies(funding_rows: DataFrame, other: DataFrame) -> DataFrame:
             for role in ("funding", "awarding")
         ],
     )
-    both = full_join(
-        coded.dropna().dropDuplicates(), identified.dropna().dropDuplicates(), ["agency_name"]
-    )
+    # few names of many rows: each source is read once, the join and its reader meet the names
+    names = [settle(source.dropna().dropDuplicates()) for source in (coded, identified)]
+    both = full_join(*names, ["agency_name"])
     return both.select(
         "agency_name",
         whole_code("agency_code").alias("agency_code"),
@@ -235,7 +236,7 @@ def award_tables(
     fund_codes: DataFrame,
 ) -> dict[str, DataFrame]:
     """All ten tables of the award pipeline by table name."""
-    known = recipients(awards, subawards)
+    known = settle(recipients(awards, subawards))
     return {
         "states": states(other),
         "cfdaprograms": cfda_programs(other),

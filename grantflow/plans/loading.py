@@ -57,7 +57,7 @@ def absent(first: DataFrame, stored: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def rows_to_load(
-    df: DataFrame, stored: DataFrame, spec: TableSpec, order: Sequence[Column | str] = (), after: int | None = None
+    df: DataFrame, stored: DataFrame | None, spec: TableSpec, order: Sequence[Column | str] = (), after: int | None = None
 ) -> DataFrame:
     """Rows of ``df`` the table lacks: one per key, if that key is not stored.
 
@@ -66,12 +66,13 @@ def rows_to_load(
     compared on all columns but the id and numbered after the stored rows (after
     ``after``, where the caller knows the largest id).  ``order`` decides which of
     several new rows with one key is kept; by default the smallest row.  Rows without
-    a key are left out; see :func:`rejected_rows`.
+    a key are left out; see :func:`rejected_rows`.  Without ``stored`` the table is empty.
     """
     if spec.serial is not None and spec.serial not in df.columns:
-        fresh = new_rows(df, stored, [spec.serial])
+        fresh = df if stored is None else new_rows(df, stored, [spec.serial])
         return loaded_ids(fresh, spec.serial, stored=stored) if after is None else loaded_ids(fresh, spec.serial, after + 1)
-    return absent(first_of_each_key(df, spec, order), stored, spec)
+    first = first_of_each_key(df, spec, order)
+    return first.drop(*typed_keys(df, spec)) if stored is None else absent(first, stored, spec)
 
 
 def clashes(df: DataFrame, stored: DataFrame, spec: TableSpec) -> DataFrame:
@@ -120,7 +121,8 @@ def load_tables(
                 done[spec.name] = _load_keyed(df, root, spec, run_id, order, parents, known)
             else:
                 after = known.largest_key(spec.name) or 0
-                fresh = rows_to_load(df, read_table(spark, root, spec, known), spec, order, after)
+                stored = read_table(spark, root, spec, known) if known.visible_runs(spec.name) else None
+                fresh = rows_to_load(df, stored, spec, order, after)
                 done[spec.name] = publish(fresh, root, spec, run_id, parents, known)
     return done
 

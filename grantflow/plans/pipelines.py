@@ -28,6 +28,7 @@ from grantflow.plans.history import history_tables
 from grantflow.plans.loading import load_tables, write_rejects
 from grantflow.plans.performance import performance_tables
 from grantflow.schemas import TABLES, TableSpec
+from grantflow.session import letting_go, settle, with_settings
 from grantflow.sources.tables import Ledger, exists, publish, read_table
 
 # The landed amounts of these may be words; the builder reads them leniently.
@@ -35,6 +36,11 @@ LANDED_AWARDS_DDL = re.sub(r"(`(?:COVID-19|Infrastructure) \w+`) decimal\(18,2\)
 INPUT_FILES = TableSpec("input_files", "pipeline string, path string", ("pipeline", "path"))
 CORRUPT = "_corrupt_record"
 JSON_FILES = "*.json{,.gz,.bz2}"  # landed as they are, or compressed
+# Landed files and the parsed documents hold many times their size on disk: a task takes
+# less of them, and a join side made of documents is estimated larger before it may be
+# broadcast.  (Not while lines meet the list of files, which must stay small to Spark.)
+SMALL_TASKS = {"spark.sql.files.maxPartitionBytes": "16m"}
+DENSE_FILES = {"spark.sql.sources.fileCompressionFactor": "10.0"}
 Frames = Mapping[str, DataFrame]
 
 
@@ -67,19 +73,22 @@ class Pipeline:
         if files.isEmpty():
             return {}
         frames, broken = {}, []
-        for name, ddl in self.inputs.items():
-            folder = f"{landed.rstrip('/')}/{name}"
-            if not exists(spark, folder):
-                frames[name] = spark.createDataFrame([], ddl)
-                continue
-            frames[name], bad = read_landed(spark, folder, ddl, files)
-            broken.append(bad.withColumn("source", F.lit(f"{self.name}/{name}")))
-        if broken:
-            rejects = stack(broken).select("source", "key", F.lit("format").alias("rule"), "text")
-            write_rejects(rejects, root, f"{self.name}_lines", run_id)
-        stored = {t: read_table(spark, root, TABLES[t], known, but=run_id) for t in self.tables}
-        orders = {t: [F.col(c) for c in columns] for t, columns in self.orders.items()}
-        done = load_tables(self.build(frames, stored), root, run_id, orders, check_parents)
+        # the documents of the run are written down parsed, and go when its tables are loaded
+        with letting_go(spark), with_settings(spark, SMALL_TASKS):
+            for name, ddl in self.inputs.items():
+                folder = f"{landed.rstrip('/')}/{name}"
+                if not exists(spark, folder):
+                    frames[name] = spark.createDataFrame([], ddl)
+                    continue
+                frames[name], bad = read_landed(spark, folder, ddl, files)
+                broken.append(bad.withColumn("source", F.lit(f"{self.name}/{name}")))
+            with with_settings(spark, DENSE_FILES):
+                if broken:
+                    rejects = stack(broken).select("source", "key", F.lit("format").alias("rule"), "text")
+                    write_rejects(rejects, root, f"{self.name}_lines", run_id)
+                stored = {t: read_table(spark, root, TABLES[t], known, but=run_id) for t in self.tables}
+                orders = {t: [F.col(c) for c in columns] for t, columns in self.orders.items()}
+                done = load_tables(self.build(frames, stored), root, run_id, orders, check_parents)
         publish(files, root, INPUT_FILES, run_id)
         return done
 
@@ -91,14 +100,20 @@ def landed_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def read_landed(spark: SparkSession, folder: str, ddl: str, files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Documents of the ``files`` (path) that lie in a folder, and the lines that are none as (key: file, text)."""
+    """Documents of the ``files`` (path) that lie in a folder, and the lines that are none as (key: file, text).
+
+    Every line is parsed once: the documents are settled, the lines that are none beside them.
+    """
     kept = T.StructType([*T.StructType.fromDDL(ddl).fields, T.StructField(CORRUPT, T.StringType())])
     reader = spark.read.options(recursiveFileLookup="true", pathGlobFilter=JSON_FILES)
     lines = reader.text(folder).where("trim(value) <> ''").select("value", F.col("_metadata.file_path").alias("path"))
     own = keep_present(lines, files, ["path"])
     parsed = own.select("path", "value", F.from_json("value", kept, {"columnNameOfCorruptRecord": CORRUPT}).alias("doc"))
-    fits = F.col("doc").isNotNull() & F.col(f"doc.{CORRUPT}").isNull()
-    return parsed.where(fits).select("doc.*").drop(CORRUPT), parsed.where(~fits).select(F.col("path").alias("key"), F.col("value").alias("text"))
+    bad = F.col("doc").isNull() | F.col(f"doc.{CORRUPT}").isNotNull()
+    told = {"_file": F.when(bad, F.col("path")), "_line": F.when(bad, F.col("value"))}
+    rows = settle(parsed.select("doc.*", *[c.alias(n) for n, c in told.items()]).drop(CORRUPT), codec="zstd")
+    docs = rows.where(F.col("_line").isNull()).drop(*told)
+    return docs, rows.where(F.col("_line").isNotNull()).select(F.col("_file").alias("key"), F.col("_line").alias("text"))
 
 
 AWARDS = Pipeline(

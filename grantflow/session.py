@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,7 +66,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def settle(df: DataFrame, most: int | None = None) -> DataFrame:
+def settle(df: DataFrame, most: int | None = None, codec: str | None = None) -> DataFrame:
     """Write ``df`` once under the shared folder and go on from the written table.
 
     Cuts lineage: a lost executor reads the table again instead of computing it
@@ -78,7 +78,7 @@ def settle(df: DataFrame, most: int | None = None) -> DataFrame:
     if most is not None and most <= SMALL_ROWS:
         df = df.coalesce(FEW_FILES)
     path = scratch_dir(df.sparkSession, "settled")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     _settled.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -104,6 +104,19 @@ def letting_go(spark: SparkSession) -> Iterator[None]:
         free_shuffles(spark)
 
 
+@contextmanager
+def with_settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    """Runtime settings that hold inside the block only."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 @contextmanager
 def settled_for_now(df: DataFrame, name: str = "step", codec: str | None = None) -> Iterator[DataFrame]:
     """``df`` written once under the shared folder, and deleted at the end of the block."""

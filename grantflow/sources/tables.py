@@ -29,7 +29,9 @@ from pyspark.sql import types as T
 
 from grantflow.operators.load import (
     apply_defaults,
+    breaks_rules,
     broken_rules,
+    cast_once,
     children,
     conform,
     key_violations,
@@ -217,11 +219,10 @@ def publish(
     known = known or Ledger(spark, root, spec.name)
     if known.is_published(spec.name, run_id):
         return False
-    filled = apply_defaults(df, spec)
+    filled = cast_once(apply_defaults(df, spec), spec)
     target = f"{root}/{spec.name}/run_id={run_id}"
-    broken = F.to_json(broken_rules(filled, spec))
-    # the broken rules of a row are written beside it: one pass over the input
-    checked = filled.withColumn("_broken", F.nullif(broken, F.lit("[]")))
+    # the broken rules of a row are written beside it: one pass over the input; listed only where there are some
+    checked = filled.withColumn("_broken", F.when(breaks_rules(filled, spec), F.to_json(broken_rules(filled, spec))))
     seen = _write_run(conform(checked, spec, keep=["_broken"]), root, spec, run_id, F.count("_broken").alias("broken"))
     staged_schema = T.StructType([*spec.schema.fields, T.StructField("_broken", T.StringType())])
     staged = spark.read.schema(staged_schema).parquet(target)
@@ -229,8 +230,10 @@ def publish(
         examples = staged.where("_broken is not null").select(row_key(spec), "_broken").take(5)
         raise LoadRejected(f"{spec.name}, run {run_id}: {seen['broken']} rows in {target}, {examples}")
     span = None if seen["least"] is None else (seen["least"], seen["largest"])
-    stored = read_table(spark, root, spec, known, buckets=marked_buckets(spec, seen), span=span)
-    problems = [key_violations(staged, spec), _stored_keys(staged, stored, spec)]
+    problems = [key_violations(staged, spec)]
+    if known.visible_runs(spec.name):
+        stored = read_table(spark, root, spec, known, buckets=marked_buckets(spec, seen), span=span)
+        problems.append(_stored_keys(staged, stored, spec))
     if parents:
         problems.append(reference_violations(staged, spec, parents))
     found = reduce(lambda a, b: a.unionByName(b), problems).take(5)
